@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, mixing
+from . import decontaminate, language, mixing, quality, tokens
 
 
 def queries() -> dict:
     return {
+        "op1_quality": quality.op1_quality,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op9_mix": mixing.op9_mix,
+        "op8_tokens": tokens.op8_tokens,
+        "op10_language": language.op10_language,
     }
 
 
