@@ -47,6 +47,17 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def range_shards(docs: DataFrame, shard_docs: int, most: int = 2048) -> tuple[DataFrame, int]:
+    """``docs`` with a column ``shard``: the number of quantile cuts below doc_id (0 for null ids)."""
+    n = docs.count()
+    parts = max(1, min(most, -(-n // shard_docs)))
+    cuts: list = []
+    if parts > 1:
+        cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] or []))
+    shard = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<long>"), lambda c: c < F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
+    return docs.withColumn("shard", F.greatest(shard, F.lit(0)).cast("int")), len(cuts) + 1
+
+
 def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string array and its n + 1 offsets; nulls are empty."""
     if isinstance(arr, pa.ChunkedArray):

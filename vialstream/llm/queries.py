@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, language, mixing, quality, tokens
+from . import decontaminate, fingerprints, language, mixing, pii, quality, tokens
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_quality": quality.op1_quality,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op9_mix": mixing.op9_mix,
+        "op4_fingerprints": fingerprints.op4_fingerprints,
+        "op7_pii": pii.op7_pii,
         "op8_tokens": tokens.op8_tokens,
         "op10_language": language.op10_language,
     }

@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import own_columns, slices, table, text_buffers, written
+from .common import own_columns, range_shards, slices, table, text_buffers, written
 
 END_ID = 0
 SCALE = 18
 LANES = 1024
 BLOCK_IDS = 1 << 18
-SHARD_DOCS = 1 << 14
+SHARD_DOCS = 1 << 12
 LOW = np.uint64(1 << 31)
 CACHE_WORDS = 700_000
 
@@ -323,30 +323,12 @@ def _decode(freq, keep_ids: bool):
     return run
 
 
-def _shards(docs: DataFrame, shard_docs: int) -> tuple[DataFrame, int]:
-    """Documents with the shard of their id: ranges between quantiles of doc_id."""
-    n = docs.count()
-    parts = max(1, min(2048, -(-n // shard_docs)))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))[: parts - 1] if parts > 1 else []
-    shard = F.lit(0)
-    if cuts:  # binary search among the cuts
-        def search(lo: int, hi: int):
-            if lo == hi:
-                return F.lit(lo)
-            mid = (lo + hi) // 2
-            return F.when(F.col("doc_id") <= cuts[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
-
-        shard = F.when(F.col("doc_id").isNull(), 0).otherwise(search(0, len(cuts)))
-    return docs.select(shard.cast("int").alias("shard"), "doc_id", "text"), len(cuts) + 1
-
-
 def encode_corpus(docs: DataFrame, tokenizer: str | None = None, block_ids: int = BLOCK_IDS, shard_docs: int = SHARD_DOCS) -> tuple[DataFrame, object]:
     """The blocks, written as Parquet, and the broadcast frequency table that reads them."""
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
-    dealt, n = _shards(own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), shard_docs)
-    ids = written(dealt.mapInArrow(_tokenize(path), "shard int, doc_id long, ids binary"), "ids")
+    dealt, n = range_shards(own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), shard_docs)
+    ids = written(dealt.select("shard", "doc_id", "text").mapInArrow(_tokenize(path), "shard int, doc_id long, ids binary"), "ids")
     counted = ids.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most 65,536 rows
     counts = np.zeros(vocabulary(path).tok.get_vocab_size(), np.int64)
     for r in counted:
