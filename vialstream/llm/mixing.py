@@ -93,5 +93,5 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: each document as many times as the mix takes it (0 to 3)."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    mixed = mixture(own_columns(docs, *cols), keep=("text", "lang", "n_chars"))
+    mixed = mixture(docs, keep=("text", "lang", "n_chars"))
     return mixed.filter("copies > 0").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*cols)

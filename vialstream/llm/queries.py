@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, language, mixing, pii, quality, tokens
+from . import decontaminate, fingerprints, language, mixing, neardup, pii, quality, tokens
 
 
 def queries() -> dict:
     return {
         "op1_quality": quality.op1_quality,
+        "op2_near_duplicates": neardup.op2_near_duplicates,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op9_mix": mixing.op9_mix,
         "op4_fingerprints": fingerprints.op4_fingerprints,
