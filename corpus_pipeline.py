@@ -4,21 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialstream.llm import decontaminate, mixing
+from vialstream.llm import decontaminate, mixing, neardup, quality, tokens
 from vialstream.llm.common import table, written
 
 
-def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality.good_documents(spark, docs, sf_dir)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return neardup.distinct_documents(spark, docs, sf_dir)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark window go."""
     return decontaminate.clean_documents(spark, docs, sf_dir)
 
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it."""
     return mixing.mixed_documents(spark, docs, sf_dir)
 
 
-STAGES = [("benchmark decontamination", decontaminated), ("mixing sources to target weights", mixed)]
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token files' documents: place, length and checksum."""
+    return tokens.tokenized(spark, docs, sf_dir)
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", token_files),
+]
 
-#: A classifier, a language-independent tokenizer and signatures are no SQL; tests hold run() against brute force.
+#: Neither the classifier nor the tokenizer is SQL; the tests hold run() against brute force.
 ORACLE_SQL = None
 
 

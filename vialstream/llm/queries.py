@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, language, mixing, neardup, pii, quality, tokens
+from . import decontaminate, fingerprints, language, lm, mixing, neardup, pii, quality, suffixes, tokens
 
 
 def queries() -> dict:
@@ -12,6 +12,8 @@ def queries() -> dict:
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op9_mix": mixing.op9_mix,
         "op4_fingerprints": fingerprints.op4_fingerprints,
+        "op5_repeated_strings": suffixes.op5_repeated_strings,
+        "op6_lm_score": lm.op6_lm_score,
         "op7_pii": pii.op7_pii,
         "op8_tokens": tokens.op8_tokens,
         "op10_language": language.op10_language,
