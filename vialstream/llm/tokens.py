@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ LANES = 1024
 BLOCK_IDS = 1 << 18
 SHARD_DOCS = 1 << 12
 LOW = np.uint64(1 << 31)
-CACHE_WORDS = 700_000
+CACHE_WORDS = 400_000
+HOT_WORDS = 1 << 15
 
 #: Byte-level pre-tokens of texts that are ASCII and Latin-1 letters only.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -81,6 +83,7 @@ class Vocabulary:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.hot: dict[str, bytes] = {}  # the first slice's most frequent pieces, small enough for the processor's cache
         self.pieces: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
         line = self.whole(LINE)
@@ -107,16 +110,16 @@ class Vocabulary:
                 found[s] = self.whole(s)
             else:
                 plain.append(s)
-        for k in range(0, len(plain), 4096):
-            part = plain[k : k + 4096]
-            found |= self.lines(part, self.whole(LINE + LINE.join(part)))
+        parts = [plain[k : k + 256] for k in range(0, len(plain), 256)]
+        for part, e in zip(parts, self.tok.encode_batch_fast([LINE + LINE.join(p) for p in parts], add_special_tokens=False), strict=True):
+            found |= self.lines(part, np.array(e.ids, "<u2").tobytes())
         return found
 
     def of_tokens(self, parts: list[str]) -> bytes:
         known = list(map(self.tokens.get, parts))
         if None in known:
             new = {s for s, v in zip(parts, known, strict=True) if v is None}
-            fresh = self.new_tokens(sorted(new))
+            fresh = self.new_tokens(list(new))
             if len(self.tokens) + len(fresh) <= CACHE_WORDS:
                 self.tokens.update(fresh)
             known = [fresh[s] if v is None else v for s, v in zip(parts, known, strict=True)]
@@ -140,13 +143,16 @@ class Vocabulary:
         only pre-tokens not met before go to the library.
         """
         cut = [None if _WHOLE.search(t) else [t] if _WIDE.search(t) else t.split(" ") for t in texts]
-        get = self.pieces.get
+        get, cold = self.hot.get, self.pieces.get
         known = [[] if c is None else list(map(get, c[1:])) for c in cut]
         new: set[str] = set()
         for c, k in zip(cut, known, strict=True):
             if None in k:
-                new.update([s for s, v in zip(c[1:], k, strict=True) if v is None])
-        fresh = self.new_pieces(sorted(new)) if new else {}
+                at = [i for i, v in enumerate(k, 1) if v is None]
+                for i in at:
+                    k[i - 1] = cold(c[i])
+                new.update([c[i] for i in at if k[i - 1] is None])
+        fresh = self.new_pieces(list(new)) if new else {}
         if len(self.pieces) + len(fresh) <= CACHE_WORDS:
             self.pieces.update(fresh)
         out = []
@@ -157,6 +163,9 @@ class Vocabulary:
             if None in k:
                 k = [fresh[s] if v is None else v for s, v in zip(c[1:], k, strict=True)]
             out.append(b"".join([self.of_tokens(_split(c[0])), *k, self.end]))
+        if not self.hot and len(self.pieces) > HOT_WORDS:
+            often = Counter(s for c in cut if c for s in c[1:]).most_common(HOT_WORDS)
+            self.hot = {s: v for s, _ in often if (v := self.pieces.get(s)) is not None}
         return out
 
 
@@ -169,7 +178,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def _tokenize(path: str):
     def run(batches):
-        for rows, data, offs in slices(batches, limit=8 << 20):
+        for rows, data, offs in slices(batches, limit=4 << 20):
             texts = [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(vocabulary(path).encode(texts), pa.binary())], ["shard", "doc_id", "ids"])
 
