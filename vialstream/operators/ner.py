@@ -92,11 +92,18 @@ def allowed_locally(sentence: Column, key: Column) -> Column:
     (unless a clinical cue stands with mere instructions), and negation or prior state within 60 characters.
     """
     n = F.length(key)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(sentence) - n + 1, F.lit(1))), lambda i: F.substring(sentence, i, n) == key)
+    parts = F.split(sentence, F.concat(F.lit("\\Q"), key, F.lit("\\E")), F.lit(-1))
+    before_each = F.aggregate(
+        F.slice(parts, F.lit(1), F.size(parts) - 1),
+        F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")),
+        lambda a, p: F.struct((a["at"] + F.length(p) + n).alias("at"), F.array_append(a["all"], a["at"] + F.length(p)).alias("all")),
+    )
+    starts = before_each["all"]
 
     def suppressed(at: Column) -> Column:
-        before = F.rtrim(F.substring(sentence, F.lit(1), at - 1))
-        after = F.ltrim(F.substring(sentence, at + n, F.length(sentence)))
+        first = F.greatest(at - 8, F.lit(1))
+        before = F.rtrim(F.substring(sentence, first, at - first))
+        after = F.ltrim(F.substring(sentence, at + n, F.lit(8)))
         sign = after.rlike(r"^(®|™|\(r\)|\(tm\))") | before.rlike(r"(®|™|\(r\)|\(tm\))$")
         helps = key.isin("aids", "hiv") & (sentence.contains("aids in the prevention of") | sentence.rlike(r"\b(use|uses)\s+aids\b"))
         status = key.contains("hiv") & _around(sentence, at, n, 80).rlike(r"\bhiv\s+(test\s+)?(negative|positive)\b")
@@ -144,7 +151,9 @@ def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed:
     ids = [c for c in rows.columns if c != "sentence"]
     rows = rows.filter(F.trim("sentence") != "").withColumn("sentence", F.lower(text.normalize_punct(F.trim("sentence"))))
     rows = rows.filter(~excluded(F.col("sentence"), section))
-    hits = match(rows, entries, section, stemmed).filter(allowed_locally(F.col("sentence"), F.col("key")))
+    # the term type keeps the costly test above the join, on pairs that are in the dictionary
+    allowed = F.when(F.length("tty") > 0, allowed_locally(F.col("sentence"), F.col("key"))).otherwise(False)
+    hits = match(rows, entries, section, stemmed).filter(allowed)
     if antonyms is not None:
         hits = without_antonyms(hits, antonyms, ids)
     keys = hits.groupBy(*ids).agg(F.collect_set("key").alias("keys")).withColumn("keys", drop_generic(absorb(F.col("keys"))))

@@ -21,9 +21,8 @@ def archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFram
     """(zip_name, source_type, year, length, content) of the zips below ``root``: folders name the type and the year."""
     path = F.col("path")
     kind = F.lower(F.regexp_extract(path, r"/(prescription|other|otc)/[^/]*$", 1))
-    year = F.regexp_extract(path, r"/(20[0-9]{2})/", 1)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
-    return files.select(F.regexp_extract(path, r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), F.expr("try_cast(nullif(regexp_extract(path, '/(20[0-9]{2})/', 1), '') as int)").alias("year"), "length", "content").withColumn("year", F.when(year != "", F.col("year")))
+    return files.select(F.regexp_extract(path, r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), F.expr("try_cast(nullif(regexp_extract(path, '/(20[0-9]{2})/', 1), '') as int)").alias("year"), "length", "content")
 
 
 def not_yet_mapped(files: DataFrame, manifest: DataFrame) -> DataFrame:
