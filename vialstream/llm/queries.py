@@ -20,5 +20,36 @@ def queries() -> dict:
     }
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DUPLICATES = f"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id, d.doc_id = least(d.doc_id, coalesce(m.m, d.doc_id)) AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) m USING (doc_id)"""
+
+DECONTAMINATE = f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+v AS (SELECT item_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS v FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(v), 10) AS n, array_to_string(v[i:i+9], ' ') AS s FROM (SELECT item_id, v, unnest(range(1, greatest(len(v) - 8, 2))) AS i FROM v WHERE len(v) > 0)),
+hit AS (SELECT DISTINCT d.doc_id, d.i, d.n, win.item_id FROM (SELECT doc_id, n, i, array_to_string(w[i:i+n-1], ' ') AS s FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM w, (SELECT DISTINCT n FROM win))) d JOIN win ON d.s = win.s AND d.n = win.n),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+k AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(id, ',' ORDER BY id)) AS sha FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hit) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM w LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)"""
+
+REPEATED_STRINGS = """WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+p AS (SELECT doc_id, p, md5(substr(x, 2 * p + 1, 200)) AS m FROM (SELECT doc_id, x, unnest(range(0, n - 99)) AS p FROM b WHERE n >= 100)),
+dup AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY m ORDER BY doc_id, p) AS r FROM p) WHERE r > 1),
+isle AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100 THEN 0 ELSE 1 END AS new FROM dup)),
+run AS (SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM isle GROUP BY doc_id, g),
+gap AS (SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS s, s AS e FROM (SELECT * FROM run UNION ALL SELECT doc_id, n, n FROM b)),
+kept AS (SELECT doc_id, string_agg(substr(x, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS x FROM gap JOIN b USING (doc_id) GROUP BY doc_id),
+t AS (SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans FROM run GROUP BY doc_id)
+SELECT b.doc_id, b.n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(kept.x)) AS kept_sha256 FROM b JOIN kept USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Learned models, the tokenizer and seeded draws are no SQL; tests hold those against brute force."""
+    return {"op2_near_duplicates": NEAR_DUPLICATES, "op3_decontaminate": DECONTAMINATE, "op5_repeated_strings": REPEATED_STRINGS}
