@@ -30,6 +30,7 @@ WARM_DOCS = 1000
 WARM_UPDATES = 400
 WARM_RATE, RATE = 0.06, 0.02
 SLICE = 4 << 20
+TOGETHER = 4_000_000
 PARTS = 64
 END = np.uint64(0x5EED5EED5EED5EED)
 
@@ -56,7 +57,8 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         tail = _PUNCT[low[end - 1]]
         a = np.maximum(end - 1 - (tail > 0), start)
         b = np.maximum(a - 1, start)
-        k[inner] = tail * 16 + ((low[a].astype(np.int64) * 7 + low[b] * 3) % 16)
+        kinds = recurrent.RARE_CLASSES // 4
+        k[inner] = tail * kinds + ((low[a].astype(np.int64) * 7 + low[b] * 3) % kinds)
     return h, k, bounds
 
 
@@ -213,24 +215,37 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double,
 def _score(model, weights):
     ln10 = np.log(10)
 
-    def run(batches):
-        m = model.value
-        for rows, data, offs in slices(batches, limit=2 * SLICE):
-            h, k, bounds = tokens(data, offs)
-            at, ids = m.ids(h, k)
-            p = recurrent.score(weights.value, m.layout, ids, bounds) / ln10
+    def lines(m, held):
+        """One result batch of several slices, so that a step's documents are many."""
+        ids = [m.ids(h, k) for _, _, h, k, _ in held]
+        sizes = np.concatenate([np.diff(b) for *_, b in held])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        p = recurrent.score(weights.value, m.layout, np.concatenate([i for _, i in ids]), bounds) / ln10
+        first = 0
+        for (doc_id, held_out, h, k, b), (at, i) in zip(held, ids, strict=True):
             inside = at >= 0
             log_count = np.where(inside, m.log_count[np.maximum(at, 0)] if len(m.count) else 0.0, 0.0)
-            rare = ids >= m.words
-            starts = bounds[:-1]
-            n = np.diff(bounds)
+            starts, n = b[:-1], np.diff(b)
             base = np.add.reduceat(log_count, starts) - n * m.unit
-            part = p + np.add.reduceat(np.where(rare, log_count - m.mass[k], 0.0), starts)
+            part = p[first : first + len(n)] + np.add.reduceat(np.where(i >= m.words, log_count - m.mass[k], 0.0), starts)
+            first += len(n)
             known = np.add.reduceat(inside.astype(np.int64), starts)
-            out = ~inside
-            where = np.concatenate([[0], np.cumsum(np.add.reduceat(out.astype(np.int64), starts))]).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(where), pa.array(h[out].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(n), pa.array(known), pa.array(base), pa.array(part), tail], [x.split()[0] for x in SCORED.split(", ")])
+            where = np.concatenate([[0], np.cumsum(n - known)]).astype(np.int32)
+            tail = pa.ListArray.from_arrays(pa.array(where), pa.array(h[~inside].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([doc_id, held_out, pa.array(n), pa.array(known), pa.array(base), pa.array(part), tail], [x.split()[0] for x in SCORED.split(", ")])
+
+    def run(batches):
+        m = model.value
+        held, size = [], 0
+        for rows, data, offs in slices(batches, limit=SLICE):
+            h, k, b = tokens(data, offs)
+            held.append((rows.column(0), rows.column(1), h, k, b))
+            size += len(h)
+            if size >= TOGETHER:
+                yield from lines(m, held)
+                held, size = [], 0
+        if held:
+            yield from lines(m, held)
 
     return run
 
@@ -240,7 +255,7 @@ def fit(train: DataFrame) -> tuple[Model, dict, DataFrame]:
     spark = train.sparkSession
     counts = written(train.select("text").mapInArrow(_count, "t long, k int, n long").groupBy("t", "k").agg(F.sum("n").alias("n")), "counts")
     total = counts.agg(F.sum("n"), F.count("*")).first()
-    classes = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}  # 64 rows
+    classes = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}  # RARE_CLASSES rows
     # the head, as packed bytes: HEAD rows at most
     head = counts.orderBy(F.desc("n"), "t").limit(HEAD).toPandas()
     model = Model(list(zip(head["t"], head["k"], head["n"], strict=True)), int(total[0] or 0), int(total[1]), classes)

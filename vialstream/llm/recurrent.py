@@ -11,9 +11,9 @@ import numpy as np
 
 from .common import sigmoid
 
-WORDS = 4096
-WORD_CLASSES = 64
-RARE_CLASSES = 64
+WORDS = 2048
+WORD_CLASSES = 32
+RARE_CLASSES = 32
 HIDDEN = 16
 
 
@@ -101,7 +101,7 @@ def score(w: dict, layout: Layout, ids: np.ndarray, bounds: np.ndarray, window:
 class Trainer:
     """Truncated backpropagation through time with Adagrad steps; rows of the large tables are updated sparsely."""
 
-    def __init__(self, w: dict, layout: Layout, rate: float, streams: int = 128, window: int = 24) -> None:
+    def __init__(self, w: dict, layout: Layout, rate: float, streams: int = 256, window: int = 24) -> None:
         self.w, self.layout, self.rate, self.streams, self.window = w, layout, rate, streams, window
         self.square = {k: np.full_like(v, 1e-2) for k, v in w.items()}
         self.tokens = 0
