@@ -98,7 +98,9 @@ def allowed_locally(sentence: Column, key: Column) -> Column:
         F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("all")),
         lambda a, p: F.struct((a["at"] + F.length(p) + n).alias("at"), F.array_append(a["all"], a["at"] + F.length(p)).alias("all")),
     )
-    starts = before_each["all"]
+    # 0 stands for a key that can't be found: nothing suppresses it
+    starts = F.when(F.size(parts) > 1, before_each["all"]).otherwise(F.array(F.lit(0)))
+    cues = "|".join(c.replace("-", "[-]") for c in NEGATION)
 
     def suppressed(at: Column) -> Column:
         first = F.greatest(at - 8, F.lit(1))
@@ -111,12 +113,9 @@ def allowed_locally(sentence: Column, key: Column) -> Column:
         near = _around(sentence, at, n, 70)
         product = near.rlike(PRODUCT) | (near.rlike(INSTRUCTION) & ~near.rlike(CLINICAL))
         close = _around(sentence, at, n, 60)
-        negated = F.lit(False)
-        for cue in NEGATION:
-            negated = negated | close.contains(cue)
-        return sign | helps | status | virus | product | negated
+        return (at > 0) & (sign | helps | status | virus | close.rlike(cues) | product)
 
-    return (F.size(starts) == 0) | F.exists(starts, lambda at: ~suppressed(at))
+    return F.exists(starts, lambda at: ~suppressed(at))
 
 
 def drop_generic(keys: Column) -> Column:
