@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,8 +73,18 @@ def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Row slices of about ``limit`` bytes of text at most (a longer text is a slice of its own)."""
+#: What operators keep in a Python worker between tasks, and how to drop it.
+kept_by: dict[str, Callable[[], None]] = {}
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, owner: str = "") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Row slices of about ``limit`` bytes of text at most (a longer text is a slice of its own).
+
+    Workers are used again by other operators: what anyone but ``owner`` keeps there is dropped first.
+    """
+    for name, drop in kept_by.items():
+        if name != owner:
+            drop()
     for batch in batches:
         data, offs = text_buffers(batch.column(batch.schema.get_field_index(column)))
         lo, n = 0, batch.num_rows

@@ -34,7 +34,7 @@ TREES, DEPTH, LEAST = 16, 8, 4
 PERMUTATIONS = TREES * DEPTH
 ESTIMATE = 0.72
 BLOCK = 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 _rng = np.random.Generator(np.random.PCG64(20))
 _MULTIPLY = _rng.integers(1, 2**63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -243,18 +243,20 @@ def _group_edges(percent: int):
     def run(batches):
         out: list[tuple[int, int]] = []
         for _, rows in _runs(batches, 3):
-            data, offs = text_buffers(rows.column(6))
-            h, at = shingle_sets(data, offs)
-            h1, h2 = digests(h, at)
-            # the row of a repeated id whose text is another one than its class's is left out
-            mine = (h1 == rows.column(4).to_numpy()) & (h2 == rows.column(5).to_numpy())
-            cid = rows.column(3).to_numpy()
-            _, first = np.unique(np.where(mine, cid, -1), return_index=True)
-            keep = first[mine[first]]
-            sets_ = [h[at[k] : at[k + 1]] for k in keep]
+            sets_: list[np.ndarray] = []
+            cid: list[int] = []
+            for part, data, offs in slices(rows.to_batches()):
+                h, at = shingle_sets(data, offs)
+                h1, h2 = digests(h, at)
+                # the row of a repeated id whose text is another one than its class's is left out
+                mine = (h1 == part.column(4).to_numpy()) & (h2 == part.column(5).to_numpy())
+                for k, c in enumerate(part.column(3).to_pylist()):
+                    if mine[k] and (not cid or cid[-1] != c):  # rows are sorted by class
+                        sets_.append(h[at[k] : at[k + 1]].copy())
+                        cid.append(c)
             part_at = np.concatenate([[0], np.cumsum([len(s) for s in sets_])])
-            sig = signatures(np.concatenate(sets_) if sets_ else h[:0], part_at)
-            out += [(int(cid[keep[x]]), int(cid[keep[y]])) for x, y in confirmed_edges(sets_, sig, percent)]
+            sig = signatures(np.concatenate(sets_) if sets_ else np.zeros(0, np.uint64), part_at)
+            out += [(cid[x], cid[y]) for x, y in confirmed_edges(sets_, sig, percent)]
             if len(out) > 10_000:
                 yield _edge_batch(out)
                 out = []

@@ -70,7 +70,9 @@ def term_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    x = np.sqrt(counts) * idf
+    """The weights of the terms, in the place of their frequencies."""
+    x = np.sqrt(counts, out=counts)
+    x *= idf
     x[:, SHAPE_SLOTS : SHAPE_SLOTS + WORD_SLOTS] *= 0.5
     return x
 
@@ -103,9 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn, per_class: int = PER_CLAS
         x[k, r["at"]] = r["value"]
     y = np.array([r["quality"] for r in got])
     idf = np.log((1 + len(x)) / (1 + (x > 0).sum(0))).astype(np.float32) + 1
-    a = weighted(x, idf)
-    gram = a.astype(np.float64) @ a.T.astype(np.float64)
-    value, vector = np.linalg.eigh(gram)
+    a = weighted(x, idf)  # in place
+    value, vector = np.linalg.eigh((a @ a.T).astype(np.float64))
     top = np.argsort(-value)[:dims]
     top = top[value[top] > 1e-9]
     projection = (a.T @ (vector[:, top] / np.sqrt(value[top]))).astype(np.float32)

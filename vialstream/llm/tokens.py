@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import own_columns, range_shards, slices, table, text_buffers, written
+from .common import kept_by, own_columns, range_shards, slices, table, text_buffers, written
 
 END_ID = 0
 SCALE = 18
@@ -48,6 +48,7 @@ _WHOLE = re.compile(r"[\x1c-\x1f]|<\|endoftext\|>")
 _WIDE = re.compile(r" \s|\s ")
 LINE = "\n"
 _loaded: dict[str, "Vocabulary"] = {}
+kept_by["tokens"] = _loaded.clear
 
 BLOCKS = "shard int, block int, n_ids long, doc_ids binary, null_ids binary, lengths binary, states binary, words binary, checkpoint binary, crc long"
 
@@ -74,15 +75,16 @@ def _split(text: str) -> list[str]:
 
 
 class Vocabulary:
-    """One tokenizer, and the ids of the first ``CACHE_WORDS`` pieces and pre-tokens that were met.
+    """One tokenizer, and the ids of the first ``words`` pieces, and as many pre-tokens, that were met.
 
     What is met after that is encoded again in each slice, so memory stays bounded.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, words: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.most = CACHE_WORDS if words is None else words
         self.hot: dict[str, bytes] = {}  # the first slice's most frequent pieces, small enough for the processor's cache
         self.pieces: dict[str, bytes] = {}
         self.tokens: dict[str, bytes] = {}
@@ -120,7 +122,7 @@ class Vocabulary:
         if None in known:
             new = {s for s, v in zip(parts, known, strict=True) if v is None}
             fresh = self.new_tokens(list(new))
-            if len(self.tokens) + len(fresh) <= CACHE_WORDS:
+            if len(self.tokens) + len(fresh) <= self.most:
                 self.tokens.update(fresh)
             known = [fresh[s] if v is None else v for s, v in zip(parts, known, strict=True)]
         return b"".join(known)
@@ -153,7 +155,7 @@ class Vocabulary:
                     k[i - 1] = cold(c[i])
                 new.update([c[i] for i in at if k[i - 1] is None])
         fresh = self.new_pieces(list(new)) if new else {}
-        if len(self.pieces) + len(fresh) <= CACHE_WORDS:
+        if len(self.pieces) + len(fresh) <= self.most:
             self.pieces.update(fresh)
         out = []
         for t, c, k in zip(texts, cut, known, strict=True):
@@ -169,18 +171,20 @@ class Vocabulary:
         return out
 
 
-def vocabulary(path: str) -> Vocabulary:
-    if path not in _loaded:
+def vocabulary(path: str, words: int | None = None) -> Vocabulary:
+    key = f"{path}|{words}"
+    if key not in _loaded:
+        _loaded.clear()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
+        _loaded[key] = Vocabulary(path, words)
+    return _loaded[key]
 
 
-def _tokenize(path: str):
+def _tokenize(path: str, words: int | None):
     def run(batches):
-        for rows, data, offs in slices(batches, limit=4 << 20):
+        for rows, data, offs in slices(batches, limit=4 << 20, owner="tokens"):
             texts = [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(vocabulary(path).encode(texts), pa.binary())], ["shard", "doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(vocabulary(path, words).encode(texts), pa.binary())], ["shard", "doc_id", "ids"])
 
     return run
 
@@ -332,12 +336,12 @@ def _decode(freq, keep_ids: bool):
     return run
 
 
-def encode_corpus(docs: DataFrame, tokenizer: str | None = None, block_ids: int = BLOCK_IDS, shard_docs: int = SHARD_DOCS) -> tuple[DataFrame, object]:
+def encode_corpus(docs: DataFrame, tokenizer: str | None = None, block_ids: int = BLOCK_IDS, shard_docs: int = SHARD_DOCS, cache_words: int | None = None) -> tuple[DataFrame, object]:
     """The blocks, written as Parquet, and the broadcast frequency table that reads them."""
     spark = docs.sparkSession
     path = tokenizer or default_tokenizer()
     dealt, n = range_shards(own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), shard_docs)
-    ids = written(dealt.select("shard", "doc_id", "text").mapInArrow(_tokenize(path), "shard int, doc_id long, ids binary"), "ids")
+    ids = written(dealt.select("shard", "doc_id", "text").mapInArrow(_tokenize(path, cache_words), "shard int, doc_id long, ids binary"), "ids")
     counted = ids.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most 65,536 rows
     counts = np.zeros(vocabulary(path).tok.get_vocab_size(), np.int64)
     for r in counted:
@@ -365,5 +369,8 @@ def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents' place and checksum in the token files."""
-    return decode(*encode_corpus(docs))
+    """Pipeline stage: the documents' place and checksum in the token files.
+
+    The workers have served other stages before, so this one keeps fewer segments than the query does.
+    """
+    return decode(*encode_corpus(docs, cache_words=150_000))
