@@ -91,7 +91,16 @@ def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: each document as many times as the mix takes it (0 to 3)."""
+    """Pipeline stage: each document as many times as the mix takes it (0 to 3).
+
+    The mix is drawn on rows without text; the texts are shuffled once, to meet their copies by id, text hash
+    and number among equal rows.
+    """
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    mixed = mixture(docs, keep=("text", "lang", "n_chars"))
-    return mixed.filter("copies > 0").withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*cols)
+    rows = own_columns(docs, *cols).withColumn("_th", F.xxhash64("text"))
+    drawn = mixture(rows, keep=("_th",)).select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_k"), "_th", "copies")
+    equal = Window.partitionBy("_k", "_th")
+    drawn = drawn.withColumn("_n", F.row_number().over(equal.orderBy(F.desc("copies")))).filter("copies > 0")
+    rows = rows.withColumn("_k", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).withColumn("_n", F.row_number().over(equal.orderBy("source")))
+    mixed = rows.join(drawn, ["_k", "_th", "_n"])
+    return mixed.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*cols)
