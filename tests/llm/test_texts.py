@@ -336,3 +336,13 @@ def test_order_sample_prefers_weight(spark):
     heavy = [r["copies"] for r in got if r["weight"] > 1]
     light = [r["copies"] for r in got if r["weight"] == 1]
     assert np.mean(heavy) > 3 * np.mean(light)
+
+
+def test_head_threshold(spark):
+    rows = [(k, 0, n) for k, n in enumerate([100, 100, 50, 50, 7, 3, 3, 3, 1, 1, 1, 1])]
+    counts = spark.createDataFrame(rows, "t long, k int, n long")
+    for most in (0, 1, 2, 4, 5, 9, 12, 100):
+        least = lm.head_threshold(counts, most)
+        head = [n for _, _, n in rows if n >= least]
+        assert len(head) <= most and (most < 2 or head)
+    assert lm.head_threshold(counts.limit(0), 5) > 0

@@ -250,14 +250,28 @@ def _score(model, weights):
     return run
 
 
+def head_threshold(counts: DataFrame, most: int) -> int:
+    """The least count that ``most`` tokens at most have or exceed, to a sixteenth of an octave.
+
+    Counts are summed in bins (about a thousand at any size), so no task sorts the tokens.
+    """
+    bins = counts.groupBy(F.floor(F.log2("n") * 16).alias("b")).agg(F.count("*").alias("v"), F.min("n").alias("least")).collect()
+    held, least = 0, 1 << 62
+    for r in sorted(bins, key=lambda r: -r["b"]):
+        held += r["v"]
+        if held > most:
+            break
+        least = r["least"]
+    return least
+
+
 def fit(train: DataFrame) -> tuple[Model, dict, DataFrame]:
     """The counts' model, the network's weights, and the table of all counts, from (doc_id, text) rows."""
     spark = train.sparkSession
     counts = written(train.select("text").mapInArrow(_count, "t long, k int, n long").groupBy("t", "k").agg(F.sum("n").alias("n")), "counts")
     total = counts.agg(F.sum("n"), F.count("*")).first()
     classes = {r["k"]: (r["n"], r["v"]) for r in counts.groupBy("k").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}  # RARE_CLASSES rows
-    # the head, as packed bytes: HEAD rows at most
-    head = counts.orderBy(F.desc("n"), "t").limit(HEAD).toPandas()
+    head = counts.filter(F.col("n") >= head_threshold(counts, HEAD)).toPandas().sort_values(["n", "t"], ascending=[False, True])  # HEAD rows at most
     model = Model(list(zip(head["t"], head["k"], head["n"], strict=True)), int(total[0] or 0), int(total[1]), classes)
     sent = spark.sparkContext.broadcast(model)
     warm = train.orderBy(F.xxhash64("doc_id", F.lit("warm")), "doc_id").limit(WARM_DOCS).select("text").coalesce(1)
