@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import math
 import random
 import re
 
@@ -67,6 +68,24 @@ def test_many_near_copies_in_blocks(spark, monkeypatch):
     assert sorted((tuple(x) for x in got), key=str) == groups(rows)
 
 
+def test_stage_links_at_its_own_percent(spark):
+    base = [f"w{k}" for k in range(504)]
+    rows = [(0, " ".join(base)), (1, " ".join([*base[:450], *(f"x{k}" for k in range(54))]))]
+    a, b = (shingles(t) for _, t in rows)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    docs = spark.createDataFrame([(*r, "aa", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r["doc_id"] for r in neardup.distinct_documents(spark, docs, "").collect()] == [0]
+    assert all(r["kept"] for r in neardup.near_duplicates(docs).collect())
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_at_the_threshold_are_missed_with_a_known_chance(percent):
+    p = percent / 100
+    trees, need, n = neardup.tree_count(percent), neardup.least_agreement(percent), neardup.PERMUTATIONS
+    few = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(need))
+    assert trees * neardup.LEAST <= n and few + (1 - p**neardup.LEAST) ** trees <= 1e-5
+
+
 def test_components(spark):
     path = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 101), (100, 101)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(path, "a long, b long")).collect()}

@@ -2,17 +2,18 @@
 
 1. Each text's set of ``SHINGLE``-word shingles (64-bit hashes) gets a digest and ``PERMUTATIONS`` minima of
    16 bits.  Texts with equal sets are one class; only classes go on.
-2. ``TREES`` orders sort the classes by different runs of ``DEPTH`` minima.  A region of an order is what
-   shares the first ``LEAST`` minima.  Within a region, classes join along the order: the neighbours with the
+2. ``tree_count(percent)`` orders sort the classes by different runs of ``DEPTH`` minima.  A region of an order
+   is what shares the first ``LEAST`` minima, which no other order has first.  Within a region, classes join along the order: the neighbours with the
    longest common prefix first, then, where those leave parts, the depth drops step by step and the parts'
    members are compared at that depth, until at ``LEAST`` all of them were.  Two classes join if their minima
-   agree in ``ESTIMATE`` of all places (four standard deviations below the threshold).  Only spanning edges
+   agree in ``least_agreement(percent)`` places.  Only spanning edges
    leave a region.  Regions above ``BLOCK`` classes are cut into blocks, and every two blocks are compared.
 3. The components of these edges are loose groups.  The texts of each group meet (in blocks, as above), and
    pairs not yet linked are confirmed on full sets: 100 * intersection >= ``percent`` * union.
 4. The components of the confirmed links are the result.
 
-A true pair at 0.85 meets in none of the 16 orders with a chance below 1e-5.  Copies never expand into pairs.
+A pair at the threshold meets in no order with a chance below ``MISS``, and agrees in too few minima with a
+chance below ``MISS``; so it is missed with a chance below 1e-5.  Copies never expand into pairs.
 Cases: a null text and one without words have an empty set, and stand alone; a text with fewer words than a
 shingle has one shingle of all; rows that repeat a doc_id are rows of their own, and a null doc_id is never a
 component's id if it has another member; no rows give no rows; extra columns are ignored.
@@ -20,6 +21,8 @@ component's id if it has another member; no rows give no rows; extra columns are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +33,10 @@ from .components import components
 
 SHINGLE = 5
 PERCENT = 85
-TREES, DEPTH, LEAST = 16, 8, 4
-PERMUTATIONS = TREES * DEPTH
-ESTIMATE = 0.72
+STAGE_PERCENT = 80
+DEPTH, LEAST = 8, 4
+PERMUTATIONS = 128
+MISS = 5e-6
 BLOCK = 1024
 BLOCK_BYTES = 2 << 20
 
@@ -42,6 +46,24 @@ _ADD = _rng.integers(0, 2**63, PERMUTATIONS, dtype=np.uint64)
 _PLACE = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def tree_count(percent: int) -> int:
+    """So many orders that a pair at the threshold shares no region of any with a chance of ``MISS`` at most."""
+    trees = math.ceil(math.log(MISS) / math.log(1 - min(percent / 100, 0.99) ** LEAST))
+    if trees * LEAST > PERMUTATIONS:
+        raise ValueError(f"{percent} % needs {trees} orders; {PERMUTATIONS} minima give {PERMUTATIONS // LEAST}")
+    return trees
+
+
+def least_agreement(percent: int) -> int:
+    """The most minima that a pair at the threshold agrees in but for a chance of ``MISS`` at most."""
+    p, tail = percent / 100, 0.0
+    for k in range(PERMUTATIONS + 1):
+        tail += math.comb(PERMUTATIONS, k) * p**k * (1 - p) ** (PERMUTATIONS - k)
+        if tail > MISS:
+            return k
+    return PERMUTATIONS
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Each document's distinct shingle hashes, sorted, end to end, and the n + 1 bounds."""
     n = len(offs) - 1
@@ -136,7 +158,7 @@ def _agree(sig: np.ndarray, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
 def forest_edges(sig: np.ndarray, tree: int, need: int) -> list[tuple[int, int]]:
     """Spanning edges among the rows of one region of one order."""
     n = len(sig)
-    part = sig[:, tree * DEPTH : (tree + 1) * DEPTH]
+    part = sig[:, (tree * LEAST + np.arange(DEPTH)) % PERMUTATIONS]
     order = np.lexsort(part.T[::-1])
     edges, sets = [], Sets(n)
     if n > 1:  # neighbours in the order: the longest common prefixes
@@ -168,7 +190,7 @@ def confirmed_edges(sets_: list[np.ndarray], sig: np.ndarray, percent: int) -> l
     """Spanning edges of the links among full sets, the likeliest pairs first."""
     n = len(sets_)
     size = np.array([len(s) for s in sets_])
-    need = int(ESTIMATE * PERMUTATIONS)
+    need = least_agreement(percent)
     sets, edges = Sets(n), []
     cands: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for k in range(0, n, 64):
@@ -227,16 +249,20 @@ def _edge_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
 
 
-def _region_edges(batches):
-    need = int(ESTIMATE * PERMUTATIONS)
-    out: list[tuple[int, int]] = []
-    for (tree, *_), rows in _runs(batches, 4):
-        cid = rows.column(4).to_pylist()
-        out += [(cid[x], cid[y]) for x, y in forest_edges(_signature_rows(rows.column(5)), tree, need)]
-        if len(out) > 10_000:
-            yield _edge_batch(out)
-            out = []
-    yield _edge_batch(out)
+def _region_edges(percent: int):
+    need = least_agreement(percent)
+
+    def run(batches):
+        out: list[tuple[int, int]] = []
+        for (tree, *_), rows in _runs(batches, 4):
+            cid = rows.column(4).to_pylist()
+            out += [(cid[x], cid[y]) for x, y in forest_edges(_signature_rows(rows.column(5)), tree, need)]
+            if len(out) > 10_000:
+                yield _edge_batch(out)
+                out = []
+        yield _edge_batch(out)
+
+    return run
 
 
 def _group_edges(percent: int):
@@ -280,12 +306,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     same = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.min("n_bytes").alias("n_bytes"))
     classes = written(same.withColumn("cid", F.monotonically_increasing_id()), "classes")
     # regions with two classes or more
-    keyed = classes.select("cid", F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * (2 * DEPTH) + 1, F.lit(2 * LEAST)).alias("key")))).alias("k")).select("cid", "k.tree", "k.key")
+    keyed = classes.select("cid", F.explode(F.transform(F.sequence(F.lit(0), F.lit(tree_count(percent) - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * (2 * LEAST) + 1, F.lit(2 * LEAST)).alias("key")))).alias("k")).select("cid", "k.tree", "k.key")
     regions = keyed.groupBy("tree", "key").count().filter("count > 1")
     shared = keyed.join(regions, ["tree", "key"]).join(classes.select("cid", "sig"), "cid")
     shared = _blocks(shared, F.ceil(F.col("count") / BLOCK))
     shared = shared.repartition(2 * wide, "tree", "key", "x", "y").sortWithinPartitions("tree", "key", "x", "y")
-    loose = components(shared.select("tree", "key", "x", "y", "cid", "sig").mapInArrow(_region_edges, "a long, b long"))
+    loose = components(shared.select("tree", "key", "x", "y", "cid", "sig").mapInArrow(_region_edges(percent), "a long, b long"))
     loose = written(loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct()), "loose")
     # the texts of each loose group
     members = classes.select("cid", "rep", "h1", "h2", "n_bytes").join(loose.withColumnRenamed("node", "cid"), "cid")
@@ -310,7 +336,7 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays, the one with the least id."""
+    """Pipeline stage: one document of each group at ``STAGE_PERCENT`` stays, the one with the least id."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    gone = written(near_duplicates(docs).filter(~F.col("kept")).select("doc_id"), "gone").distinct()
+    gone = written(near_duplicates(docs, STAGE_PERCENT).filter(~F.col("kept")).select("doc_id"), "gone").distinct()
     return own_columns(docs, *cols).join(gone, "doc_id", "left_anti").select(*cols)
