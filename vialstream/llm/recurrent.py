@@ -11,9 +11,9 @@ import numpy as np
 
 from .common import sigmoid
 
-WORDS = 2048
-WORD_CLASSES = 32
-RARE_CLASSES = 32
+WORDS = 4096
+WORD_CLASSES = 64
+RARE_CLASSES = 64
 HIDDEN = 16
 
 
@@ -101,7 +101,7 @@ def score(w: dict, layout: Layout, ids: np.ndarray, bounds: np.ndarray, window:
 class Trainer:
     """Truncated backpropagation through time with Adagrad steps; rows of the large tables are updated sparsely."""
 
-    def __init__(self, w: dict, layout: Layout, rate: float, streams: int = 256, window: int = 24) -> None:
+    def __init__(self, w: dict, layout: Layout, rate: float, streams: int = 128, window: int = 24) -> None:
         self.w, self.layout, self.rate, self.streams, self.window = w, layout, rate, streams, window
         self.square = {k: np.full_like(v, 1e-2) for k, v in w.items()}
         self.tokens = 0
@@ -112,22 +112,23 @@ class Trainer:
         self.w[key][rows] -= self.rate * grad / np.sqrt(s)
 
     def text(self, ids: np.ndarray, begins: np.ndarray) -> None:
-        """One pass over documents laid end to end, in ``streams`` equal parts; begins marks first tokens."""
-        each = len(ids) // self.streams
-        if each < 2:
+        """One pass over documents laid end to end, in ``streams`` equal parts, the last one padded; begins marks first tokens."""
+        each = -(-len(ids) // self.streams)
+        if len(ids) < 2 * self.streams:
             if len(ids) < 2:
                 return
-            streams, each = 1, len(ids)
-        else:
-            streams = self.streams
-        x = ids[: each * streams].reshape(streams, each)
-        b = begins[: each * streams].reshape(streams, each)
+            each = len(ids)
+        streams = -(-len(ids) // each)
+        pad = each * streams - len(ids)
+        x = np.pad(ids, (0, pad)).reshape(streams, each)
+        b = np.pad(begins, (0, pad)).reshape(streams, each)
+        live = (np.arange(each * streams) < len(ids)).reshape(streams, each)
         h = np.zeros((streams, HIDDEN), np.float32)
         for t in range(0, each, self.window):
-            h = self.update(h, x[:, t : t + self.window].T, b[:, t : t + self.window].T)
+            h = self.update(h, *(v[:, t : t + self.window].T for v in (x, b, live)))
 
-    def update(self, h: np.ndarray, x: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """One window: (steps, streams) tokens; the state at a document's first token is zero."""
+    def update(self, h: np.ndarray, x: np.ndarray, begins: np.ndarray, live: np.ndarray | None = None) -> np.ndarray:
+        """One window: (steps, streams) tokens; the state at a document's first token is zero; what is not live is padding."""
         w, lay, n = self.w, self.layout, HIDDEN
         steps, streams = x.shape
         saved, hs = [], []
@@ -147,6 +148,10 @@ class Trainer:
         e /= e.sum(1, keepdims=True)
         k = lay.klass[ids]
         e[np.arange(m), k] -= 1
+        if live is not None and not live.all():
+            flat_live = live.reshape(-1)
+            e[~flat_live] = 0
+            k = np.where(flat_live, k, -1)
         e /= streams
         dh = e @ w["c"].T
         gc, gcb = flat.T @ e, e.sum(0)
@@ -187,5 +192,5 @@ class Trainer:
         self._apply("u", gu)
         self._apply("c", gc)
         self._apply("cb", gcb)
-        self.tokens += m
+        self.tokens += m if live is None else int(live.sum())
         return h
