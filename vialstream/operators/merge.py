@@ -1,6 +1,6 @@
 """Entity resolution of label products.
 
-Any merge needs a shared product concept, SNOMED parent, application number, label or normalised code, within
+Any merge needs a shared product concept, SNOMED parent, application number, label, normalised code or prior id, within
 one source type and co-pack flag.  These keys give edges; connected components are complete blocks; within a
 block the passes run greedily in ascending order of guid, so that a result depends on nothing else.
 """
@@ -76,24 +76,28 @@ def may_merge(a: dict, b: dict) -> bool:
 
 
 _SETS = ("cuis", "parents", "ingredients", "ndas", "ndcs")
+_PRIOR = "prior_ids"
 
 
 def _greedy(block: pd.DataFrame) -> pd.DataFrame:
-    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in _SETS} for r in block.sort_values("guid").to_dict("records")]
+    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, _PRIOR)} for r in block.sort_values("guid").to_dict("records")]
     win = {r["guid"]: r["guid"] for r in rows}
     live = rows
 
-    def sweep(candidates) -> None:
-        """Each row, in order, takes in the later rows that are candidates for it and pass the gate; it grows meanwhile."""
+    def sweep(candidates, earlier: bool = False) -> None:
+        """Each row, in order, takes in the later rows that are candidates for it and pass the gate; it grows meanwhile.
+
+        A test of containment isn't symmetric: with ``earlier`` the containing row takes in the rows before it as well.
+        """
         nonlocal live
         done: set[str] = set()
         for a in live:
             if a["guid"] in done:
                 continue
             for b in live:
-                if b is a or b["guid"] in done or b["guid"] < a["guid"] or not candidates(a, b) or not may_merge(a, b):
+                if b is a or b["guid"] in done or (b["guid"] < a["guid"] and not earlier) or not candidates(a, b) or not may_merge(a, b):
                     continue
-                for s in _SETS:
+                for s in (*_SETS, _PRIOR):
                     a[s] = a[s] | b[s]
                 done.add(b["guid"])
                 win[b["guid"]] = a["guid"]
@@ -101,11 +105,12 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
 
     sweep(lambda a, b: len(a["cuis"]) == 1 and a["cuis"] == b["cuis"])
     sweep(lambda a, b: len(a["cuis"]) > 1 and a["cuis"] == b["cuis"])
-    sweep(lambda a, b: len(a["cuis"]) > 1 and len(b["cuis"]) == 1 and b["cuis"] <= a["cuis"])
+    sweep(lambda a, b: len(a["cuis"]) > 1 and len(b["cuis"]) == 1 and b["cuis"] <= a["cuis"], earlier=True)
     sweep(lambda a, b: bool(a["ndas"] & b["ndas"]))
-    sweep(lambda a, b: bool(b["parents"]) and b["parents"] <= a["parents"])
+    sweep(lambda a, b: bool(b["parents"]) and b["parents"] <= a["parents"], earlier=True)
     sweep(lambda a, b: bool(a["ingredients"]) and a["ingredients"] == b["ingredients"])
     sweep(lambda a, b: bool(a["ndcs"] & b["ndcs"]))
+    sweep(lambda a, b: bool(a[_PRIOR]) and bool(b[_PRIOR]) and min(a[_PRIOR]) == min(b[_PRIOR]))
 
     def top(g: str) -> str:
         while win[g] != g:
@@ -115,11 +120,17 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"guid": list(win), "winner": [top(g) for g in win]})
 
 
-def merge_products(products: DataFrame) -> DataFrame:
-    """(guid, winner) from products (guid, source_type, copack, cuis, parents, ingredients, ndas, ndcs)."""
+def merge_products(products: DataFrame, prior: DataFrame | None = None) -> DataFrame:
+    """(guid, winner) from products (guid, source_type, copack, cuis, parents, ingredients, ndas, ndcs) and
+    prior (guid, substance_id)."""
+    if prior is None:
+        products = products.withColumn(_PRIOR, F.array().cast("array<bigint>"))
+    else:
+        ids = prior.groupBy("guid").agg(F.array_sort(F.collect_set(F.col("substance_id").cast("bigint"))).alias(_PRIOR))
+        products = products.join(ids, "guid", "left")
     kind = lambda c: F.transform(c, lambda x: F.concat_ws("|", F.lit(c), F.col("source_type").cast("string"), F.col("copack").cast("string"), x.cast("string")))
-    keyed = products.select("guid", *[kind(c).alias(c) for c in ("cuis", "parents", "ndas", "ndcs", "ingredients")])
-    edges = key_edges(keyed, "guid", ["cuis", "parents", "ndas", "ndcs", "ingredients"])
+    keyed = products.select("guid", *[kind(c).alias(c) for c in ("cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR)])
+    edges = key_edges(keyed, "guid", ["cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR])
     roots = components(products.select(F.col("guid").alias("node")), edges)
     blocks = products.join(roots.withColumnRenamed("node", "guid"), "guid")
     return blocks.groupBy("root").applyInPandas(lambda b: _greedy(b), "guid string, winner string")
