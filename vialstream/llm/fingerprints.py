@@ -1,7 +1,7 @@
 """Document fingerprints by I-Match, with DataFrame functions only.
 
 A text's terms are its distinct lower-cased words as 64-bit hashes.  The lexicon holds the terms that occur
-in a share of ``LOW`` to ``HIGH`` of all documents (a band of inverse document frequency).  It is cut into
+in a share of ``LOW`` to ``HIGH`` of all distinct sets of terms (a band of inverse document frequency).  It is cut into
 randomised subsets, by bits of the hash: ``SUBSETS`` lists (bits, subsets), each subset with one term in
 2 ** bits.  Each subset's terms of a text, sorted, are hashed; the fingerprint is the list of all hashes.
 Sparse subsets survive edits of long texts, dense ones those of short texts.
@@ -10,8 +10,8 @@ The likeness of two fingerprints is the share of subsets, of those with a term o
 are equal.  The lexicon has at most mean terms a document / low share members, and the low share is raised
 where that bound would pass ``MOST_TERMS``; it reaches the tasks as one constant of ``BUCKETS`` lists.
 
-Cases: null and empty texts have one fingerprint; a text without a term in the band has a hash of all its
-terms instead, alike (1) only with an equal one; one document is its own next; equal ids are ordered by the
+Cases: null and empty texts have one fingerprint; a text with fewer than one band term in ``FEW`` terms
+(all of a crowded group of near copies may be above the band) has subsets of all its terms instead; one document is its own next; equal ids are ordered by the
 text's hash; null ids come last; repeated rows stay; extra columns are ignored.
 """
 
@@ -27,6 +27,7 @@ from .common import own_columns, range_shards, table, written
 LOW, HIGH = 0.001, 0.05
 MOST_TERMS = 400_000
 BUCKETS = 1 << 16
+FEW = 16
 SUBSETS = ((1, 2), (3, 6), (5, 12), (7, 24), (9, 36))
 SHARD_DOCS = 512
 
@@ -39,8 +40,10 @@ def terms(text: Column) -> Column:
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> Column:
     """A constant array of buckets, each with the lexicon terms that fall in it; ``MOST_TERMS`` at most."""
-    n = docs.count()
-    df = written(docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("t")).groupBy("t").count(), "df")
+    sets = docs.select(terms(F.coalesce("text", F.lit(""))).alias("a")).groupBy(F.xxhash64("a").alias("h")).agg(F.first("a").alias("a"))
+    sets = written(sets, "sets")  # copies count once
+    n = sets.count()
+    df = written(sets.select(F.explode("a").alias("t")).groupBy("t").count(), "df")
     total = df.agg(F.sum("count")).first()[0] or 0
     low = max(low, total / max(1, n) / MOST_TERMS)
     buckets: list[list[int]] = [[] for _ in range(BUCKETS)]
@@ -55,6 +58,7 @@ def fingerprint_columns(df: DataFrame, texts: dict[str, str], buckets: Column) -
     df = df.select(*held, F.array(*[terms(F.coalesce(F.col(t), F.lit(""))) for t in texts.values()]).alias("_all"))
     df = df.select("*", F.transform("_all", lambda a: F.filter(a, lambda t: F.array_contains(F.element_at(buckets, (F.pmod(t, F.lit(BUCKETS)) + 1).cast("int")), t))).alias("_in"))
     df = df.select(*held, *[F.col(c)[k].alias(f"{c}_{n}") for k, n in enumerate(texts) for c in ("_all", "_in")])
+    df = df.withColumns({f"_in_{n}": F.when(F.size(f"_in_{n}") * FEW >= F.size(f"_all_{n}"), F.col(f"_in_{n}")).otherwise(F.col(f"_all_{n}")) for n in texts})
     shift, levels = 16, []  # the low 16 bits choose the bucket
     for bits, count in SUBSETS:
         levels.append((bits, count, shift))
