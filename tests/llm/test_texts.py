@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vialstream.llm import fingerprints, language, lm, mixing, pii, quality, recurrent, tokens
@@ -254,20 +255,41 @@ def library():
     return Tokenizer.from_file(tokens.default_tokenizer())
 
 
+def buffers(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+
+
+def ids_of(v, texts):
+    ids, at = v.encode(*buffers(texts))
+    return [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:], strict=True)]
+
+
+def odd_texts(n=400, seed=11):
+    """Random strings of white space of all kinds, letters, marks, contractions and added tokens."""
+    r = np.random.default_rng(seed)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x1f", "\x00", "\x7f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u3000", "a", "Word", "é", "ß", "×", "÷", "Ω", "日", "本語", "😀", "'", "'s", "'re", "'x", ".", ",", "-", "_", "12", "3", "½", "«", "…", "<|endoftext|>", "<|", "e\u0301", "averylongwordthatgoesbeyondakey"]
+    return ["".join(parts[k] for k in r.integers(0, len(parts), r.integers(0, 14))) for _ in range(n)]
+
+
 def test_tokens_equal_the_library(rows):
     tok = library()
-    texts = [r[1] or "" for r in rows] + ["  a  b\n\n c ", "x\x1c y", "a <|endoftext|>  b", "it's we'll\tz\r\n", "²x ½ ª_a", "a\n b", "q\nr s\nt", " ", "\n"]
+    texts = [r[1] or "" for r in rows] + ["  a  b\n\n c ", "x\x1c y", "a <|endoftext|>  b", "it's we'll\tz\r\n", "²x ½ ª_a", "a\n b", "q\nr s\nt", " ", "\n"] + odd_texts()
+    v = tokens.Vocabulary(tokens.default_tokenizer())
     for _ in range(2):  # the second time from the kept pieces
-        got = [np.frombuffer(b, "<u2").tolist() for b in tokens.vocabulary(tokens.default_tokenizer()).encode(texts)]
-        assert got == [[*e.ids, 0] for e in tok.encode_batch(texts, add_special_tokens=False)]
+        assert ids_of(v, texts) == [[*e.ids, 0] for e in tok.encode_batch(texts, add_special_tokens=False)]
+    assert ids_of(v, []) == [] and ids_of(v, [""]) == [[0]]
 
 
-def test_small_caches(monkeypatch, rows):
-    monkeypatch.setattr(tokens, "CACHE_WORDS", 50)
-    v = tokens.Vocabulary(tokens.default_tokenizer())
+def test_small_tables_and_long_texts(rows):
     tok = library()
-    for r in rows:
-        assert np.frombuffer(v.encode([r[1] or ""])[0], "<u2").tolist() == [*tok.encode(r[1] or "", add_special_tokens=False).ids, 0]
+    for most in (0, 50):
+        v = tokens.Vocabulary(tokens.default_tokenizer(), most)
+        for r in rows:
+            assert ids_of(v, [r[1] or ""]) == [[*tok.encode(r[1] or "", add_special_tokens=False).ids, 0]]
+        assert len(v.pieces.n) <= most
+    for t in ("x" * 100_000, "ab c. " * 40_000, " " * 50_000, "é" * 50_000):
+        assert ids_of(tokens.Vocabulary(tokens.default_tokenizer()), [t, "z"]) == [[*tok.encode(x, add_special_tokens=False).ids, 0] for x in (t, "z")]
 
 
 def test_coder_round_trip():
@@ -281,17 +303,33 @@ def test_coder_round_trip():
         assert (np.concatenate([head, tail]) == ids[:n]).all()
 
 
-def test_files(docs, rows, empty, repeated):
+def test_files(spark, docs, rows, empty, repeated, tmp_path):
     tok = library()
-    got = {r["doc_id"]: r for r in tokens.decode(*tokens.encode_corpus(docs, block_ids=500, shard_docs=20), keep_ids=True).collect()}
+    path = tokens.encode_corpus(docs, block_ids=500, path=str(tmp_path / "files"))
+    assert path == str(tmp_path / "files")
+    got = {r["doc_id"]: r for r in tokens.decode(spark, path, keep_ids=True).collect()}
     start = 0
     for k, t, *_ in sorted(rows):
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
         r = got[k]
         assert (r["start"], r["n_tokens"], list(r["ids"]), r["ids_crc32"]) == (start, len(ids), ids, zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
-    assert tokens.decode(*tokens.encode_corpus(empty)).count() == 0
-    assert tokens.decode(*tokens.encode_corpus(repeated)).count() == repeated.count()
+    assert tokens.decode(spark, tokens.encode_corpus(empty)).count() == 0
+    rows = sorted(tokens.decode(spark, tokens.encode_corpus(repeated)).collect(), key=lambda r: r["start"])
+    assert len(rows) == repeated.count() and [r["start"] for r in rows] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in rows])[:-1]]).tolist()
+    known = [r["doc_id"] for r in rows]
+    assert known == sorted(known, key=lambda k: (k is not None, k or 0))
+
+
+def test_a_damaged_file_is_told(spark, docs, tmp_path):
+    path = tokens.encode_corpus(docs, path=str(tmp_path / "files"))
+    spark.read.parquet(f"{path}/blocks").withColumn("words", F.concat(F.col("words"), F.lit(b"x"))).write.parquet(f"{path}2/blocks")
+    spark.read.parquet(f"{path}/frequencies").write.parquet(f"{path}2/frequencies")
+    with pytest.raises(Exception, match="checksum"):
+        tokens.decode(spark, f"{path}2").collect()
+    spark.read.parquet(f"{path}/frequencies").withColumn("crc", F.col("crc") + 1).write.parquet(f"{path}3/frequencies")
+    with pytest.raises(ValueError, match="checksum"):
+        tokens.decode(spark, f"{path}3")
 
 
 # ---- mixing -----------------------------------------------------------------------------

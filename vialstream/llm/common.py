@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,6 +43,13 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(*tables: DataFrame) -> None:
+    """Empties tables that ``written`` made and that nothing reads any more."""
+    for df in tables:
+        for path in sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()}):
+            df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+
+
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, taken by exact name, so that extra ones can't clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])
@@ -149,6 +157,25 @@ class Rolling:
         return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+_HEAD_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words' bytes and lengths, eight bytes at a time; words above 64 bytes by blake2b."""
+    words = np.ndarray(len(data) + 8, "<u8", np.concatenate([data, np.zeros(16, np.uint8)]), strides=(1,))
+    size = end - start
+    h = mix((words[start] & _HEAD_MASK[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    left = np.flatnonzero(size > 8)
+    for k in range(8, 64, 8):
+        if not len(left):
+            return h
+        h[left] = mix(h[left] ^ (words[start[left] + k] & _HEAD_MASK[np.minimum(size[left] - k, 8)]))
+        left = left[size[left] > k + 8]
+    for k in left.tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 def word_bounds(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and document of each maximal run of ``inside`` bytes; documents part words."""
     n = len(inside)
@@ -165,7 +192,7 @@ def word_bounds(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.nd
     last[cuts - 1] = inside[cuts - 1]
     start = np.flatnonzero(first)
     end = np.flatnonzero(last) + 1
-    return start, end, np.searchsorted(offs, start, "right") - 1
+    return start, end, np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs)))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

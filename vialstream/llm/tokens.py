@@ -1,57 +1,61 @@
 """Token-ID files: range asymmetric numeral coding with static, shared frequency tables.
 
-``encode_corpus`` writes a Parquet table of independent blocks in ascending order of doc_id; ``decode``
-reads it back, block by block.  A block holds whole documents, about ``BLOCK_IDS`` ids.  Its ids are
-dealt to ``LANES`` coder states that share one stream of 32-bit words; a checkpoint in the middle
-(step, word position, states) lets two readers decode one block, and a crc32 guards each block.
-The frequency table counts all ids of all documents, scaled to 2 ** ``SCALE`` with at least 1 for each
-id that occurs.
-
-Documents are dealt to shards by quantiles of doc_id, so that a shard is a range of ids and the order of
-shards, then of blocks, is the order of documents.  Cases: a null or empty text has only the end id; a
-null doc_id comes first; equal doc_ids are ordered by their ids' bytes; no rows give no blocks; extra
-columns are ignored; a very long text makes one larger block.
+``encode_corpus`` writes two Parquet tables under one path: ``blocks``, independent blocks in ascending order
+of doc_id, and ``frequencies``, the table that they share with its checksum.  ``decode`` needs nothing but that
+path.  A block holds whole documents, about ``BLOCK_IDS`` ids.  Its ids are dealt to ``LANES`` coder states that
+share one stream of 32-bit words; a checkpoint in the middle (step, word position, states) lets two readers
+decode one block, and a crc32 guards each block.  The frequency table counts all ids of all documents, scaled
+to 2 ** ``SCALE`` with at least 1 for each id that occurs.
+
+Documents are dealt to shards by ranges of doc_id, as many as the session has shuffle partitions; a shard is
+streamed block by block, so a task's memory holds a block and not a shard.  Cases: a null or empty text has
+only the end id; a null doc_id comes first; equal doc_ids are ordered by their ids' bytes; no rows give no
+blocks; extra columns are ignored; a very long text makes one larger block.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import re
+import uuid
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_by, own_columns, range_shards, slices, table, text_buffers, written
+from .common import checkpoint_dir, kept_by, mix, own_columns, released, slices, table, text_buffers, written
 
 END_ID = 0
 SCALE = 18
 LANES = 1024
 BLOCK_IDS = 1 << 18
-SHARD_DOCS = 1 << 12
 LOW = np.uint64(1 << 31)
-CACHE_WORDS = 400_000
-HOT_WORDS = 1 << 15
-
-#: Byte-level pre-tokens of texts that are ASCII and Latin-1 letters only.
-_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PRETOKEN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[0-9]+| ?[^\s0-9{_LETTER}]+|\s+(?!\S)|\s+")
-#: In other texts, the runs that no pre-token crosses.
-_OTHER = re.compile(r"[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
-_SEGMENT = re.compile(r" ?[^\s]+|\s+(?!\S)|\s+")
-#: Where Python's white space or an added token may part text differently, the library gets the whole text.
-_WHOLE = re.compile(r"[\x1c-\x1f]|<\|endoftext\|>")
-#: A space beside other white space.
-_WIDE = re.compile(r" \s|\s ")
+#: Pieces that a worker keeps with their ids; others are encoded again in each slice.
+PIECES = 1 << 18
+#: Bytes of a piece that fit its key: three words, the last byte of which is the length.
+KEY_BYTES = 23
 LINE = "\n"
 _loaded: dict[str, "Vocabulary"] = {}
 kept_by["tokens"] = _loaded.clear
 
 BLOCKS = "shard int, block int, n_ids long, doc_ids binary, null_ids binary, lengths binary, states binary, words binary, checkpoint binary, crc long"
 
+#: Kinds of bytes: white space, marks, digits, letters, control characters, bytes of longer characters.
+_SPACE, _MARK, _DIGIT, _ALPHA, _CONTROL, _LONG = range(6)
+_KIND = np.full(256, _CONTROL, np.uint8)
+_KIND[0x21:0x7F] = _MARK
+_KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _ALPHA
+_KIND[0x80:] = _LONG
+#: Bytes that stand in no white space.
+_BLACK = np.isin(_KIND, (_MARK, _DIGIT, _ALPHA, _LONG))
+_BLACK[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+_KEY_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+
 
 def default_tokenizer() -> str:
     import public_tokenizers
@@ -59,132 +63,197 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _tokenizer(path: str) -> tuple:
-    if path not in _loaded:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _loaded[path] = (Tokenizer.from_file(path), Kept(), Kept())
-    return _loaded[path]
+def piece_starts(data: np.ndarray, offs: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where pieces start: at each non-empty text, at ASCII white space that follows what is surely none, and at
+    ASCII marks that follow a letter.
 
+    No pre-token of the byte-level pattern goes from another character to white space, or from a letter to a
+    mark, so encoding pieces apart is encoding the text.  Texts marked in ``whole`` are one piece.
+    """
+    kind = _KIND[data]
+    first = np.zeros(len(data), bool)
+    first[1:] = (kind[1:] == _SPACE) & ((kind[:-1] == _ALPHA) | (kind[:-1] == _MARK) | (kind[:-1] == _DIGIT)) | (kind[1:] == _MARK) & (kind[:-1] == _ALPHA)
+    at = np.flatnonzero((kind[1:] <= _MARK) & (data[:-1] >= 0x80)) + 1
+    if len(at):  # after a character of several bytes: U+00C0 to U+07FF, from U+4000 and from U+10000 none is white space
+        lead = [np.where(at >= d, data[at - np.minimum(at, d)], 0) for d in (2, 3, 4)]
+        tail = (lead[0] >= 0x80) & (lead[0] < 0xC0)
+        black = ((lead[0] >= 0xC3) & (lead[0] <= 0xDF)) | tail & ((lead[1] >= 0xE4) & (lead[1] <= 0xEF) | (lead[1] >= 0x80) & (lead[1] < 0xC0) & (lead[2] >= 0xF0))
+        letter = (lead[0] == 0xC3) & (data[at - 1] != 0x97) & (data[at - 1] != 0xB7)  # Latin-1
+        first[at] = np.where(kind[at] == _SPACE, black, letter)
+    for k in np.flatnonzero(whole):
+        first[offs[k] : offs[k + 1]] = False
+    first[offs[:-1][np.diff(offs) > 0]] = True
+    return np.flatnonzero(first)
+
+
+def piece_keys(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Three words that hold the bytes and the length of pieces of up to ``KEY_BYTES`` bytes."""
+    padded = np.concatenate([data, np.zeros(32, np.uint8)])
+    words = np.ndarray(len(data) + 24, "<u8", padded, strides=(1,))
+    one, two, three = (words[start + 8 * k] & _KEY_MASK[np.clip(size - 8 * k, 0, 8)] for k in range(3))
+    return one, two, three | (size.astype(np.uint64) << np.uint64(56))
+
+
+class Pieces:
+    """An open-addressing table from pieces to their ids, probed in vector form; keys are exact."""
+
+    def __init__(self, most: int) -> None:
+        self.most, size = most, 1 << max(6, (2 * most - 1).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.keys = np.zeros((size, 3), np.uint64)
+        self.row = np.full(size, -1, np.int32)
+        self.rounds = 1
+        self.at, self.n, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+
+    def _slot(self, keys: tuple, r: int) -> np.ndarray:
+        h = mix(keys[0] ^ (mix(keys[1] ^ (keys[2] * np.uint64(0x9E3779B97F4A7C15)))))
+        return ((h + np.uint64(r)) & self.mask).astype(np.int64)
+
+    def find(self, keys: tuple) -> np.ndarray:
+        """Each piece's row, or -1."""
+        out = np.full(len(keys[0]), -1, np.int32)
+        left = None
+        for r in range(self.rounds):
+            part = keys if left is None else tuple(k[left] for k in keys)
+            if not len(part[0]):
+                break
+            slot = self._slot(part, r)
+            row, have = self.row[slot], self.keys[slot]
+            hit = (row >= 0) & (have[:, 0] == part[0]) & (have[:, 1] == part[1]) & (have[:, 2] == part[2])
+            if left is None:
+                out = np.where(hit, row, np.int32(-1))
+                left = np.flatnonzero(~hit & (row >= 0))
+            else:
+                out[left[hit]] = row[hit]
+                left = left[~hit & (row >= 0)]
+        return out
 
-def _split(text: str) -> list[str]:
-    return (_SEGMENT if _OTHER.search(text) else _PRETOKEN).findall(text)
+    def add(self, keys: tuple, n: np.ndarray, ids: np.ndarray) -> None:
+        """New distinct pieces with their numbers of ids, and all ids end to end; what is over ``most`` is left out."""
+        room = self.most - len(self.n)
+        if room < len(n):
+            keys, n = tuple(k[:room] for k in keys), n[:room]
+            ids = ids[: int(n.sum())]
+        if not len(n):
+            return
+        first = len(self.n)
+        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(n) - n])
+        self.n, self.ids = np.concatenate([self.n, n]), np.concatenate([self.ids, ids])
+        left, r = np.arange(len(n)), 0
+        while len(left):
+            slot = self._slot(tuple(k[left] for k in keys), r)
+            free = np.flatnonzero(self.row[slot] < 0)
+            taken, which = np.unique(slot[free], return_index=True)
+            mine = left[free[which]]
+            self.row[taken] = first + mine
+            self.keys[taken] = np.stack([k[mine] for k in keys], 1)
+            placed = np.zeros(len(n), bool)
+            placed[mine] = True
+            left = left[~placed[left]]
+            r += 1
+        self.rounds = max(self.rounds, r)
 
 
 class Vocabulary:
-    """One tokenizer, and the ids of the first ``words`` pieces, and as many pre-tokens, that were met.
+    """One tokenizer, and the ids of the first ``pieces`` pieces that were met."""
 
-    What is met after that is encoded again in each slice, so memory stays bounded.
-    """
-
-    def __init__(self, path: str, words: int | None = None) -> None:
+    def __init__(self, path: str, pieces: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.most = CACHE_WORDS if words is None else words
-        self.hot: dict[str, bytes] = {}  # the first slice's most frequent pieces, small enough for the processor's cache
-        self.pieces: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-        line = self.whole(LINE)
-        self.line = int(np.frombuffer(line, "<u2")[0]) if len(line) == 2 else None
-        self.end = np.array([END_ID], "<u2").tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-
-    def lines(self, order: list[str], raw: bytes) -> dict[str, bytes]:
-        """Ids of texts that were encoded as one, each after a line end."""
-        cuts = np.flatnonzero(np.frombuffer(raw, "<u2") == self.line)
-        at = [*(2 * cuts).tolist(), len(raw)]
-        if len(cuts) != len(order):
-            raise ValueError("the tokenizer joins line ends with other text")
-        return {s: raw[x + 2 : y] for s, x, y in zip(order, at[:-1], at[1:], strict=True)}
-
-    def new_tokens(self, order: list[str]) -> dict[str, bytes]:
-        """Pre-tokens without white space but for one at the start go to the library as one text."""
-        found: dict[str, bytes] = {}
-        plain = []
-        for s in order:
-            if self.line is None or s.isspace() or _OTHER.search(s):
-                found[s] = self.whole(s)
-            else:
-                plain.append(s)
-        parts = [plain[k : k + 256] for k in range(0, len(plain), 256)]
-        for part, e in zip(parts, self.tok.encode_batch_fast([LINE + LINE.join(p) for p in parts], add_special_tokens=False), strict=True):
-            found |= self.lines(part, np.array(e.ids, "<u2").tobytes())
-        return found
-
-    def of_tokens(self, parts: list[str]) -> bytes:
-        known = list(map(self.tokens.get, parts))
-        if None in known:
-            new = {s for s, v in zip(parts, known, strict=True) if v is None}
-            fresh = self.new_tokens(list(new))
-            if len(self.tokens) + len(fresh) <= self.most:
-                self.tokens.update(fresh)
-            known = [fresh[s] if v is None else v for s, v in zip(parts, known, strict=True)]
-        return b"".join(known)
-
-    def new_pieces(self, order: list[str]) -> dict[str, bytes]:
-        """Ids of pieces, each after one space."""
-        plain = [s for s in order if s.isascii() or not _OTHER.search(s)] if self.line is not None else []
-        plain = [s for s in plain if LINE not in s]
-        found = self.lines(plain, self.of_tokens(_PRETOKEN.findall("".join([f"{LINE} {s}" for s in plain])))) if plain else {}
-        for s in order:
-            if s not in found:
-                found[s] = self.of_tokens(_split(f" {s}"))
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 16-bit ids of each text, and the end id.
-
-        No pre-token crosses a single space between two other characters, so a text is cut there, and each
-        piece with the space before it is looked up; pieces not met before are cut into pre-tokens, and
-        only pre-tokens not met before go to the library.
+        if self.tok.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of more than 16 bits")
+        form = json.loads(self.tok.to_str())
+        pre = form.get("pre_tokenizer") or {}
+        #: Whether texts may be cut into pieces at all.
+        self.cuts = not form.get("normalizer") and pre.get("type") == "ByteLevel" and bool(pre.get("use_regex")) and not pre.get("add_prefix_space")
+        self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.pieces = Pieces(PIECES if pieces is None else pieces)
+        line = self.tok.encode(LINE, add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
+
+    def fresh(self, found: list[bytes], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of distinct pieces, and all ids end to end, from the library.
+
+        ``plain`` pieces hold no white space but for one space at the start: they go there as lines of one text.
         """
-        cut = [None if _WHOLE.search(t) else [t] if _WIDE.search(t) else t.split(" ") for t in texts]
-        get, cold = self.hot.get, self.pieces.get
-        known = [[] if c is None else list(map(get, c[1:])) for c in cut]
-        new: set[str] = set()
-        for c, k in zip(cut, known, strict=True):
-            if None in k:
-                at = [i for i, v in enumerate(k, 1) if v is None]
-                for i in at:
-                    k[i - 1] = cold(c[i])
-                new.update([c[i] for i in at if k[i - 1] is None])
-        fresh = self.new_pieces(list(new)) if new else {}
-        if len(self.pieces) + len(fresh) <= self.most:
-            self.pieces.update(fresh)
-        out = []
-        for t, c, k in zip(texts, cut, known, strict=True):
-            if c is None:
-                out.append(self.whole(t) + self.end)
-                continue
-            if None in k:
-                k = [fresh[s] if v is None else v for s, v in zip(c[1:], k, strict=True)]
-            out.append(b"".join([self.of_tokens(_split(c[0])), *k, self.end]))
-        if not self.hot and len(self.pieces) > HOT_WORDS:
-            often = Counter(s for c in cut if c for s in c[1:]).most_common(HOT_WORDS)
-            self.hot = {s: v for s, _ in often if (v := self.pieces.get(s)) is not None}
-        return out
-
-
-def vocabulary(path: str, words: int | None = None) -> Vocabulary:
-    key = f"{path}|{words}"
+        if self.line is None:
+            plain = np.zeros(len(found), bool)
+        lines, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        parts = [lines[k : k + 256] for k in range(0, len(lines), 256)]
+        got = self.tok.encode_batch_fast([LINE + b"\n".join([found[k] for k in p]).decode() for p in parts], add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.uint16), *(np.array(e.ids, np.uint16) for e in got)])
+        cuts = np.flatnonzero(ids == self.line) if len(lines) else lines
+        if len(cuts) != len(lines):
+            raise ValueError("the tokenizer joins line ends with other text")
+        got = self.tok.encode_batch_fast([found[k].decode() for k in others], add_special_tokens=False)
+        n = np.concatenate([np.diff(np.append(cuts, len(ids))) - 1, [len(e.ids) for e in got]]).astype(np.int64)
+        ids = np.concatenate([np.delete(ids, cuts), *(np.array(e.ids, np.uint16) for e in got)])
+        order = np.argsort(np.concatenate([lines, others]), kind="stable")
+        begin = (np.cumsum(n) - n)[order]
+        n = n[order]
+        return n, ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(len(ids))]
+
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, and the n + 1 bounds."""
+        texts = len(offs) - 1
+        raw = data.tobytes()
+        whole = np.full(texts, not self.cuts)
+        for mark in self.added:
+            if mark in raw:
+                whole |= [mark in raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]
+        start = piece_starts(data, offs, whole)
+        size = np.diff(np.append(start, len(data)))
+        doc = np.searchsorted(offs, start, "right") - 1
+        keys = piece_keys(data, start, size)
+        row = self.pieces.find(keys)
+        row[size > KEY_BYTES] = -1
+        miss = np.flatnonzero(row < 0)
+        at, n, ids = self.pieces.at, self.pieces.n, self.pieces.ids
+        if len(miss):
+            a, b = start[miss].tolist(), (start[miss] + size[miss]).tolist()
+            seen: dict[bytes, int] = {}
+            rows = np.array([seen.setdefault(raw[x:y], len(seen)) for x, y in zip(a, b, strict=True)])
+            _, lead = np.unique(rows, return_index=True)
+            first = start[miss[lead]]
+            white = np.concatenate([[0], np.cumsum(~_BLACK[data])])
+            white = white[first + size[miss[lead]]] - white[first]
+            fn, fids = self.fresh(list(seen), ((white == 0) | (white == 1) & (data[first] == 0x20) & (size[miss[lead]] > 1)) & ~whole[doc[miss[lead]]])
+            row[miss] = rows + len(n)
+            at = np.concatenate([at, len(ids) + np.cumsum(fn) - fn])
+            n, ids = np.concatenate([n, fn]), np.concatenate([ids, fids])
+            short = size[miss[lead]] <= KEY_BYTES
+            keep = miss[lead][short]
+            self.pieces.add(tuple(k[keep] for k in keys), fn[short], fids[np.repeat(short, fn)])
+        each = n[row]
+        ends = np.cumsum(np.bincount(doc, each, texts).astype(np.int64) + 1)
+        out = np.full(int(ends[-1]) if texts else 0, END_ID, np.uint16)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner] = ids[np.repeat(at[row] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+        return out, np.concatenate([[0], ends])
+
+
+def vocabulary(path: str, pieces: int | None = None) -> Vocabulary:
+    key = f"{path}|{pieces}"
     if key not in _loaded:
         _loaded.clear()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _loaded[key] = Vocabulary(path, words)
+        _loaded[key] = Vocabulary(path, pieces)
     return _loaded[key]
 
 
-def _tokenize(path: str, words: int | None):
+def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The runs of ``values`` between the bounds as binary values, without a copy of each."""
+    if int(bounds[-1]) * values.itemsize >= 1 << 31:
+        return pa.array([values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.large_binary()).cast(pa.binary())
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _tokenize(path: str, pieces: int | None):
     def run(batches):
-        for rows, data, offs in slices(batches, limit=4 << 20, owner="tokens"):
-            texts = [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(vocabulary(path, words).encode(texts), pa.binary())], ["shard", "doc_id", "ids"])
+        for rows, data, offs in slices(batches, owner="tokens"):
+            yield pa.RecordBatch.from_arrays([rows.column(0), binaries(*vocabulary(path, pieces).encode(data, offs))], ["doc_id", "ids"])
 
     return run
 
@@ -278,7 +347,7 @@ def _schema() -> pa.Schema:
 
 def _encode(freq, block_ids: int):
     def run(batches):
-        coder, shard, block, held, n = Coder(freq.value), None, 0, [], 0
+        coder, shard, block, held, n = Coder(freq.value), TaskContext.get().partitionId(), 0, [], 0
         schema = _schema()
 
         def flush():
@@ -288,11 +357,7 @@ def _encode(freq, block_ids: int):
             return pa.RecordBatch.from_pylist([row], schema)
 
         for b in batches:
-            for s, d, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
-                if s != shard:
-                    if held:
-                        yield flush()
-                    shard, block = s, 0
+            for d, raw in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 held.append((d, np.frombuffer(raw.as_buffer(), "<u2")))
                 n += len(held[-1][1])
                 if n >= block_ids:
@@ -336,27 +401,44 @@ def _decode(freq, keep_ids: bool):
     return run
 
 
-def encode_corpus(docs: DataFrame, tokenizer: str | None = None, block_ids: int = BLOCK_IDS, shard_docs: int = SHARD_DOCS, cache_words: int | None = None) -> tuple[DataFrame, object]:
-    """The blocks, written as Parquet, and the broadcast frequency table that reads them."""
+def encode_corpus(docs: DataFrame, tokenizer: str | None = None, block_ids: int = BLOCK_IDS, path: str | None = None, pieces: int | None = None) -> str:
+    """Writes the blocks and their frequency table under ``path`` (a folder of its own if none is named); returns it."""
     spark = docs.sparkSession
-    path = tokenizer or default_tokenizer()
-    dealt, n = range_shards(own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), shard_docs)
-    ids = written(dealt.select("shard", "doc_id", "text").mapInArrow(_tokenize(path, cache_words), "shard int, doc_id long, ids binary"), "ids")
+    name = tokenizer or default_tokenizer()
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/vialstream-tokens-{uuid.uuid4().hex}"
+    rows = own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    ids = written(rows.mapInArrow(_tokenize(name, pieces), "doc_id long, ids binary"), "ids")
     counted = ids.select("ids").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # at most 65,536 rows
-    counts = np.zeros(vocabulary(path).tok.get_vocab_size(), np.int64)
+    counts = np.zeros(vocabulary(name).tok.get_vocab_size(), np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
-    freq = spark.sparkContext.broadcast(scaled(counts))
+    freq = scaled(counts)
+    spark.createDataFrame([(bytearray(freq.astype("<u4").tobytes()), zlib.crc32(freq.astype("<u4").tobytes()))], "frequencies binary, crc long").coalesce(1).write.parquet(f"{path}/frequencies")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("ids").asc()]
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = ids.repartition(max(wide, min(n, 4 * wide)), "shard").sortWithinPartitions(F.col("shard"), F.col("doc_id").asc_nulls_first(), "ids")
-    return written(ordered.mapInArrow(_encode(freq, block_ids), BLOCKS), "blocks"), freq
-
-
-def decode(blocks: DataFrame, freq, keep_ids: bool = False) -> DataFrame:
-    """Documents from their blocks: doc_id, start, n_tokens, ids_crc32 and, if asked for, ids."""
+    # ranges of doc_id alone: equal ids share a shard
+    ordered = ids.repartitionByRange(wide, order[0]).sortWithinPartitions(*order)
+    ordered.mapInArrow(_encode(spark.sparkContext.broadcast(freq), block_ids), BLOCKS).write.parquet(f"{path}/blocks")
+    released(ids)
+    return path
+
+
+def frequencies(spark: SparkSession, path: str) -> np.ndarray:
+    """The scaled table of the files under ``path``."""
+    r = spark.read.parquet(f"{path}/frequencies").first()
+    raw = bytes(r["frequencies"])
+    if zlib.crc32(raw) != r["crc"]:
+        raise ValueError("the frequency table's checksum differs")
+    return np.frombuffer(raw, "<u4").astype(np.int64)
+
+
+def decode(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
+    """Documents from the files under ``path``: doc_id, start, n_tokens, ids_crc32 and, if asked for, ids."""
+    freq = spark.sparkContext.broadcast(frequencies(spark, path))
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     sizes = blocks.select("shard", "block", "n_ids")
     in_shard = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # a shard's blocks are few; the shards are 2,048 at most
+    # one row for each shard, as many as shuffle partitions
     shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("total")).select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     starts = sizes.select("shard", "block", F.coalesce(F.sum("n_ids").over(in_shard), F.lit(0)).alias("inner")).join(shards, "shard").select("shard", "block", (F.col("base") + F.col("inner")).alias("at"))
     kinds = "doc_id long, shard int, block int, offset long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids
@@ -365,12 +447,9 @@ def decode(blocks: DataFrame, freq, keep_ids: bool = False) -> DataFrame:
 
 
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(*encode_corpus(table(spark, sf_dir, "documents")))
+    return decode(spark, encode_corpus(table(spark, sf_dir, "documents")))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents' place and checksum in the token files.
-
-    The workers have served other stages before, so this one keeps fewer segments than the query does.
-    """
-    return decode(*encode_corpus(docs, cache_words=150_000))
+    """Pipeline stage: the documents' place and checksum in the token files."""
+    return decode(spark, encode_corpus(docs))
