@@ -3,9 +3,9 @@
 1. All training tokens are counted (64-bit token hashes; counts of each task are summed before the shuffle).
 2. The ``HEAD`` most frequent tokens are broadcast with their counts; the ``recurrent.WORDS`` first of them
    are the network's words.
-3. The network warms up on ``WARM_DOCS`` training documents (the first by a hash of the id), then every task
-   trains on its part of all training documents, from the same weights; the results' mean, by tokens, is the
-   model.  Means are taken slice by slice in the cluster.
+3. The network's starting weights come from a warm-up on about ``WARM_DOCS`` training documents, drawn by a hash
+   of the id.  Then every task trains on its part of all training documents, from those weights; the results'
+   mean, by tokens, is the model.  Means are taken slice by slice in the cluster.
 4. Every document is scored whole, the state carried across windows.  Tokens outside the head join the
    counts, so that base_score and the rare tokens' part of score are exact.
 
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import recurrent
-from .common import LOWER, SPACE, Rolling, crc_mod, mix, own_columns, slices, table, word_bounds, written
+from .common import LOWER, SPACE, crc_mod, own_columns, slices, table, word_bounds, word_hashes, written
 
 HEAD = 1 << 18
 WARM_DOCS = 1000
@@ -53,7 +53,7 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     inner[last] = False
     h[last] = END
     if len(start):
-        h[inner] = Rolling(low).of(start, end)
+        h[inner] = word_hashes(low, start, end)
         tail = _PUNCT[low[end - 1]]
         a = np.maximum(end - 1 - (tail > 0), start)
         b = np.maximum(a - 1, start)
@@ -149,7 +149,7 @@ class Model:
     def ids(self, h: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers in the head (-1: outside) and the network's ids."""
         at = self.table.find(h) if len(self.count) else np.full(len(h), -1, np.int32)
-        return at, np.where((at >= 0) & (at < self.words), at, self.words + k.astype(np.int64))
+        return at, np.where((at >= 0) & (at < self.words), at, self.words + k.astype(np.int32)).astype(np.int32)
 
 
 def _begins(bounds: np.ndarray) -> np.ndarray:
@@ -215,32 +215,35 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double,
 def _score(model, weights):
     ln10 = np.log(10)
 
+    def counted(m, rows, data, offs):
+        """A slice's columns but for the network's part, and the network's ids."""
+        h, k, b = tokens(data, offs)
+        at, ids = m.ids(h, k)
+        inside = at >= 0
+        log_count = np.where(inside, m.log_count[np.maximum(at, 0)] if len(m.count) else 0.0, 0.0)
+        starts, n = b[:-1], np.diff(b)
+        base = np.add.reduceat(log_count, starts) - n * m.unit
+        rare = np.add.reduceat(np.where(ids >= m.words, log_count - m.mass[k], 0.0), starts)
+        known = np.add.reduceat(inside.astype(np.int64), starts)
+        where = np.concatenate([[0], np.cumsum(n - known)]).astype(np.int32)
+        tail = pa.ListArray.from_arrays(pa.array(where), pa.array(h[~inside].view(np.int64)))
+        return rows.column(0), rows.column(1), n, known, base, rare, tail, ids
+
     def lines(m, held):
-        """One result batch of several slices, so that a step's documents are many."""
-        ids = [m.ids(h, k) for _, _, h, k, _ in held]
-        sizes = np.concatenate([np.diff(b) for *_, b in held])
-        bounds = np.concatenate([[0], np.cumsum(sizes)])
-        p = recurrent.score(weights.value, m.layout, np.concatenate([i for _, i in ids]), bounds) / ln10
-        first = 0
-        for (doc_id, held_out, h, k, b), (at, i) in zip(held, ids, strict=True):
-            inside = at >= 0
-            log_count = np.where(inside, m.log_count[np.maximum(at, 0)] if len(m.count) else 0.0, 0.0)
-            starts, n = b[:-1], np.diff(b)
-            base = np.add.reduceat(log_count, starts) - n * m.unit
-            part = p[first : first + len(n)] + np.add.reduceat(np.where(i >= m.words, log_count - m.mass[k], 0.0), starts)
+        """The network scores several slices together, so that a step's documents are many."""
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate([x[2] for x in held]))])
+        p, first = recurrent.score(weights.value, m.layout, np.concatenate([x[7] for x in held]), bounds) / ln10, 0
+        for doc_id, held_out, n, known, base, rare, tail, _ in held:
+            part = p[first : first + len(n)] + rare
             first += len(n)
-            known = np.add.reduceat(inside.astype(np.int64), starts)
-            where = np.concatenate([[0], np.cumsum(n - known)]).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(where), pa.array(h[~inside].view(np.int64)))
             yield pa.RecordBatch.from_arrays([doc_id, held_out, pa.array(n), pa.array(known), pa.array(base), pa.array(part), tail], [x.split()[0] for x in SCORED.split(", ")])
 
     def run(batches):
         m = model.value
         held, size = [], 0
-        for rows, data, offs in slices(batches, limit=SLICE):
-            h, k, b = tokens(data, offs)
-            held.append((rows.column(0), rows.column(1), h, k, b))
-            size += len(h)
+        for rows, data, offs in slices(batches):
+            held.append(counted(m, rows, data, offs))
+            size += len(held[-1][7])
             if size >= TOGETHER:
                 yield from lines(m, held)
                 held, size = [], 0
@@ -274,8 +277,12 @@ def fit(train: DataFrame) -> tuple[Model, dict, DataFrame]:
     head = counts.filter(F.col("n") >= head_threshold(counts, HEAD)).toPandas().sort_values(["n", "t"], ascending=[False, True])  # HEAD rows at most
     model = Model(list(zip(head["t"], head["k"], head["n"], strict=True)), int(total[0] or 0), int(total[1]), classes)
     sent = spark.sparkContext.broadcast(model)
-    warm = train.orderBy(F.xxhash64("doc_id", F.lit("warm")), "doc_id").limit(WARM_DOCS).select("text").coalesce(1)
-    start = pickle.loads(warm.mapInArrow(_warm(sent), "w binary").first()[0])
+    # about WARM_DOCS ids by their hash; of each the least text
+    n_docs = counts.filter(F.col("t") == int(END.view(np.int64))).agg(F.sum("n")).first()[0] or 1
+    draw = F.xxhash64("doc_id", F.lit("warm"))
+    warm = train.filter(F.shiftrightunsigned(draw, 1) / float(1 << 63) < WARM_DOCS / n_docs).groupBy(draw.alias("h")).agg(F.min("text").alias("text"))
+    warmed = warm.repartition(1).sortWithinPartitions("h").select("text").mapInArrow(_warm(sent), "w binary").first()
+    start = pickle.loads(warmed[0]) if warmed else recurrent.start_weights(model.layout)
     first = spark.sparkContext.broadcast(start)
     sums = train.select("text").mapInArrow(_train(sent, first), "part int, n double, w binary").repartition(PARTS, "part").mapInArrow(_sum, "part int, n double, w binary")
     means = {r["part"]: np.frombuffer(r["w"], np.float64) / r["n"] for r in sums.collect()}  # PARTS rows

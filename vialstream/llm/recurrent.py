@@ -15,6 +15,11 @@ WORDS = 4096
 WORD_CLASSES = 64
 RARE_CLASSES = 64
 HIDDEN = 16
+#: Rows of a softmax over classes that are worked on together.
+BLOCK = 512
+GROUP = 8
+#: No sum of exponentials of such logits passes a float's range; in training they are cut off there.
+MOST_LOGIT = 60.0
 
 
 class Layout:
@@ -28,8 +33,14 @@ class Layout:
         self.first = np.searchsorted(cut, np.arange(WORD_CLASSES + 1))
         self.words = len(counts)
         mass = np.bincount(cut, counts, WORD_CLASSES)
-        both = np.concatenate([mass, rare]).astype(np.float64) + 0.5
-        self.class_bias = np.log(both / both.sum()).astype(np.float32)
+        both = np.concatenate([np.where(np.diff(self.first) > 0, mass + 0.5, 0), rare + 0.5])
+        self.class_bias = np.log(np.maximum(both / both.sum(), 1e-20)).astype(np.float32)  # a class without words gets next to nothing
+        #: Runs of classes whose softmaxes are trained as one: their words' numbers, padded, and which are real.
+        self.groups = []
+        for lo in range(0, WORD_CLASSES, GROUP):
+            a, size = self.first[lo : lo + GROUP], np.diff(self.first[lo : lo + GROUP + 1])
+            real = np.arange(max(1, int(size.max()))) < size[:, None]
+            self.groups.append((lo, np.where(real, a[:, None] + np.arange(real.shape[1]), 0), real))
         self.word_bias = np.log((counts + 0.5) / np.maximum(mass[cut], 1)).astype(np.float32)
 
 
@@ -49,50 +60,86 @@ def step(w: dict, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def log_probs(w: dict, layout: Layout, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Natural logarithms of P(class) * P(word | class); for rare ids, of P(class)."""
-    logits = h @ w["c"] + w["cb"]
-    top = logits.max(1)
+    """Natural logarithms of P(class) * P(word | class); for rare ids, of P(class).
+
+    Both softmaxes go by blocks of rows that stay in the processor's cache.
+    """
     k = layout.klass[ids]
-    out = logits[np.arange(len(ids)), k] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-    order = np.argsort(k, kind="stable")
+    out = np.empty(len(ids), h.dtype)
+    # states lie between -1 and 1, so the weights bound the logits
+    far = bool((np.abs(h).max(initial=0) > 1) or (np.abs(w["c"]).sum(0) + np.abs(w["cb"])).max(initial=0) > MOST_LOGIT or (np.abs(w["w"]).sum(1) + np.abs(w["wb"])).max(initial=0) > MOST_LOGIT)
+    for lo in range(0, len(ids), BLOCK):
+        logits = h[lo : lo + BLOCK] @ w["c"]
+        logits += w["cb"]
+        out[lo : lo + BLOCK] = _normalised(logits, k[lo : lo + BLOCK], far)
+    order = np.argsort(k.astype(np.int16), kind="stable")
     bounds = np.searchsorted(k[order], np.arange(WORD_CLASSES + 1))
     for c in range(WORD_CLASSES):
-        rows = order[bounds[c] : bounds[c + 1]]
         a, b = layout.first[c], layout.first[c + 1]
-        if len(rows) and b - a > 1:
-            part = h[rows] @ w["w"][a:b].T + w["wb"][a:b]
-            m = part.max(1)
-            out[rows] += part[np.arange(len(rows)), ids[rows] - a] - m - np.log(np.exp(part - m[:, None]).sum(1))
+        if b - a < 2 or bounds[c] == bounds[c + 1]:
+            continue
+        words, bias = np.ascontiguousarray(w["w"][a:b].T), w["wb"][a:b]
+        block = max(64, BLOCK * 128 // int(b - a))
+        for lo in range(bounds[c], bounds[c + 1], block):
+            rows = order[lo : min(lo + block, bounds[c + 1])]
+            part = h[rows] @ words
+            part += bias
+            out[rows] += _normalised(part, ids[rows] - a, far)
     return out
 
 
+def _normalised(logits: np.ndarray, at: np.ndarray, far: bool) -> np.ndarray:
+    """The log softmax of each row at one place; the logits are spent.  ``far``: they may pass an exponential's range."""
+    if far:
+        logits -= logits.max(1)[:, None]
+    mine = logits[np.arange(len(at)), at]
+    np.exp(logits, out=logits)
+    return mine - np.log(logits.sum(1))
+
+
 def score(w: dict, layout: Layout, ids: np.ndarray, bounds: np.ndarray, window: int = 32) -> np.ndarray:
     """Log probability of each document's ids, the state carried from its first token to its last.
 
     Documents go side by side, longest first; those that have ended leave the batch.
     """
-    size = np.diff(bounds)
+    n, size = HIDDEN, np.diff(bounds)
     order = np.argsort(-size, kind="stable")
     at, size = bounds[:-1][order], size[order]
     total = np.zeros(len(order))
-    h = np.zeros((len(order), HIDDEN), np.float32)
+    h = np.zeros((len(order), n), np.float32)
     t, longest = 0, int(size[0]) if len(size) else 0
     while t < longest:
-        states, tokens, docs = [], [], []
-        for _ in range(window):
-            n = int(np.searchsorted(-size, -t, "left"))
-            if not n:
-                break
-            now = ids[at[:n] + t]
-            states.append(h[:n])
-            tokens.append(now)
-            docs.append(np.arange(n))
-            h = step(w, h[:n], now)
-            t += 1
-        if not states:
-            break
-        p = log_probs(w, layout, np.concatenate(states), np.concatenate(tokens))
-        total += np.bincount(np.concatenate(docs), p, len(total))
+        most = int(np.searchsorted(-size, -t, "left"))  # so many documents have more than t tokens
+        steps = min(longest - t, max(window, min(1024, 8192 // most)))
+        live = np.searchsorted(-size[:most], -np.arange(t, t + steps), "left").tolist()
+        now = [ids[at[:k] + t + j] for j, k in enumerate(live)]
+        tokens = np.concatenate(now)
+        given = w["x"][tokens]
+        states, lo = np.empty((len(tokens), n), np.float32), 0
+        for k in live:
+            h = h[:k]
+            states[lo : lo + k] = h
+            p, g = h @ w["u"], given[lo : lo + k]
+            zr = p[:, : 2 * n] + g[:, : 2 * n]
+            zr *= 0.5
+            np.tanh(zr, out=zr)
+            zr += 1
+            zr *= 0.5
+            new = zr[:, n:] * p[:, 2 * n :]
+            new += g[:, 2 * n :]
+            np.tanh(new, out=new)
+            h = h - new
+            h *= zr[:, :n]
+            h += new
+            lo += k
+        found = log_probs(w, layout, states, tokens)
+        cuts, lo = np.concatenate([[0], np.cumsum(live)]), 0
+        if live[0] == live[-1]:
+            total[: live[0]] += found.reshape(len(live), live[0]).sum(0, dtype=np.float64)
+        else:
+            for x, y, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), live, strict=True):
+                total[:k] += found[x:y]
+        t += steps
     out = np.zeros(len(total))
     out[order] = total
     return out
@@ -131,66 +178,99 @@ class Trainer:
         """One window: (steps, streams) tokens; the state at a document's first token is zero; what is not live is padding."""
         w, lay, n = self.w, self.layout, HIDDEN
         steps, streams = x.shape
-        saved, hs = [], []
+        m = steps * streams
+        ids = x.reshape(-1)
+        given = w["x"][x]
+        hs, new = (np.empty((steps, streams, n), given.dtype) for _ in range(2))
+        moved = np.empty_like(given)
+        gates = np.empty((steps, streams, 2 * n), given.dtype)
+        some, goes_on = begins.any(1), ~begins
         for k in range(steps):
-            h = np.where(begins[k][:, None], np.float32(0), h)
-            hs.append(h)
-            g, p = w["x"][x[k]], h @ w["u"]
-            z, r = sigmoid(g[:, :n] + p[:, :n]), sigmoid(g[:, n : 2 * n] + p[:, n : 2 * n])
-            new = np.tanh(g[:, 2 * n :] + r * p[:, 2 * n :])
-            saved.append((z, r, new, p[:, 2 * n :]))
-            h = new + z * (h - new)
-        flat, ids = np.concatenate(hs), x.reshape(-1)
-        m = len(ids)
+            if some[k]:
+                h = h * goes_on[k][:, None]
+            hs[k] = h
+            p, g, a = np.matmul(h, w["u"], out=moved[k]), gates[k], new[k]
+            np.add(given[k, :, : 2 * n], p[:, : 2 * n], out=g)
+            g *= 0.5
+            np.tanh(g, out=g)
+            g += 1
+            g *= 0.5
+            np.multiply(g[:, n:], p[:, 2 * n :], out=a)
+            a += given[k, :, 2 * n :]
+            np.tanh(a, out=a)
+            h = h - a
+            h *= g[:, :n]
+            h += a
+        flat = hs.reshape(m, n)
         # softmax over classes
-        logits = flat @ w["c"] + w["cb"]
-        e = np.exp(logits - logits.max(1, keepdims=True))
-        e /= e.sum(1, keepdims=True)
+        share = np.float32(1 / streams)
+        e = flat @ w["c"]
+        e += w["cb"]
+        np.minimum(e, MOST_LOGIT, out=e)
+        np.exp(e, out=e)
+        e *= share / e.sum(1, keepdims=True)
         k = lay.klass[ids]
-        e[np.arange(m), k] -= 1
+        e[np.arange(m), k] -= share
         if live is not None and not live.all():
             flat_live = live.reshape(-1)
             e[~flat_live] = 0
             k = np.where(flat_live, k, -1)
-        e /= streams
         dh = e @ w["c"].T
         gc, gcb = flat.T @ e, e.sum(0)
-        # softmax over the words of each class
-        order = np.argsort(k, kind="stable")
+        # softmax over the words of each class: rows of one class lie together, several classes go as one padded batch
+        order = np.argsort(k.astype(np.int16), kind="stable")
         bounds = np.searchsorted(k[order], np.arange(WORD_CLASSES + 1))
-        for c in range(WORD_CLASSES):
-            rows = order[bounds[c] : bounds[c + 1]]
-            a, b = lay.first[c], lay.first[c + 1]
-            if len(rows) and b - a > 1:
-                part = flat[rows] @ w["w"][a:b].T + w["wb"][a:b]
-                q = np.exp(part - part.max(1, keepdims=True))
-                q /= q.sum(1, keepdims=True)
-                q[np.arange(len(rows)), ids[rows] - a] -= 1
-                q /= streams
-                dh[rows] += q @ w["w"][a:b]
-                self._apply("w", q.T @ flat[rows], slice(a, b))
-                self._apply("wb", q.sum(0), slice(a, b))
-        # back through the steps
+        rows, place = flat[order], ids[order]
+        more, gw, gwb = np.zeros_like(rows), np.zeros_like(w["w"]), np.zeros_like(w["wb"])
+        for lo, number, real in lay.groups:
+            at = bounds[lo : lo + len(real) + 1]
+            if at[-1] == at[0]:
+                continue
+            count = np.diff(at)
+            there = np.arange(int(count.max())) < count[:, None]
+            row = np.where(there, at[:-1, None] + np.arange(there.shape[1]), at[0])
+            part, words = rows[row], w["w"][number]
+            q = part @ words.transpose(0, 2, 1)
+            q += np.where(real, w["wb"][number], np.float32(-1e30))[:, None, :]
+            np.minimum(q, MOST_LOGIT, out=q)
+            np.exp(q, out=q)
+            q *= there[:, :, None] * share / np.maximum(q.sum(2, keepdims=True), 1e-30)
+            g, j = np.nonzero(there)
+            q[g, j, place[at[0] : at[-1]] - lay.first[lo + g]] -= share
+            more[at[0] : at[-1]] = (q @ words)[there]
+            a, b = lay.first[lo], lay.first[lo + len(real)]
+            gw[a:b] = (q.transpose(0, 2, 1) @ part)[real]
+            gwb[a:b] = q.sum(1)[real]
+        dh[order] += more
+        # back through the steps; ``back``: the gradient at the state after a step
         dh = dh.reshape(steps, streams, n)
-        gx = np.empty((steps, streams, 3 * n), np.float32)
-        gu = np.zeros_like(w["u"])
-        back = np.zeros((streams, n), np.float32)
+        z, r = gates[:, :, :n], gates[:, :, n:]
+        by_z, by_new, by_r = (hs - new) * z * (1 - z), (1 - z) * (1 - new * new), moved[:, :, 2 * n :] * r * (1 - r)
+        gx = np.empty((steps, streams, 3 * n), given.dtype)
+        dp = np.empty_like(gx)
+        back, turned = np.zeros((streams, n), given.dtype), np.ascontiguousarray(w["u"].T)
         for s in range(steps - 1, -1, -1):
-            z, r, new, pn = saved[s]
-            # ``back``: the gradient at the state after step s
-            dz = back * (hs[s] - new) * z * (1 - z)
-            da = back * (1 - z) * (1 - new * new)
-            dr = da * pn * r * (1 - r)
-            gx[s, :, :n], gx[s, :, n : 2 * n], gx[s, :, 2 * n :] = dz, dr, da
-            dp = np.concatenate([dz, dr, da * r], 1)
-            gu += hs[s].T @ dp
-            back = (back * z + dp @ w["u"].T + dh[s]) * ~begins[s][:, None]
-            np.clip(back, -1, 1, out=back)
+            g, d = gx[s], dp[s]
+            np.multiply(back, by_z[s], out=g[:, :n])
+            np.multiply(back, by_new[s], out=g[:, 2 * n :])
+            np.multiply(g[:, 2 * n :], by_r[s], out=g[:, n : 2 * n])
+            d[:, : 2 * n] = g[:, : 2 * n]
+            np.multiply(g[:, 2 * n :], r[s], out=d[:, 2 * n :])
+            back *= z[s]
+            back += d @ turned
+            back += dh[s]
+            if some[s]:
+                back *= goes_on[s][:, None]
+            np.minimum(back, 1, out=back)
+            np.maximum(back, -1, out=back)
         rows = np.argsort(ids, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], ids[rows][1:] != ids[rows][:-1]]))
-        self._apply("x", np.add.reduceat(gx.reshape(m, 3 * n)[rows], starts), ids[rows][starts])
-        self._apply("u", gu)
+        ordered = ids[rows]
+        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        self._apply("x", np.add.reduceat(gx.reshape(m, 3 * n)[rows], starts), ordered[starts])
+        self._apply("u", flat.T @ dp.reshape(m, 3 * n))
         self._apply("c", gc)
         self._apply("cb", gcb)
+        self._apply("w", gw)
+        self._apply("wb", gwb)
         self.tokens += m if live is None else int(live.sum())
         return h
