@@ -8,8 +8,8 @@ labelled rows of its class one sampled row stands for.
 
 The sample is ``PER_CLASS`` rows of each label at most, the first by a hash of the id.  Cases: texts that
 are null, empty or like none of the sample get the labelled rows' mean; without labels all score 0.5; a
-document labelled more than once counts with its lowest label, null labels not at all; repeated documents
-are rows of their own; extra columns are ignored.
+document labelled more than once counts with its lowest label, null labels not at all; of several texts of a
+labelled id the least is learnt; repeated documents are rows of their own; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, Rolling, crc_mod, own_columns, slices, table, word_bounds
+from .common import LOWER, SPACE, crc_mod, own_columns, slices, table, word_bounds, word_hashes
 
 PER_CLASS = 1000
 DIMS = 48
@@ -54,7 +54,7 @@ def term_counts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
         out[:, :SHAPE_SLOTS] = np.bincount(at, minlength=n * SHAPE_SLOTS).reshape(n, SHAPE_SLOTS)
     start, end, who = word_bounds(~SPACE[data], offs)
     if len(start):
-        h = Rolling(LOWER[data]).of(start, end)
+        h = word_hashes(LOWER[data], start, end)
         at = who * WORD_SLOTS + (h % np.uint64(WORD_SLOTS)).astype(np.int64)
         out[:, SHAPE_SLOTS : SHAPE_SLOTS + WORD_SLOTS] = np.bincount(at, minlength=n * WORD_SLOTS).reshape(n, WORD_SLOTS)
         again = np.zeros(n)
@@ -96,8 +96,9 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn, per_class: int = PER_CLAS
         rows = part if rows is None else rows.unionByName(part)
     ids = rows.collect()  # 2 * per_class ids at most
     rows = docs.sparkSession.createDataFrame([(r["doc_id"], r["quality"]) for r in ids], "doc_id long, quality int")
-    texts = own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(rows), "doc_id").select("doc_id", "quality", "text")
-    got = sorted(texts.mapInArrow(_sample_terms, "doc_id long, quality int, at array<int>, value array<float>").dropDuplicates(["doc_id"]).collect(), key=lambda r: r["doc_id"])
+    texts = own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(rows), "doc_id")
+    texts = texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    got = sorted(texts.mapInArrow(_sample_terms, "doc_id long, quality int, at array<int>, value array<float>").collect(), key=lambda r: r["doc_id"])
     if not got:
         return None
     x = np.zeros((len(got), TERMS), np.float32)
@@ -130,7 +131,6 @@ def votes(model: dict, data: np.ndarray, offs: np.ndarray, neighbours: int = NEI
         sim = (z / np.maximum(size, 1e-9)[:, None]) @ model["latent"].T
         near = np.argpartition(-sim, k - 1, axis=1)[:, :k]
         w = np.maximum(np.take_along_axis(sim, near, 1), 0) * model["weight"][near]
-        w = w * np.maximum(np.take_along_axis(sim, near, 1), 0) ** 3
         total = w.sum(1)
         ok = (total > 1e-12) & (size > 1e-9)
         score[lo:hi][ok] = ((w * model["label"][near]).sum(1)[ok]) / total[ok]
