@@ -54,6 +54,45 @@ def test_near_duplicates_edges(spark, repeated, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_rows_without_id_are_linked(spark):
+    base = [f"w{k}" for k in range(200)]
+    near = [*base[:-2], "other", "end"]
+    rows = [(None, " ".join(base)), (None, " ".join(base)), (7, " ".join(near)), (None, "alone here"), (None, None), (9, "q r s t u v"), (9, " ".join(near))]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(None, 196, 7, False)] * 2 + [(7, 196, 7, True), (9, 196, 7, False), (9, 2, 9, True), (None, 1, None, True), (None, 0, None, True)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    docs = spark.createDataFrame([(*r, "aa", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stay = [(r["doc_id"], r["text"]) for r in neardup.distinct_documents(spark, docs, "").collect()]
+    assert sorted(stay, key=str) == sorted([(7, rows[2][1]), (9, "q r s t u v"), (None, "alone here"), (None, None)], key=str)
+
+
+def test_recall_near_the_threshold(spark):
+    """Thousands of pairs between 0.85 and 0.90 that have no other partner: all are linked."""
+    r = random.Random(8)
+    rows = []
+    for k in range(2000):
+        w = [f"p{k}x{j}" for j in range(r.choice([80, 200]))]
+        v, changed = w[:], 0
+        both = shingles(" ".join(w))
+        while True:
+            v[(at := r.randrange(len(v)))] = f"n{k}y{changed}"
+            changed += 1
+            other = shingles(" ".join(v))
+            j = len(both & other) / len(both | other)
+            if j < 0.905:
+                break
+            last = v[:]
+        if j < 0.85:
+            v = w[: -max(1, len(w) // 9)] + []
+            other = shingles(" ".join(v))
+            j = len(both & other) / len(both | other)
+        if 0.85 <= j < 0.92:
+            rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    assert len(rows) > 3000
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got.filter("kept").count() == len(rows) // 2
+
+
 def test_many_near_copies_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 16)  # several blocks, every two compared
     r = random.Random(2)
@@ -150,12 +189,12 @@ def brute_hits(rows, items):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("size", [decontaminate.AUTOMATON_BYTES, 40])
+@pytest.mark.parametrize("size", [decontaminate.AUTOMATON_NODES, 200])
 def test_decontamination_against_brute_force(spark, docs, rows, size):
     long = max(rows, key=lambda r: len(r[1] or ""))[1].split()
     items = [(1, " ".join(long[5:17])), (2, "one TWO three"), (3, None), (4, ""), (10, " ".join(long[8:18])), (11, "!!!"), (12, "ümläut"), (12, "never there at all")]
     b = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.contamination(docs, b, automaton_bytes=size)
+    got = decontaminate.contamination(docs, b, nodes=size)
     cols = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert sorted((tuple(r) for r in got.select(cols).collect()), key=str) == brute_hits(rows, items)
     text = {r[0]: r[1] for r in rows}

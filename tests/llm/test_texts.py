@@ -92,7 +92,7 @@ def test_votes_against_brute_force():
             continue
         sim = lat @ (v / np.linalg.norm(v))
         near = np.argsort(-sim)[:3]
-        w = m["weight"][near] * np.maximum(sim[near], 0) ** 4
+        w = m["weight"][near] * np.maximum(sim[near], 0)
         want.append(float((w * m["label"][near]).sum() / w.sum()))
     assert np.allclose(quality.votes(m, data, offs, neighbours=3, block=2), want, atol=1e-4)
 
@@ -368,6 +368,65 @@ def test_mix(docs, rows, empty, repeated):
     assert mixing.mixture(empty).count() == 0 and mixing.mixture(repeated).count() == repeated.count()
 
 
+def drawn(rows, want):
+    """Copies of each document: the level by halving, then a whole sort of each source by odds over odds."""
+    size = {r[0]: len(re.findall(WS, r[1] or "")) for r in rows}
+    out = {}
+    for s, target in want.items():
+        ids = [r[0] for r in rows if r[3] == s]
+        share = {k: 2 ** (math.floor(math.log2(max(size[k] ** mixing.POWER, 1e-9)) * 16) / 16) for k in ids}
+        low, high = 0.0, 1e12
+        for _ in range(300):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(size[k] * min(3, mid * share[k]) for k in ids) < target else (low, mid)
+        owed = {k: min(3.0, high * share[k]) for k in ids}
+        left, order = target - sum(size[k] * math.floor(owed[k] + 1e-12) for k in ids), []
+        for k in ids:
+            out[k] = math.floor(owed[k] + 1e-12)
+            part = owed[k] - out[k]
+            if part > 1e-9:
+                u = (int(hashlib.md5(f"{k}|mix".encode()).hexdigest()[:12], 16) + 0.5) / 2**48
+                order.append(((u / (1 - u)) / (part / (1 - part)), k))
+        before = 0
+        rest = []
+        for _, k in sorted(order):
+            if before + size[k] <= left and not rest:
+                out[k] += 1
+                before += size[k]
+            else:
+                rest.append(k)
+        near = [k for k in rest if 0 < size[k] and abs(left - before - size[k]) < left - before]
+        if near:
+            out[min(near, key=lambda k: abs(left - before - size[k]))] += 1
+    return out
+
+
+def test_draw_against_brute_force(spark):
+    r = np.random.default_rng(3)
+    rows = [(k, " ".join(["w"] * int(n)), None, f"s{k % 3}" if k % 7 else None) for k, n in enumerate(r.integers(0, 400, 300))]
+    total = Counter()
+    for x in rows:
+        total[x[3]] += len(re.findall(WS, x[1]))
+    got = {x["doc_id"]: x["copies"] for x in mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    want = drawn(rows, fill(total))
+    differ = [k for k in want if got[k] != want[k]]
+    assert len(differ) <= 4, [(k, got[k], want[k]) for k in differ]  # the bins' edge and equal gaps may part at rounding
+
+
+def test_longer_documents_are_likelier(spark):
+    rows = [(k, "w " * (2000 if k % 2 else 20), "a" if k % 4 < 2 else "b") for k in range(2000)]
+    got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 4), ceiling=9).filter("source = 'a'").collect()
+    long, short = (np.mean([x["copies"] for x in got if x["size"] == n]) for n in (2000, 20))
+    assert 0 < short < 0.5 * long < 1
+
+
+def test_repeated_rows_close_once(spark):
+    rows = [(1, "a b c d e", "x")] * 50 + [(2, "a b", "y")]
+    got = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=(1, 1)).collect()
+    taken, target = sum(x["taken"] for x in got if x["doc_id"] == 1), next(x["target"] for x in got if x["doc_id"] == 1)
+    assert abs(taken - target) <= 5
+
+
 def test_order_sample_prefers_weight(spark):
     d = spark.createDataFrame([(k, "w " * 10, "a" if k % 2 else "b", 9.0 if k % 4 == 1 else 1.0) for k in range(400)], "doc_id long, text string, source string, weight double")
     got = mixing.mixture(d, weights=(1, 3), weight="weight", keep=("weight",)).filter("source = 'a'").collect()

@@ -25,24 +25,37 @@ def crc_mod(column: str, mod: int) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; one of our own only where none is named, as in tests."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        have = spark.sparkContext.getCheckpointDir()
-        d = have or "/tmp/checkpoints/vialstream"
-        if not have:
-            spark.sparkContext.setCheckpointDir(d)
-    return d
+    """The cluster's shared folder.  On one machine without such a setting it lies beside the warehouse; a cluster must name one."""
+    if d := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return d
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` as a written table with a number ``rid`` for each row, the same in every later scan."""
+    return written(df.withColumn("rid", F.monotonically_increasing_id()), "rows")
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Cuts the lineage by a Parquet table in the shared folder, and reads it back."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/vialstream-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids and numbers that are broadcast at most (tens of MB); beyond it the join shuffles.
+MOST_BROADCAST = 400_000
+
+
+def small(df: DataFrame, tag: str = "small") -> DataFrame:
+    """A written table of ids and numbers, to be joined: broadcast if it is small, which is counted."""
+    df = written(df, tag)
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def released(*tables: DataFrame) -> None:
     """Empties tables that ``written`` made and that nothing reads any more."""
     for df in tables:
@@ -103,10 +116,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             lo = hi
 
 
-def by_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 # ---- byte classes and hashes -------------------------------------------------------------
 
 LOWER = np.arange(256, dtype=np.uint8)

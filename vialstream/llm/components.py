@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import released, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -41,7 +41,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # a forest of stars: nobody has two parents, and no parent has one
         if now.groupBy("a").count().filter("count > 1").isEmpty() and now.join(now.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        now = written(_stars(_stars(now, True), False), "edges")
+        now, used = written(_stars(_stars(now, True), False), "edges"), now
+        released(used)
         after = _state(now)
         if after == before:
             break

@@ -15,8 +15,9 @@
 A pair at the threshold meets in no order with a chance below ``MISS``, and agrees in too few minima with a
 chance below ``MISS``; so it is missed with a chance below 1e-5.  Copies never expand into pairs.
 Cases: a null text and one without words have an empty set, and stand alone; a text with fewer words than a
-shingle has one shingle of all; rows that repeat a doc_id are rows of their own, and a null doc_id is never a
-component's id if it has another member; no rows give no rows; extra columns are ignored.
+shingle has one shingle of all; rows are told apart by numbers of their own, so rows that repeat a doc_id or
+have none are linked like others; a null doc_id is never a component's id if it has another member; no rows
+give no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SPACE, Rolling, mix, own_columns, slices, table, text_buffers, word_bounds, written
+from .common import LOWER, SPACE, mix, numbered, own_columns, released, slices, small, table, text_buffers, word_bounds, word_hashes, written
 from .components import components
 
 SHINGLE = 5
@@ -71,7 +72,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, size: int = SHINGLE) -> tup
     words = np.bincount(doc, minlength=n) if len(doc) else np.zeros(n, np.int64)
     if not len(start):
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    w = Rolling(LOWER[data]).of(start, end)
+    w = word_hashes(LOWER[data], start, end)
     parts, owners = [], []
     if len(w) >= size:
         h = np.zeros(len(w) - size + 1, np.uint64)
@@ -120,7 +121,7 @@ def signatures(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-SIGNED = "doc_id long, n_shingles long, h1 long, h2 long, n_bytes long, sig binary"
+SIGNED = "rid long, doc_id long, n_shingles long, h1 long, h2 long, n_bytes long, sig binary"
 
 
 def _sign(batches):
@@ -128,7 +129,7 @@ def _sign(batches):
         h, at = shingle_sets(data, offs)
         h1, h2 = digests(h, at)
         sig = signatures(h, at)
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(at)), pa.array(h1), pa.array(h2), pa.array(np.diff(offs)), pa.array([s.tobytes() for s in sig], pa.binary())], [x.split()[0] for x in SIGNED.split(", ")])
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(np.diff(at)), pa.array(h1), pa.array(h2), pa.array(np.diff(offs)), pa.array([s.tobytes() for s in sig], pa.binary())], [x.split()[0] for x in SIGNED.split(", ")])
 
 
 class Sets:
@@ -273,13 +274,8 @@ def _group_edges(percent: int):
             cid: list[int] = []
             for part, data, offs in slices(rows.to_batches()):
                 h, at = shingle_sets(data, offs)
-                h1, h2 = digests(h, at)
-                # the row of a repeated id whose text is another one than its class's is left out
-                mine = (h1 == part.column(4).to_numpy()) & (h2 == part.column(5).to_numpy())
-                for k, c in enumerate(part.column(3).to_pylist()):
-                    if mine[k] and (not cid or cid[-1] != c):  # rows are sorted by class
-                        sets_.append(h[at[k] : at[k + 1]].copy())
-                        cid.append(c)
+                sets_ += [h[at[k] : at[k + 1]].copy() for k in range(part.num_rows)]
+                cid += part.column(3).to_pylist()
             part_at = np.concatenate([[0], np.cumsum([len(s) for s in sets_])])
             sig = signatures(np.concatenate(sets_) if sets_ else np.zeros(0, np.uint64), part_at)
             out += [(cid[x], cid[y]) for x, y in confirmed_edges(sets_, sig, percent)]
@@ -298,13 +294,23 @@ def _blocks(df: DataFrame, count, node: str = "cid") -> DataFrame:
     return df.withColumn("x", F.least("_own", "_other")).withColumn("y", F.greatest("_own", "_other")).drop("_own", "_other")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each document."""
-    docs = own_columns(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    signed = written(docs.mapInArrow(_sign, SIGNED), "signed")
-    same = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.min("n_bytes").alias("n_bytes"))
+LINKED = ("rid", "doc_id", "n_shingles", "component_id", "kept", "first")
+
+
+def linked_rows(rows: DataFrame, percent: int = PERCENT, used: list | None = None) -> DataFrame:
+    """``LINKED`` of each row of a written table (rid, doc_id, text): ``first`` marks one row of each component.
+
+    That row has the least doc_id, and of equal ones the least rid; rows without shingles are first each.
+    ``used`` gets the tables that the result reads, for ``released``.
+    """
+    rows = own_columns(rows, "rid", "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    wide = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed = written(rows.mapInArrow(_sign, SIGNED), "signed")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")
+    same = signed.filter("n_shingles > 0").groupBy("h1", "h2", "n_shingles").agg(F.min(rank).alias("rep"), F.first("sig").alias("sig"), F.min("n_bytes").alias("n_bytes"))
     classes = written(same.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    if used is not None:
+        used += [signed, classes]
     # regions with two classes or more
     keyed = classes.select("cid", F.explode(F.transform(F.sequence(F.lit(0), F.lit(tree_count(percent) - 1)), lambda t: F.struct(t.alias("tree"), F.substring(F.col("sig"), t * (2 * LEAST) + 1, F.lit(2 * LEAST)).alias("key")))).alias("k")).select("cid", "k.tree", "k.key")
     regions = keyed.groupBy("tree", "key").count().filter("count > 1")
@@ -312,23 +318,28 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = _blocks(shared, F.ceil(F.col("count") / BLOCK))
     shared = shared.repartition(2 * wide, "tree", "key", "x", "y").sortWithinPartitions("tree", "key", "x", "y")
     loose = components(shared.select("tree", "key", "x", "y", "cid", "sig").mapInArrow(_region_edges(percent), "a long, b long"))
-    loose = written(loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct()), "loose")
+    loose = loose.unionByName(loose.select(F.col("root").alias("node"), "root").distinct())
     # the texts of each loose group
-    members = classes.select("cid", "rep", "h1", "h2", "n_bytes").join(loose.withColumnRenamed("node", "cid"), "cid")
+    members = classes.select("cid", F.col("rep.rid").alias("rid"), "n_bytes").join(loose.withColumnRenamed("node", "cid"), "cid")
     groups = members.groupBy("root").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("bytes"))
     groups = groups.select("root", F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).alias("parts"))
-    members = members.join(groups, "root").withColumnRenamed("rep", "doc_id")
-    texts = members.join(docs.filter("text is not null"), "doc_id")
-    texts = _blocks(texts.filter("parts > 0"), F.col("parts"))
+    members = small(members.join(groups, "root").select("rid", "cid", "root", "parts"), "members")
+    texts = _blocks(rows.select("rid", "text").join(members, "rid"), F.col("parts"))
     texts = texts.repartition(2 * wide, "root", "x", "y").sortWithinPartitions("root", "x", "y", "cid")
-    linked = components(texts.select("root", "x", "y", "cid", "h1", "h2", "text").mapInArrow(_group_edges(percent), "a long, b long"))
-    # each class's component: the least doc_id of its classes
+    linked = components(texts.select("root", "x", "y", "cid", "text").mapInArrow(_group_edges(percent), "a long, b long"))
+    # each class's component: the least row of its classes
     whole = classes.select("cid", "h1", "h2", "n_shingles", "rep").join(linked.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = whole.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = whole.join(least, "root").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("n_shingles").alias("g3"), "component_id")
-    out = signed.select("doc_id", "n_shingles", "h1", "h2").join(named, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n_shingles") == F.col("g3")), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    least = whole.groupBy("root").agg(F.min("rep").alias("least"))
+    named = whole.join(least, "root").select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("n_shingles").alias("g3"), "least")
+    out = signed.select("rid", "doc_id", "n_shingles", "h1", "h2").join(named, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")) & (F.col("n_shingles") == F.col("g3")), "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id"))
+    out = out.select("rid", "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("rid") == F.col("least.rid"), F.lit(True)).alias("first"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))).select(*LINKED)
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each document."""
+    return linked_rows(numbered(own_columns(docs, "doc_id", "text")), percent).select(*LINKED[1:5])
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,7 +347,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group at ``STAGE_PERCENT`` stays, the one with the least id."""
+    """Pipeline stage: one row of each group at ``STAGE_PERCENT`` stays, that with the least id."""
     cols = ["doc_id", "text", "lang", "source", "n_chars"]
-    gone = written(near_duplicates(docs, STAGE_PERCENT).filter(~F.col("kept")).select("doc_id"), "gone").distinct()
-    return own_columns(docs, *cols).join(gone, "doc_id", "left_anti").select(*cols)
+    rows = numbered(own_columns(docs, *cols))
+    used: list[DataFrame] = []
+    gone = small(linked_rows(rows, STAGE_PERCENT, used).filter(~F.col("first")).select("rid"), "gone")
+    released(*used)
+    return rows.join(gone, "rid", "left_anti").select(*cols)
