@@ -23,7 +23,21 @@ def one(spark, values, f):
         (text.qualifier_first, "drug related", None),
         (text.of_the_rotation, "carcinoma of the ovary", "ovarian carcinoma"),
         (text.of_the_rotation, "ovarian carcinoma", None),
-        (text.sanitize_literal, "a\r\nb'c\x01\\", "a b''c"),
+        (text.of_the_rotation, "cancer of the blood", "hematologic cancer"),
+        (text.of_the_rotation, "disease of the skin", "skin disease"),
+        (text.sanitize_literal, "a\r\nb'c\x01\\", "a\nb''c"),
+        (text.sanitize_literal, "D'Arc\nnext", "D''Arc\nnext"),
+        (text.sanitize_literal, "D''''Arc", "D''Arc"),
+        (text.sanitize_literal, "D'''Arc''''''x", "D''Arc''x"),
+        (text.sanitize_literal, "p\x00q\nr\x01s\rt\tu\x7f", "pq\nrs\nt\tu"),
+        (text.sanitize_literal, "c\\d\\e\nf\\\\", "c\\d\\e\nf"),
+        (text.sanitize_literal, "xyz'", "xyz"),
+        (text.sanitize_literal, "xyz''", "xyz''"),
+        (text.sanitize_literal, "xyz'''", "xyz''"),
+        (text.sanitize_literal, "Y" * 15_799 + "'z", "Y" * 15_799),
+        (text.sanitize_literal, "Y" * 15_799 + "\\z", "Y" * 15_799),
+        (text.sanitize_literal, None, ""),
+        (text.sanitize_literal, "", ""),
         (text.strip_doses, "Drug 120 mg/5 mL (10-20 mg) 5 ml tablet", "Drug tablet"),
         (codes.normalize_ndc, "1234-5678", "012345678"),
         (codes.normalize_ndc, "12345-6789", "123456789"),

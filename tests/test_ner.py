@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 from vialstream.operators import ner
 
 TERMS = [
-    ("A1", "headache pain", "PT"), ("A2", "rash", "PT"), ("A3", "cancer", "LLT"), ("A4", "breast cancer", "PT"), ("A5", "aids", "PT"), ("A6", "arc", "PT"), ("A7", "immunodeficiency", "PT"),
-    ("A8", "hiv negative", "PT"), ("A9", "upper respiratory tract infections", "HT"), ("B1", "ovarian cancer", "PT"), ("B2", "blood bilirubin increased", "PT"), ("B3", "kaposi's sarcoma aids related", "PT"),
-    ("B4", "sarcoma", "PT"), ("B5", "rash", "LLT"),
+    ("A1", "knee swelling", "PT"), ("A2", "hives", "PT"), ("A3", "tumour", "LLT"), ("A4", "bone tumour", "PT"), ("A5", "aids", "PT"), ("A6", "pax", "PT"), ("A7", "immunodeficiency", "PT"),
+    ("A8", "hiv negative", "PT"), ("A9", "disorders of the gut wall", "HT"), ("B1", "gastric ulcer", "PT"), ("B2", "blood bilirubin increased", "PT"), ("B3", "kaposi's sarcoma aids related", "PT"),
+    ("B4", "sarcoma", "PT"), ("B5", "hives", "LLT"), ("B6", "kaposi's sarcoma", "PT"), ("B7", "alkaline phosphatase increased", "PT"),
 ]
 
 
@@ -15,46 +15,92 @@ def terms(spark):
     return spark.createDataFrame(TERMS, "aui string, term string, tty string").persist()
 
 
-def keys(spark, terms, section, sentence, stemmed=False):
-    rows = spark.createDataFrame([(1, sentence)], "id int, sentence string")
-    return {r["key"]: (r["tty"], list(r["auis"])) for r in ner.recognise(rows, ner.dictionary(terms, stemmed), section, stemmed).collect()}
-
-
-@pytest.mark.parametrize(
-    ("section", "sentence", "wanted"),
-    [
-        ("AE", "Patient reported headache pain and rash", {"headache pain", "rash"}),
-        ("AE", "There is no evidence of rash or headache pain", set()),
-        ("AE", "Findings are not indicative of headache pain in this cohort", set()),
-        ("IND", "Drug x is indicated for treatment of rash", {"rash"}),
-        ("IND", "Use in patients with headache pain has not been shown", set()),
-        ("AE", "   ", set()),
-        ("AE", None, set()),
-        ("AE", "aids in the prevention of dental decay", set()),
-        ("AE", "arc is a cream treatment for protection", set()),
-        ("AE", "arc ® was used", set()),
-        ("IND", "x is indicated for treatment of people who are human immunodeficiency virus (hiv) negative", set()),
-        ("IND", "x is indicated for the treatment of breast cancer", {"breast cancer"}),
-        ("AE", "events included upper respiratory tract infections", set()),
-        ("IND", "indicated for treatment of upper respiratory tract infections", {"upper respiratory tract infections"}),
-        ("AE", "in patients with ovarian cancer events were recorded", set()),
-        ("AE", "findings showed elevated bilirubin during treatment", {"blood bilirubin increased"}),
-        ("IND", "x is indicated for the treatment of AIDS–related Kaposi’s sarcoma", {"aids related kaposi's sarcoma"}),
-    ],
-)
-def test_rules(spark, terms, section, sentence, wanted):
-    assert set(keys(spark, terms, section, sentence)) == wanted
-
-
-def test_first_type_and_stems(spark, terms):
-    assert keys(spark, terms, "AE", "a rash")["rash"] == ("PT", ["A2"])
-    assert "headach pain" in keys(spark, terms, "AE", "Frequent headaches and pains were noted", stemmed=True)
+CASES = [
+    ("AE", "Hives and knee swelling came up in two people", {"hives", "knee swelling"}),
+    ("AE", "it was hives, hives and hives again", {"hives"}),
+    ("AE", "We saw no evidence of hives", set()),
+    ("AE", "Such marks are not indicative of knee swelling", set()),
+    ("AE", "this came from a preexisting bone tumour", set()),
+    ("AE", "this came from a pre-existing bone tumour", {"bone tumour"}),  # hyphens between letters are spaces by then
+    ("AE", "the trial excluded patients with hives", set()),
+    ("AE", "hives is suspected", set()),
+    ("AE", "hives from other causes", set()),
+    ("AE", "hives from causes other than this", set()),
+    ("AE", "a case report of hives", set()),
+    ("AE", "those ineligible had hives", set()),
+    ("AE", "in patient with gastric ulcer we counted", set()),
+    ("AE", "   ", set()),
+    ("AE", None, set()),
+    ("IND", "Product q is indicated for treatment of hives", {"hives"}),
+    ("IND", "given in patients with knee swelling", set()),
+    ("IND", "for hives see posology", set()),
+    ("IND", "for hives see clinical studies", set()),
+    ("IND", "for hives see symptoms and treatment of overdos", set()),
+    ("IND", "hives was not studied", set()),
+    ("IND", "hives after oral intercourse", set()),
+    ("IND", "treatment of hives, gastric ulcer was not studied in patients", set()),
+    ("IND", "q is indicated for the prevention of bone tumour", {"bone tumour"}),
+    ("AE", "one had disorders of the gut wall", set()),
+    ("IND", "indicated for treatment of disorders of the gut wall", {"disorders of the gut wall"}),
+    ("AE", "it aids in the prevention of aids", set()),
+    ("AE", "pax is a gel for the skin", set()),
+    ("AE", "pax is given before pre-radiation care", set()),
+    ("AE", "apply q where hives are", set()),
+    ("AE", "apply q to treat hives", {"hives"}),
+    ("AE", "pax ® was taken", set()),
+    ("AE", "™  pax was taken", set()),
+    ("AE", "pax (tm) came late, then pax came", {"pax"}),
+    ("IND", "treatment of those who are hiv negative", set()),
+    ("AE", "human immunodeficiency virus", set()),
+    ("AE", "an immunodeficiency came", {"immunodeficiency"}),
+    ("AE", "bilirubin was high", {"blood bilirubin increased"}),
+    ("AE", "a rise of alkaline  phosphatase", {"alkaline phosphatase increased"}),
+    ("IND", "treatment of high bilirubin", set()),
+    ("IND", "q is indicated for treatment of AIDS–related Kaposi’s sarcoma", {"aids related kaposi's sarcoma"}),
+]
+
+
+@pytest.fixture(scope="module")
+def found(spark, terms):
+    """All cases of a section in one run."""
+    out = {}
+    for section in ("AE", "IND"):
+        rows = spark.createDataFrame([(k, s) for k, (c, s, _) in enumerate(CASES) if c == section], "id int, sentence string")
+        for r in ner.recognise(rows, ner.dictionary(terms), section).collect():
+            out.setdefault(r["id"], {})[r["key"]] = (r["tty"], list(r["auis"]))
+    return out
+
+
+@pytest.mark.parametrize("k", range(len(CASES)))
+def test_rules(found, k):
+    assert set(found.get(k, {})) == CASES[k][2]
+
+
+def test_first_type(found):
+    assert found[0]["hives"] == ("PT", ["A2"])
+
+
+def test_stems_and_loose_places(spark, terms):
+    said = [(1, "frequent knees swellings were noted"), (2, "severe knees swellings were seen, apply the balm"), (3, "knee swelling seen, apply the balm"), (4, "knees swellings seen, apply the balm to treat it")]
+    hits = ner.recognise(spark.createDataFrame(said, "id int, sentence string"), ner.dictionary(terms, True), "AE", True)
+    assert sorted(r["id"] for r in hits.collect() if r["key"].startswith("knee")) == [1, 4]
+
+
+def test_places(spark):
+    rows = [("a rash and rash", "rash"), ("knees  swellings, knee swelling", "knee swel"), ("nothing", "x"), ("a+b a+b", "a+b")]
+    got = spark.createDataFrame(rows, "s string, k string").select(ner.occurrences(F.col("s"), F.col("k"))).collect()
+    assert [list(r[0]) for r in got] == [[3, 12], [19], [], [1, 5]]
+
+
+def test_absorption(spark):
+    df = spark.createDataFrame([(["aids related kaposi's sarcoma", "aids", "sarcoma"],), (["kaposi's sarcoma", "sarcoma", "aids"],), (["sarcoma", "aids"],)], "k array<string>")
+    assert [sorted(r[0]) for r in df.select(ner.absorb(F.col("k"))).collect()] == [["aids related kaposi's sarcoma", "sarcoma"], ["aids", "kaposi's sarcoma"], ["aids", "sarcoma"]]
 
 
 def test_antonyms_and_codes(spark, terms):
-    hits = spark.createDataFrame([(1, "low"), (1, "raised"), (2, "low")], "id int, key string")
-    pairs = spark.createDataFrame([("low", "raised")], "a string, b string")
-    assert {tuple(r) for r in ner.without_antonyms(hits, pairs, ["id"]).select("id", "key").collect()} == {(1, "raised"), (2, "low")}
+    hits = spark.createDataFrame([(1, "longword"), (1, "much up"), (2, "longword"), (3, "up"), (3, "down")], "id int, key string")
+    pairs = spark.createDataFrame([("longword", "much up"), ("up", "down")], "a string, b string")
+    assert {tuple(r) for r in ner.without_antonyms(hits, pairs, ["id"]).select("id", "key").collect()} == {(1, "much up"), (2, "longword"), (3, "up"), (3, "down")}
     atoms = spark.createDataFrame([("L", "10", "LLT", "99"), ("P", "10", "PT", "10")], "aui string, pt_code string, tty string, code string")
     got = ner.codes_of(spark.createDataFrame([(1, ["L"])], "id int, auis array<string>"), atoms)
     assert {r["aui"] for r in got.collect()} == {"L", "P"}

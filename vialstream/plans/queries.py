@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vialstream.functions import codes, text
 from vialstream.functions.stem import stem_words
 from vialstream.operators import events, merge, ner, persist, products, terminology, training
-from vialstream.sources import html
+from vialstream.sources import html, tabular
 
 SPARK: dict = {}
 SQL: dict[str, str] = {}
@@ -29,7 +29,8 @@ def query(sql: str | None = None):
 
 
 def t(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return tabular.spread(df.select("doc_id", "text", "lang")) if name == "documents" else df
 
 
 def _digest(c):
@@ -93,11 +94,11 @@ def porter_stem(spark, d):
     return w.select("word", stem_words(F.array("word"))[0].alias("stem"))
 
 
-@query("""WITH w AS (SELECT DISTINCT unnest(list_filter(regexp_split_to_array(trim(lower(regexp_replace(text, '[^a-zA-Z0-9\\s-]', ' ', 'g')), ' '), '\\s+'), lambda x: length(x) >= 3)) AS w FROM documents WHERE lang = 'en'),
-g AS (SELECT substr(w, i, n) AS gram FROM w, range(3, 6) a(n), range(1, 60) b(i) WHERE i + n - 1 <= length(w))
+@query("""WITH w AS (SELECT DISTINCT unnest(list_filter(regexp_split_to_array(trim(lower(regexp_replace(text, '[^a-zA-Z0-9\\s-]', ' ', 'g')), ' '), '\\s+'), lambda x: length(x) >= 3)) AS w FROM documents),
+g AS (SELECT substr(w, i, n) AS gram FROM (SELECT w, unnest(range(1, length(w) + 1)) AS i FROM w), range(3, 6) a(n) WHERE i + n - 1 <= length(w))
 SELECT gram, count(*) AS n FROM g GROUP BY gram""")
 def char_ngrams(spark, d):
-    w = t(spark, d, "documents").filter("lang = 'en'").select(F.explode(F.array_distinct(text.words(text.clean_term(F.col("text"))))).alias("w")).filter("length(w) >= 3").distinct()
+    w = t(spark, d, "documents").select(F.explode(F.array_distinct(text.words(text.clean_term(F.col("text"))))).alias("w")).filter("length(w) >= 3").distinct()
     return w.select(F.explode(text.char_ngrams(F.col("w"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
 
 
@@ -162,7 +163,7 @@ dict AS (SELECT tty, key, list_sort(list_distinct(list(aui))) AS auis FROM (
   UNION ALL SELECT 'LLT', 'LLT' || item_id, array_to_string(w[1:3], ' ') FROM bb UNION ALL SELECT 'HT', 'HT' || item_id, array_to_string(w[1:2], ' ') FROM bb) GROUP BY tty, key),
 sent AS (SELECT doc_id, unnest(range(len(s))) AS n, unnest(s) AS raw FROM (SELECT doc_id, {SENTENCES} AS s FROM documents)),
 rows_ AS (SELECT doc_id, n, list_filter(regexp_split_to_array(lower({SPECIAL.format('raw')}), '\\s+'), lambda x: x <> '') AS w, lower({SPECIAL.format('raw')}) AS sentence FROM sent),
-grams AS (SELECT DISTINCT doc_id, n, sentence, array_to_string(w[i:i+k-1], ' ') AS key FROM rows_, range(1, 4) a(k), range(1, 4000) c(i) WHERE i + k - 1 <= len(w))"""
+grams AS (SELECT DISTINCT doc_id, n, sentence, array_to_string(w[i:i+k-1], ' ') AS key FROM (SELECT doc_id, n, sentence, w, unnest(range(1, len(w) + 1)) AS i FROM rows_), range(1, 4) a(k) WHERE i + k - 1 <= len(w))"""
 
 
 def _clean_terms(spark, d):
@@ -194,21 +195,39 @@ def tty_priority(spark, d):
     return ner.first_type(h, ["doc_id", "n"], "IND").select("doc_id", F.col("n").cast("long").alias("n"), "key", "tty", F.array_join("auis", ",").alias("auis"))
 
 
-@query()
-def entity_hits(spark, d):
-    """All rules: sentences, exclusion, n-grams, local context, specificity, first type; counts by key."""
-    hits = ner.recognise(ner.sentence_rows(t(spark, d, "documents")), _clean_terms(spark, d), "AE")
-    return hits.groupBy("key", "tty").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
-
-
-def _sql_word(p: str) -> str:
-    return f"regexp_matches(s, '(?i)(^|[^0-9A-Za-z_])({p})($|[^0-9A-Za-z_])')"
+def _sql_find(patterns: tuple, s: str = "s") -> str:
+    return f"regexp_matches({s}, '{ner.any_of(patterns)}')"
 
 
 def _cues(s: str) -> str:
     return " OR ".join(f"contains({s}, '{c}')" for c in ner.NEGATION)
 
 
+_DROPPED = f"({_cues('s')} OR {_sql_find((*ner.NOT_AN_EVENT, *ner.STUDY, *ner.PRIOR))})"
+_SPACED = "regexp_replace(regexp_replace(regexp_replace(sentence, '([a-z])-([a-z])', '\\1 \\2', 'g'), '([a-z])-([a-z])', '\\1 \\2', 'g'), '\\s+([''-])\\s+', '\\1', 'g')"
+_NEAR = "substr(s, greatest(p - 70, 1), p + length(key) + 70 - greatest(p - 70, 1))"
+
+
+@query(f"""WITH {_TERMS_SQL}, said AS (SELECT doc_id, n, {_SPACED} AS s FROM rows_ WHERE sentence <> ''),
+kept AS (SELECT doc_id, n, s, list_filter(regexp_split_to_array(s, '\\s+'), lambda x: x <> '') AS w FROM said WHERE NOT {_DROPPED}),
+g AS (SELECT DISTINCT doc_id, n, s, array_to_string(w[i:i+k-1], ' ') AS key FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM kept), range(1, 4) a(k) WHERE i + k - 1 <= len(w)),
+found AS (SELECT DISTINCT doc_id, n, s, key FROM g JOIN dict USING (key) WHERE tty <> 'HT'),
+spot AS (SELECT *, unnest(range(1, length(s) - length(key) + 2)) AS p FROM found WHERE {_sql_find((ner.PRODUCT, ner.INSTRUCTION))}),
+near AS (SELECT doc_id, n, key, {_NEAR} AS c FROM spot WHERE substr(s, p, length(key)) = key),
+bad AS (SELECT doc_id, n, key FROM near GROUP BY ALL HAVING bool_and({_sql_find((ner.PRODUCT,), "c")} OR ({_sql_find((ner.INSTRUCTION,), "c")} AND NOT {_sql_find((ner.CLINICAL,), "c")}))),
+hit AS (SELECT doc_id, n, key, string_split(key, ' ') AS w FROM found ANTI JOIN bad USING (doc_id, n, key)),
+own AS (SELECT doc_id, n, key FROM hit a WHERE NOT EXISTS (SELECT 1 FROM hit b WHERE a.doc_id = b.doc_id AND a.n = b.n AND len(b.w) > len(a.w) AND list_has_all(b.w, a.w))),
+typed AS (SELECT doc_id, n, key, tty, row_number() OVER (PARTITION BY doc_id, n, key ORDER BY CASE tty WHEN 'PT' THEN 0 ELSE 1 END) AS r FROM own JOIN dict USING (key) WHERE tty <> 'HT')
+SELECT key, tty, count(*) AS n, count(DISTINCT doc_id) AS docs FROM typed WHERE r = 1 GROUP BY key, tty""")
+def entity_hits(spark, d):
+    """All rules: sentences, exclusion, dictionary, local context, specificity, first type; counts by key.
+
+    The SQL leaves out rules that can't apply to these cleaned sentences and keys: signs, HIV, absorption, values.
+    """
+    hits = ner.recognise(ner.sentence_rows(t(spark, d, "documents")), _clean_terms(spark, d), "AE")
+    return hits.groupBy("key", "tty").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("docs"))
+
+
 _STATED = "(SELECT conv_id, turn, lower(text) || CASE turn % 4 WHEN 0 THEN ' no evidence of harm' WHEN 1 THEN ' in patients with it' WHEN 2 THEN ' elevated bilirubin was seen' ELSE '' END AS s FROM conversations)"
 
 
@@ -218,17 +237,17 @@ def _stated(spark, d):
     return t(spark, d, "conversations").select("conv_id", "turn", F.concat(F.lower("text"), more).alias("s"))
 
 
-@query(f"SELECT conv_id, turn FROM {_STATED} WHERE NOT ({_cues('s')} OR {_sql_word(ner.NOT_AN_EVENT)} OR {_sql_word(ner.STUDY)} OR {_sql_word(ner.PRIOR)})")
+@query(f"SELECT conv_id, turn FROM {_STATED} WHERE NOT {_DROPPED}")
 def negation_filter(spark, d):
     return _stated(spark, d).filter(~ner.excluded(F.col("s"), "AE")).select("conv_id", "turn")
 
 
-@query(f"SELECT conv_id, turn FROM {_STATED} WHERE NOT ({_cues('s')} OR {_sql_word(ner.NOT_A_USE)} OR (NOT (contains(s, 'indicated for') OR contains(s, 'treatment of') OR contains(s, 'prevention of')) AND contains(s, 'in patients with')))")
+@query(f"SELECT conv_id, turn FROM {_STATED} WHERE NOT ({_cues('s')} OR {_sql_find(ner.NOT_A_USE)} OR (NOT (contains(s, 'indicated for') OR contains(s, 'treatment of') OR contains(s, 'prevention of')) AND contains(s, 'in patients with')))")
 def context_gate(spark, d):
     return _stated(spark, d).filter(~ner.excluded(F.col("s"), "IND")).select("conv_id", "turn")
 
 
-@query(f"SELECT conv_id, turn, 'blood bilirubin increased' AS key FROM {_STATED} WHERE {_sql_word('bilirubin')} AND {_sql_word(ner.RAISED)}")
+@query(f"SELECT conv_id, turn, 'blood bilirubin increased' AS key FROM {_STATED} WHERE {_sql_find(ner.LAB_TRIGGERS[0][:1])} AND {_sql_find(ner.LAB_TRIGGERS[0][1:2])}")
 def lab_trigger(spark, d):
     return _stated(spark, d).select("conv_id", "turn", F.explode(ner.lab_keys(F.col("s"))).alias("key"))
 

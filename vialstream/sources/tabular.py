@@ -13,6 +13,16 @@ from vialstream.operators import products
 _ROW = F.monotonically_increasing_id
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, where its scan has fewer tasks than the session has cores (small files); else as it is.
+
+    Only the number of tasks is asked for, so a large input is never shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores)
+
+
+
 def _read(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
     """All columns as strings, in file order (column ``_row``); malformed fields are null."""
     schema = ", ".join(f"`{c}` string" for c in columns)
