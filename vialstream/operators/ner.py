@@ -107,8 +107,8 @@ def excluded(sentence: Column, section: str) -> Column:
 
 def sentence_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n, sentence): sentences in lower case, special characters out."""
-    parts = docs.select(id_col, F.posexplode(text.sentences(F.col(text_col))).alias("n", "raw"))
-    return parts.select(id_col, "n", F.lower(text.split_special(F.col("raw"))).alias("sentence")).filter("sentence <> ''")
+    parts = F.transform(text.sentences(F.col(text_col)), lambda s: F.lower(text.split_special(s)))
+    return docs.select(id_col, F.posexplode(parts).alias("n", "sentence")).filter("sentence <> ''")
 
 
 def _by_first_word(entries: DataFrame, section: str) -> DataFrame:
@@ -240,7 +240,8 @@ def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed:
     One pass: hits carry their type and atoms, and one group for each sentence applies the rules between keys.
     """
     ids = [c for c in rows.columns if c != "sentence"]
-    rows = rows.filter(F.trim("sentence") != "").withColumn("sentence", text.normalize_punct(F.trim(F.lower("sentence"))))
+    # out of a generator a sentence is a column; out of a projection each filter below would compute it anew
+    rows = rows.select(*ids, F.explode(F.array(text.normalize_punct(F.trim(F.lower("sentence"))))).alias("sentence")).filter(F.trim("sentence") != "")
     rows = rows.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence")))
     hits = match(rows, entries, section, stemmed, section != "IND") if section != "IND" else match(rows, entries, section, stemmed).withColumn("lab", F.lit(False))
     # the sentence's own flag keeps the costly test from sentences without any cue
