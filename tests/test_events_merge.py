@@ -68,7 +68,8 @@ def test_merge_order_does_not_matter(spark):
         df = spark.createDataFrame([tuple(x[k] for k in ("guid", "cuis", "source_type", "copack", "parents", "ingredients", "ndas", "ndcs")) for x in r], schema)
         results.append({x["guid"]: x["winner"] for x in merge.merge_products(df).collect()})
     assert results[0] == results[1]
-    assert results[0]["b"] == "a" and results[0]["e"] == "e" and results[0]["g"] == "f" and results[0]["d"] == "d"
+    assert results[0]["a"] == results[0]["b"] == "c"  # a takes in b, and both join the group that holds their concept
+    assert results[0]["e"] == "e" and results[0]["g"] == "f" and results[0]["d"] == "d"
 
 
 def test_set_joins(spark):

@@ -78,3 +78,13 @@ def products_before(rows: DataFrame, date: Column, product: str = "product") ->
 def with_codes(changes: DataFrame, found: DataFrame, key: str) -> DataFrame:
     """Only changes that have some code."""
     return changes.join(found.select(key).distinct(), key, "left_semi")
+
+
+def counts_by_pass(rows: DataFrame, section: str = "section", match: str = "match") -> DataFrame:
+    """(section, pass, n): events by section and kind of match."""
+    return rows.groupBy(F.col(section).alias("section"), F.col(match).alias("pass")).agg(F.count("*").alias("n"))
+
+
+def code_lists(rows: DataFrame, key: str, code: str) -> DataFrame:
+    """(key, codes): each key's distinct codes, sorted."""
+    return rows.groupBy(key).agg(F.array_sort(F.collect_set(code)).alias("codes"))

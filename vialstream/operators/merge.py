@@ -15,9 +15,16 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` as a table in the session's checkpoint folder, read back: the lineage ends there."""
+    """``df`` as a table in the session's checkpoint folder, read back: the lineage ends there.
+
+    On one machine without such a setting the folder lies beside the warehouse; a cluster must name one.
+    """
     spark = df.sparkSession
-    d = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/vialstream"
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+        d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
     path = f"{d.rstrip('/')}/vialstream-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -46,16 +53,22 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> Dat
         changed = not new.exceptAll(label).isEmpty()
         label = new
         if not changed:
-            break
-    return label
+            return label
+    raise RuntimeError("components: the rounds didn't suffice")
 
 
 def contains(rows: DataFrame, key: str, items: str) -> DataFrame:
-    """(a, b): a's item set holds all of b's (not empty) and they share one; pairs arise only from shared items."""
-    long = rows.select(key, F.explode(F.array_distinct(items)).alias("item"))
-    size = rows.select(F.col(key).alias("b"), F.size(F.array_distinct(items)).alias("n"))
-    pairs = long.select(F.col(key).alias("a"), "item").join(long.select(F.col(key).alias("b"), "item"), "item").filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("common"))
-    return pairs.join(size, "b").filter("common = n").select("a", "b")
+    """(a, b): a's item set holds all of b's (not empty).
+
+    Candidates come from b's rarest item alone, so a common item joins only the sets that hold nothing rarer.
+    """
+    sets = rows.select(F.col(key).alias("k"), F.array_distinct(items).alias("s"))
+    long = sets.select("k", "s", F.explode("s").alias("item"))
+    often = long.groupBy("item").agg(F.count("*").alias("n"))
+    rarest = long.join(often, "item").groupBy("k").agg(F.min(F.struct("n", "item"))["item"].alias("item"))
+    small = sets.join(rarest, "k").select(F.col("k").alias("b"), F.col("s").alias("inner"), "item")
+    pairs = long.select(F.col("k").alias("a"), F.col("s").alias("outer"), "item").join(small, "item")
+    return pairs.filter((F.col("a") != F.col("b")) & (F.size(F.array_except("inner", "outer")) == 0)).select("a", "b")
 
 
 def equal_sets(rows: DataFrame, key: str, items: str) -> DataFrame:
@@ -81,6 +94,8 @@ _PRIOR = "prior_ids"
 
 def _greedy(block: pd.DataFrame) -> pd.DataFrame:
     rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, _PRIOR)} for r in block.sort_values("guid").to_dict("records")]
+    for r in rows:
+        r["own"] = r["ndas"]  # a product's own application, whatever it takes in later
     win = {r["guid"]: r["guid"] for r in rows}
     live = rows
 
@@ -106,7 +121,7 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
     sweep(lambda a, b: len(a["cuis"]) == 1 and a["cuis"] == b["cuis"])
     sweep(lambda a, b: len(a["cuis"]) > 1 and a["cuis"] == b["cuis"])
     sweep(lambda a, b: len(a["cuis"]) > 1 and len(b["cuis"]) == 1 and b["cuis"] <= a["cuis"], earlier=True)
-    sweep(lambda a, b: bool(a["ndas"] & b["ndas"]))
+    sweep(lambda a, b: bool(a["own"] & b["own"]))
     sweep(lambda a, b: bool(b["parents"]) and b["parents"] <= a["parents"], earlier=True)
     sweep(lambda a, b: bool(a["ingredients"]) and a["ingredients"] == b["ingredients"])
     sweep(lambda a, b: bool(a["ndcs"] & b["ndcs"]))

@@ -82,3 +82,20 @@ def insert_lines(rows: DataFrame, table: str) -> DataFrame:
 
 def write_export(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("sep", "|").option("header", True).csv(path)
+
+
+def export_products(facts: DataFrame, codes_: DataFrame, names: DataFrame) -> DataFrame:
+    """(line): each product's distinct codes with the product's name.  facts (product, atom), codes_ (atom, code), names (product, name)."""
+    j = facts.select("product", "atom").distinct().join(codes_, "atom").join(names, "product")
+    return j.select(pipe_line([F.col("product"), F.col("code"), F.col("name")]).alias("line")).distinct().orderBy("line")
+
+
+def export_events(facts: DataFrame, atoms: DataFrame) -> DataFrame:
+    """(line): product, atom, first date and boxed flag of each event.  facts (product, atom, date, boxed), atoms (atom)."""
+    g = facts.join(atoms, "atom", "left_semi").groupBy("product", "atom").agg(F.min("date").alias("date"), F.max(F.col("boxed").cast("int")).alias("boxed"))
+    return g.select(pipe_line([F.col("product"), F.col("atom"), F.date_format("date", "yyyy-MM-dd"), F.col("boxed")]).alias("line"))
+
+
+def export_labels(labels: DataFrame) -> DataFrame:
+    """(line): labels (id, guid, name) in order of id and guid; null names are empty."""
+    return labels.orderBy("id", "guid").select(pipe_line([F.col("id"), F.col("guid"), F.col("name")]).alias("line"))

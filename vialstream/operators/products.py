@@ -69,3 +69,8 @@ def conflicts(rows: DataFrame, key: str, value: str) -> DataFrame:
 def owners(rows: DataFrame, key: str, owner: str) -> DataFrame:
     """Keys that several owners hold: an empty table if each has one."""
     return conflicts(rows, key, owner)
+
+
+def by_keys(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Distinct rows whose key is wanted: an IN list of any length as a semi-join."""
+    return rows.join(wanted.select(key), key, "left_semi").distinct()

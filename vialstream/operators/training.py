@@ -46,3 +46,20 @@ def gate(rows: DataFrame, model, section: str, least: float = 0.25) -> DataFrame
     scored = model.transform(rows.withColumn("label", F.lit(section)))
     ok = (F.col("prediction") == at) | (vector_to_array("probability")[at] >= least)
     return scored.filter(ok).select(rows.columns)
+
+
+def word_counts(rows: DataFrame, column: str, least: int = 1) -> DataFrame:
+    """(word, n): words of cleaned texts that occur ``least`` times or more; counted before the shuffle."""
+    w = rows.select(F.explode(text.words(text.clean_term(F.col(column)))).alias("word"))
+    return w.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+
+
+def harvest_suffixes(terms: DataFrame, bases: DataFrame, order: str) -> DataFrame:
+    """(suffix, base, example): four-letter tails of terms whose stem is a known base name; the first term of each tail.
+
+    terms (term, ``order``), bases (base).
+    """
+    shape = "^([a-z0-9_ ]+)-([a-z]{4})\\b"
+    cut = terms.select(order, "term", F.regexp_extract("term", shape, 1).alias("base"), F.regexp_extract("term", shape, 2).alias("suffix"))
+    known = cut.join(bases.select("base").distinct(), "base", "left_semi")
+    return known.groupBy("suffix").agg(F.min_by("base", order).alias("base"), F.min_by("term", order).alias("example"))

@@ -76,8 +76,7 @@ def sentence_split(spark, d):
 @query("""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(trim(lower(regexp_replace(text, '[^a-zA-Z0-9\\s-]', ' ', 'g')), ' '), '\\s+'), lambda x: x <> '')) AS w FROM documents)
 SELECT w AS word, count(*) AS n FROM w GROUP BY w HAVING count(*) >= 20""")
 def frequent_words(spark, d):
-    w = t(spark, d, "documents").select(F.explode(text.words(text.clean_term(F.col("text")))).alias("word"))
-    return w.groupBy("word").agg(F.count("*").alias("n")).filter("n >= 20")
+    return training.word_counts(t(spark, d, "documents"), "text", 20)
 
 
 _STOP = ", ".join(f"'{w}'" for w in text.STOPWORDS)
@@ -125,10 +124,7 @@ SELECT suffix, arg_min(stem, c_custkey) AS base, arg_min(term, c_custkey) AS exa
 def suffix_harvest(spark, d):
     n = t(spark, d, "nation")
     v = t(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lower("n_name"), F.lit("-"), F.char(97 + F.col("c_custkey") % 7), F.lit("xyz "), "c_mktsegment").alias("term"))
-    p = "^([a-z0-9_ ]+)-([a-z]{4})\\b"
-    m = v.select("c_custkey", "term", F.regexp_extract("term", p, 1).alias("stem"), F.regexp_extract("term", p, 2).alias("suffix"))
-    found = m.join(n.select(F.lower("n_name").alias("stem")).distinct(), "stem", "left_semi")
-    return found.groupBy("suffix").agg(F.min_by("stem", "c_custkey").alias("base"), F.min_by("term", "c_custkey").alias("example"))
+    return training.harvest_suffixes(v, n.select(F.lower("n_name").alias("base")), "c_custkey")
 
 
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'radiation related ' || lower(n_name) || ' sore' END AS rotated FROM nation""")
@@ -332,19 +328,25 @@ def llt_pt_dedup(spark, d):
 SELECT DISTINCT s_suppkey, n_nationkey FROM x JOIN nation n ON x.n_regionkey = n.n_regionkey WHERE contains(x.term, lower(n.n_name))""")
 def ndc_atc_contains(spark, d):
     n = t(spark, d, "nation")
-    x = t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.concat(F.lower("n_name"), F.lit(" salt")).alias("term"), "n_regionkey")
-    return x.join(n.select(F.col("n_nationkey"), "n_name", "n_regionkey"), "n_regionkey").filter(F.col("term").contains(F.lower("n_name"))).select("s_suppkey", "n_nationkey").distinct()
+    drugs = t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("cui"), F.concat(F.lower("n_name"), F.lit(" salt")).alias("term"), F.concat(F.col("s_suppkey").cast("string"), F.lit("xx")).alias("ndc"))
+    classes = n.select(F.col("n_nationkey").alias("aui"), (F.col("n_regionkey") + 100).alias("cui"), F.col("n_name").alias("term"))
+    relation = t(spark, d, "region").select(F.col("r_regionkey").alias("cui1"), (F.col("r_regionkey") + 100).alias("cui2"))
+    return terminology.ndc_classes(drugs, relation, classes).select(F.col("ndc").cast("long").alias("s_suppkey"), F.col("class_aui").alias("n_nationkey"))
 
 
-@query("SELECT DISTINCT s_suppkey, s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') ORDER BY s_suppkey")
+@query("SELECT DISTINCT n_nationkey AS brand_aui, n_name AS brand, r_regionkey AS drug_aui, r_name AS drug FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> 4")
 def brand_three_way(spark, d):
-    n, r = t(spark, d, "nation"), t(spark, d, "region").filter(F.col("r_name").isin("ASIA", "EUROPE"))
-    return t(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("s_suppkey", "s_name", "n_name", "r_name").distinct().orderBy("s_suppkey")
+    n, r = t(spark, d, "nation"), t(spark, d, "region")
+    c = lambda df, key, name, tty: df.select(F.lit("RXNORM").alias("SAB"), F.lit("ENG").alias("LAT"), F.lit("N").alias("SUPPRESS"), F.lit(tty).alias("TTY"), F.concat(F.lit(tty), F.col(key)).alias("CUI"), F.col(key).alias("AUI"), F.col(name).alias("STR"))
+    concepts = c(n, "n_nationkey", "n_name", "BN").unionByName(c(r, "r_regionkey", "r_name", "SBD"))
+    relations = n.select(F.when(F.col("n_nationkey") % 5 != 4, "ingredient_of").otherwise("has_form").alias("RELA"), F.concat(F.lit("SBD"), "n_regionkey").alias("CUI1"), F.concat(F.lit("BN"), "n_nationkey").alias("CUI2"))
+    return terminology.brand_names(concepts, relations)
 
 
 @query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 10)")
 def semi_by_keys(spark, d):
-    return t(spark, d, "lineitem").select("l_partkey", "l_suppkey").join(t(spark, d, "part").filter("p_size < 10").select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi").distinct()
+    wanted = t(spark, d, "part").filter("p_size < 10").select(F.col("p_partkey").alias("l_partkey"))
+    return products.by_keys(t(spark, d, "lineitem").select("l_partkey", "l_suppkey"), wanted, "l_partkey")
 
 
 # ---- products ---------------------------------------------------------------------------
@@ -392,9 +394,13 @@ def union_by_priority(spark, d):
     return products.union_by_priority([o.withColumn("part", F.lit(1)), c.filter("c_custkey % 2 = 0").withColumn("part", F.lit(2)), c.withColumn("part", F.lit(3))], "c_custkey")
 
 
-@query("SELECT p_brand AS ndc, max(p_partkey) AS class_aui, count(*) AS products FROM part GROUP BY p_brand")
+@query("""WITH last AS (SELECT p_partkey % 500 AS k, max(p_partkey) AS class_aui FROM part GROUP BY 1)
+SELECT DISTINCT p_size AS product, lpad(k::VARCHAR, 5, '0') || '0001' AS ndc, class_aui FROM part JOIN last ON p_partkey % 500 = k""")
 def ndc_to_class_last(spark, d):
-    return t(spark, d, "part").groupBy(F.col("p_brand").alias("ndc")).agg(F.max("p_partkey").alias("class_aui"), F.count("*").alias("products"))
+    p = t(spark, d, "part")
+    k = F.col("p_partkey") % 500
+    code = F.concat_ws("-", F.lpad(k.cast("string"), 5, "0"), F.lit("0001"))
+    return products.classes_of(p.select(F.col("p_size").alias("product"), code.alias("ndc")), p.select(F.concat(F.lpad(k.cast("string"), 5, "0"), F.lit("0001")).alias("ndc"), F.col("p_partkey").alias("class_aui")))
 
 
 # ---- merging ----------------------------------------------------------------------------
@@ -419,9 +425,11 @@ def ingredient_equality(spark, d):
     return merge.equal_sets(_brand_sets(spark, d), "k", "items")
 
 
-@query("SELECT string_agg(b, '|' ORDER BY b) AS \"set\", k FROM (SELECT DISTINCT p_size AS k, p_brand AS b FROM part) GROUP BY k")
+@query("""WITH s AS (SELECT p_size || '/' || split_part(p_type, ' ', 2) AS k, string_agg(DISTINCT substr(p_brand, 7, 1), '|' ORDER BY substr(p_brand, 7, 1)) AS items FROM part GROUP BY 1)
+SELECT items AS "set", min(k) AS "first", count(*) AS members FROM s GROUP BY 1 HAVING count(*) > 1""")
 def atc_equality(spark, d):
-    return t(spark, d, "part").groupBy(F.col("p_size").alias("k")).agg(F.array_join(F.array_sort(F.collect_set("p_brand")), "|").alias("set")).select("set", "k")
+    sets = t(spark, d, "part").groupBy(F.concat_ws("/", "p_size", F.split_part("p_type", F.lit(" "), F.lit(2))).alias("k")).agg(F.collect_set(F.substring("p_brand", 7, 1)).alias("items"))
+    return merge.equal_sets(sets, "k", "items")
 
 
 @query("""WITH e AS (SELECT l_orderkey AS a, min(l_suppkey * 1000 + l_partkey % 40) AS k FROM lineitem GROUP BY 1),
@@ -549,20 +557,19 @@ def foreign_keys(spark, d):
 
 @query("SELECT DISTINCT l_suppkey || '|' || p_brand || '|' || s_name AS line FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey ORDER BY 1")
 def export_ndc(spark, d):
-    j = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).join(t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    return j.select(persist.pipe_line([F.col("l_suppkey"), F.col("p_brand"), F.col("s_name")]).alias("line")).distinct().orderBy("line")
+    facts = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("product"), F.col("l_partkey").alias("atom"))
+    return persist.export_products(facts, t(spark, d, "part").select(F.col("p_partkey").alias("atom"), F.col("p_brand").alias("code")), t(spark, d, "supplier").select(F.col("s_suppkey").alias("product"), F.col("s_name").alias("name")))
 
 
 @query("SELECT l_suppkey || '|' || l_partkey || '|' || strftime(min(l_shipdate), '%Y-%m-%d') || '|' || max(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS line FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_suppkey, l_partkey")
 def export_ae(spark, d):
-    g = t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).groupBy("l_suppkey", "l_partkey").agg(F.min("l_shipdate").alias("s"), F.max((F.col("l_returnflag") == "A").cast("int")).alias("b"))
-    return g.select(persist.pipe_line([F.col("l_suppkey"), F.col("l_partkey"), F.date_format("s", "yyyy-MM-dd"), F.col("b")]).alias("line"))
+    facts = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("product"), F.col("l_partkey").alias("atom"), F.col("l_shipdate").alias("date"), (F.col("l_returnflag") == "A").alias("boxed"))
+    return persist.export_events(facts, t(spark, d, "part").select(F.col("p_partkey").alias("atom")))
 
 
 @query("SELECT c_custkey || '|' || c_name || '|' || coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '') AS line FROM customer ORDER BY c_custkey, c_name")
 def export_guid(spark, d):
-    c = t(spark, d, "customer").orderBy("c_custkey", "c_name")
-    return c.select(persist.pipe_line([F.col("c_custkey"), F.col("c_name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))]).alias("line"))
+    return persist.export_labels(t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("guid"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("name")))
 
 
 @query(f"""WITH s AS (SELECT doc_id, lang, unnest({SENTENCES}) AS raw FROM documents), c AS (SELECT lang, doc_id, {CLEAN.format("regexp_replace(raw, '\\s+', ' ', 'g')")} AS sentence FROM s),
@@ -586,10 +593,10 @@ def html_section_text(spark, d):
 
 @query("SELECT sha256(string_agg(k::VARCHAR, ',' ORDER BY k)) AS digest, l_orderkey FROM (SELECT DISTINCT l_orderkey, l_partkey % 20 AS k FROM lineitem) GROUP BY l_orderkey")
 def distinct_code_lists(spark, d):
-    g = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.col("l_partkey") % 20)).alias("k"))
-    return g.select(F.sha2(F.array_join(F.transform("k", lambda x: x.cast("string")), ",").cast("binary"), 256).alias("digest"), "l_orderkey")
+    lists = events.code_lists(t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % 20).alias("code")), "l_orderkey", "code")
+    return lists.select(F.sha2(F.array_join(F.transform("codes", lambda x: x.cast("string")), ",").cast("binary"), 256).alias("digest"), "l_orderkey")
 
 
 @query("SELECT o_orderpriority AS section, o_orderstatus AS pass, count(*) AS n FROM orders GROUP BY ALL")
 def pass_counts(spark, d):
-    return t(spark, d, "orders").groupBy(F.col("o_orderpriority").alias("section"), F.col("o_orderstatus").alias("pass")).agg(F.count("*").alias("n"))
+    return events.counts_by_pass(t(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
\ No newline at end of file
