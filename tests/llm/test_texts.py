@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vialstream.llm import fingerprints, language, lm, mixing, pii, quality, recurrent, tokens
+from vialstream.llm import common, fingerprints, language, lm, mixing, pii, quality, recurrent, tokens
 from vialstream.llm.common import crc_mod
 
 WS = r"[^\x20\x09-\x0D]+"
@@ -34,6 +34,40 @@ def test_fingerprints(docs, rows, empty, repeated):
     assert fingerprints.fingerprints(empty).count() == 0 and fingerprints.fingerprints(repeated).count() == repeated.count()
 
 
+def test_ranges_in_chunks(spark):
+    ids = [*range(-40, 400, 3), None, 7, 7]
+    docs = spark.createDataFrame([(k,) for k in ids], "doc_id long")
+    one, _ = common.range_shards(docs, 5)
+    two, n = common.range_shards(docs, 5, chunk=4)
+    got = [{(r["doc_id"], r["shard"]) for r in x.collect()} for x in (one, two)]
+    assert got[0] == got[1] and {s for _, s in got[0]} == set(range(n)) and (None, 0) in got[0]
+    assert [s for _, s in sorted(x for x in got[0] if x[0] is not None)] == sorted(s for k, s in got[0] if k is not None)
+
+
+def test_op4_against_brute_force(spark, tmp_path):
+    r = np.random.default_rng(2)
+    texts = [" ".join(f"w{k}" for k in r.integers(0, 300, n)) for n in r.integers(0, 90, 60)] + ["", "é ü", "x", "日本 語", "a" * 30_000]
+    rows = [(3 * k, t) for k, t in enumerate(texts)] + [(500, None), (501, texts[5]), (502, texts[5])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x["doc_id"]: x for x in fingerprints.op4_fingerprints(spark, str(tmp_path)).collect()}
+    order = sorted(rows, key=lambda x: -x[0])
+
+    def alike(a, b):
+        a, b = a.split("-"), b.split("-")
+        either = sum(1 for x, y in zip(a, b, strict=True) if x or y) if len(a) == len(b) else 0
+        return 1.0 if a == b else sum(1 for x, y in zip(a, b, strict=True) if x and x == y) / either if either else 0.0
+
+    for (k, t), (n, follow) in zip(order, [*order[1:], order[0]], strict=True):
+        t, follow, x = t or "", follow or "", got[k]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + follow[:half]
+        assert (x["n_chars"], x["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert math.isclose(x["near_edited"], alike(x["fingerprint"], x["edited_fingerprint"])) and math.isclose(x["near_next"], alike(x["fingerprint"], got[n]["fingerprint"]))
+        if edited == t:
+            assert x["fingerprint"] == x["edited_fingerprint"]
+    assert got[501]["fingerprint"] == got[502]["fingerprint"] == got[15]["fingerprint"]
+
+
 def test_likeness(spark):
     df = spark.createDataFrame([(["a", "", "c"], ["a", "", "d"]), (["a"], ["a"]), (["a"], ["b"]), (["a", "b", ""], ["x"]), (["", ""], ["", "q"])], "a array<string>, b array<string>")
     assert [r[0] for r in df.select(fingerprints.likeness(F.col("a"), F.col("b"))).collect()] == [0.5, 1.0, 0.0, 0.0, 0.0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -68,15 +69,25 @@ def own_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
-def range_shards(docs: DataFrame, shard_docs: int, most: int = 2048) -> tuple[DataFrame, int]:
-    """``docs`` with a column ``shard``: the number of quantile cuts below doc_id (0 for null ids)."""
+def range_shards(docs: DataFrame, shard_docs: int, most: int = 1 << 16, chunk: int = 256) -> tuple[DataFrame, int]:
+    """``docs`` with a column ``shard``: the number of quantile cuts below doc_id (0 for null ids).
+
+    The cuts are numbers, ``most`` at most; a row looks through the last cuts of all chunks, then through one chunk.
+    """
     n = docs.count()
     parts = max(1, min(most, -(-n // shard_docs)))
     cuts: list = []
     if parts > 1:
-        cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 10_000)).first()[0] or []))
-    shard = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<long>"), lambda c: c < F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    return docs.withColumn("shard", F.greatest(shard, F.lit(0)).cast("int")), len(cuts) + 1
+        cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], max(10_000, 2 * parts))).first()[0] or []))
+    if not cuts:
+        return docs.withColumn("shard", F.lit(0)), 1
+    chunks = [cuts[k : k + chunk] for k in range(0, len(cuts), chunk)]
+    lasts = F.from_json(F.lit(json.dumps([c[-1] for c in chunks])), "array<bigint>")
+    below = lambda a: F.size(F.filter(a, lambda c: c < F.col("doc_id")))
+    docs = docs.withColumn("_chunk", F.greatest(below(lasts), F.lit(0)))
+    inner = F.coalesce(F.try_element_at(F.from_json(F.lit(json.dumps(chunks)), "array<array<bigint>>"), F.col("_chunk") + 1), F.array().cast("array<bigint>"))
+    shard = F.when(F.col("doc_id").isNull(), 0).otherwise(F.least(F.col("_chunk") * chunk + below(inner), F.lit(len(cuts))))
+    return docs.withColumn("shard", shard.cast("int")).drop("_chunk"), len(cuts) + 1
 
 
 def text_buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -95,21 +95,21 @@ def likeness(a: Column, b: Column) -> Column:
 def with_next(docs: DataFrame, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """(doc_id, text, next_text): the text that follows in descending order of doc_id, the first after the last.
 
-    Documents are dealt to ranges of ids; inside a range a window finds the next text, and the heads of the
-    ranges (2,048 at most) follow the last of each.
+    Documents are dealt to ranges of ids, and a window inside each range finds the next text.  The first row of a
+    range joins the range before it as a last row of its own, so texts move only in that one shuffle.
     """
     rows, _ = range_shards(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), shard_docs)
     rows = rows.withColumn("h", F.xxhash64("text"))
     order = [F.col("doc_id").desc_nulls_last(), F.col("h").desc(), F.col("text")]
-    heads = rows.groupBy("shard").agg(F.max(F.coalesce("doc_id", F.lit(-(2**63)))).alias("top"))
-    heads = rows.join(F.broadcast(heads), "shard").filter(F.coalesce("doc_id", F.lit(-(2**63))) == F.col("top"))
-    heads = heads.withColumn("rn", F.row_number().over(Window.partitionBy("shard").orderBy(*order))).filter("rn = 1").select("shard", "text")
-    heads = written(heads, "heads")
-    down = Window.orderBy(F.desc("shard"))  # the heads only
-    after = heads.select("shard", F.lead("text").over(down).alias("follow"), F.first("text").over(down).alias("first"))
-    after = after.select("shard", F.coalesce("follow", "first").alias("follow"))
-    found = rows.withColumn("inner", F.lead("text").over(Window.partitionBy("shard").orderBy(*order)))
-    return found.join(F.broadcast(after), "shard").select("doc_id", "text", F.coalesce("inner", "follow").alias("next_text"))
+    low = F.lit(-(2**63))
+    tops = written(rows.groupBy("shard").agg(F.max(F.coalesce("doc_id", low)).alias("top")), "tops")  # numbers, a row for each range
+    down = Window.orderBy(F.desc("shard"))
+    before = tops.select("shard", "top", F.coalesce(F.lag("shard").over(down), F.min("shard").over(Window.partitionBy())).alias("before"))
+    heads = rows.join(F.broadcast(before), "shard").filter(F.coalesce("doc_id", low) == F.col("top"))
+    heads = heads.withColumn("rn", F.row_number().over(Window.partitionBy("shard").orderBy(*order))).filter("rn = 1")
+    both = rows.withColumn("extra", F.lit(0)).unionByName(heads.select("doc_id", "text", F.col("before").alias("shard"), "h", F.lit(1).alias("extra")))
+    found = both.withColumn("next_text", F.lead("text").over(Window.partitionBy("shard").orderBy("extra", *order)))
+    return found.filter("extra = 0").select("doc_id", "text", "next_text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

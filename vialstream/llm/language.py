@@ -8,8 +8,8 @@ share of full slots to the power of the number of hashes.  The highest score dec
 N-grams are ``N`` bytes of the lower-cased text, all but letters (and bytes over 127) as spaces, with two
 letter bytes at least.  A language has those that make up ``LEAST`` of its training n-grams or more.
 
-Training takes ``TRAIN_DOCS`` documents of each language at most, the first by a hash of the id; null
-languages teach nothing.  Cases: a null text, or one without any letter, is ``und`` with score 0; ties go
+Training takes about ``TRAIN_DOCS`` documents of each language, drawn by a hash of the id at a rate that
+follows from their number; null languages teach nothing.  Cases: a null text, or one without any letter, is ``und`` with score 0; ties go
 to the language with more training documents, then to the smaller name; without training rows all is
 ``und``; repeated rows are rows of their own; extra columns are ignored.
 """
