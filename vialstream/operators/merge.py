@@ -90,15 +90,30 @@ def may_merge(a: dict, b: dict) -> bool:
 
 _SETS = ("cuis", "parents", "ingredients", "ndas", "ndcs")
 _PRIOR = "prior_ids"
+_LABELS = "labels"
 
 
 def _greedy(block: pd.DataFrame) -> pd.DataFrame:
-    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, _PRIOR)} for r in block.sort_values("guid").to_dict("records")]
+    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, _PRIOR, _LABELS)} for r in block.sort_values("guid").to_dict("records")]
     for r in rows:
         r["own"] = r["ndas"]  # a product's own application, whatever it takes in later
     win = {r["guid"]: r["guid"] for r in rows}
     live = rows
 
+    def by_label() -> None:
+        """Each row, in order, goes to the owner of its first owned label, if the gate lets it; that owner then has all its labels."""
+        nonlocal live
+        owner: dict[str, dict] = {}
+        for r in live:
+            own = sorted(r[_LABELS])
+            first = next((owner[g] for g in own if g in owner), r)
+            if first is not r and may_merge(first, r):
+                for s in (*_SETS, _PRIOR):
+                    first[s] = first[s] | r[s]
+                win[r["guid"]] = first["guid"]
+            owner |= dict.fromkeys(own, first)
+        live = [r for r in live if win[r["guid"]] == r["guid"]]
+
     def sweep(candidates, earlier: bool = False) -> None:
         """Each row, in order, takes in the later rows that are candidates for it and pass the gate; it grows meanwhile.
 
@@ -118,6 +133,7 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
                 win[b["guid"]] = a["guid"]
         live = [r for r in live if r["guid"] not in done]
 
+    by_label()
     sweep(lambda a, b: len(a["cuis"]) == 1 and a["cuis"] == b["cuis"])
     sweep(lambda a, b: len(a["cuis"]) > 1 and a["cuis"] == b["cuis"])
     sweep(lambda a, b: len(a["cuis"]) > 1 and len(b["cuis"]) == 1 and b["cuis"] <= a["cuis"], earlier=True)
@@ -137,7 +153,12 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
 
 def merge_products(products: DataFrame, prior: DataFrame | None = None) -> DataFrame:
     """(guid, winner) from products (guid, source_type, copack, cuis, parents, ingredients, ndas, ndcs) and
-    prior (guid, substance_id)."""
+    prior (guid, substance_id).
+
+    Products may have ``labels``, the guids of all labels they were read from; a product's own guid is among them.
+    """
+    more = F.coalesce(_LABELS, F.array()) if _LABELS in products.columns else F.array().cast("array<string>")
+    products = products.withColumn(_LABELS, F.array_union(F.array(F.col("guid").cast("string")), more))
     if prior is None:
         products = products.withColumn(_PRIOR, F.array().cast("array<bigint>"))
     else:
@@ -146,6 +167,8 @@ def merge_products(products: DataFrame, prior: DataFrame | None = None) -> DataF
     kind = lambda c: F.transform(c, lambda x: F.concat_ws("|", F.lit(c), F.col("source_type").cast("string"), F.col("copack").cast("string"), x.cast("string")))
     keyed = products.select("guid", *[kind(c).alias(c) for c in ("cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR)])
     edges = key_edges(keyed, "guid", ["cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR])
+    # an owner may be of another kind: labels meet whatever the kind
+    edges = edges.unionByName(key_edges(products.select("guid", _LABELS), "guid", [_LABELS])).distinct()
     roots = components(products.select(F.col("guid").alias("node")), edges)
     blocks = products.join(roots.withColumnRenamed("node", "guid"), "guid")
     return blocks.groupBy("root").applyInPandas(lambda b: _greedy(b), "guid string, winner string")

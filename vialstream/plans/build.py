@@ -6,27 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
-from vialstream.operators import events, ner, persist
+from vialstream.operators import events, ner, persist, star
 
 
-def section_rows(labels: DataFrame) -> DataFrame:
-    """(guid, source, section, label_date, n, sentence) of parsed labels (guid, label)."""
-    s = labels.select("guid", codes.parse_date(F.col("label.label_date")).alias("label_date"), F.explode("label.sections").alias("s"))
-    parts = s.select("guid", "label_date", "s.section", F.posexplode(text.sentences(F.lower("s.text"))).alias("n", "raw"))
-    return parts.select("guid", "label_date", "section", "n", text.split_special(F.col("raw")).alias("sentence"))
+def sections(labels: DataFrame) -> DataFrame:
+    """(guid, section, label_date, text) of parsed labels (guid, label); a section without a date has the label's."""
+    s = labels.select("guid", codes.parse_date(F.col("label.label_date")).alias("d"), F.explode("label.sections").alias("s"))
+    return s.select("guid", "s.section", F.coalesce(codes.parse_date(F.col("s.section_date")), "d").alias("label_date"), "s.text")
+
+
+def section_rows(parts: DataFrame) -> DataFrame:
+    """(guid, label_date, section, n, sentence) of sections."""
+    s = parts.select("guid", "label_date", "section", F.posexplode(text.sentences(F.lower("text"))).alias("n", "raw"))
+    return s.select("guid", "label_date", "section", "n", text.split_special(F.col("raw")).alias("sentence"))
 
 
 def label_events(labels: DataFrame, atoms: DataFrame) -> DataFrame:
-    """Event rows of labels: exact and stemmed matches of each section, with the earliest date of each atom."""
-    rows = section_rows(labels).persist()
-    exact, stemmed = ner.dictionary(atoms), ner.dictionary(atoms, stemmed=True)
-    out = None
-    for section in ("IND", "AE", "BOX"):
-        part = rows.filter(F.col("section") == section)
-        for match, entries in (("exact", exact), ("nlp", stemmed)):
-            hits = ner.recognise(part, entries, "IND" if section == "IND" else "BLACKBOX" if section == "BOX" else "AE", match == "nlp")
+    """Event rows of labels: exact and stemmed matches of each section, with the earliest date of each atom.
+
+    The stemmed pass reads what is left of a section once the terms are out that the exact pass found in it.
+    """
+    parts = sections(labels).persist()
+
+    def matches(rows: DataFrame, match: str) -> DataFrame:
+        entries, out = ner.dictionary(atoms, stemmed=match == "nlp"), None
+        for section in ("IND", "AE", "BOX"):
+            hits = ner.recognise(rows.filter(F.col("section") == section), entries, "IND" if section == "IND" else "BLACKBOX" if section == "BOX" else "AE", match == "nlp")
             got = ner.codes_of(hits, atoms, match == "exact").withColumn("match", F.lit(match))
             out = got if out is None else out.unionByName(got)
+        return out
+
+    exact = matches(section_rows(parts).persist(), "exact").persist()
+    left = star.remaining_text(parts, exact.select("guid", "section", "aui").distinct().join(atoms.select("aui", "term"), "aui"))
+    out = exact.unionByName(matches(section_rows(left).persist(), "nlp"))
     e = events.earliest(out.withColumnsRenamed({"guid": "product", "label_date": "d"}).withColumn("source", F.col("product")), ["product", "section", "match", "aui"])
     pt_key = F.coalesce(F.nullif(F.col("pt_code"), F.lit("")), F.col("code"))
     e = e.join(atoms.select("aui", "cui", "term", pt_key.alias("pt_key")), "aui")
@@ -34,18 +46,38 @@ def label_events(labels: DataFrame, atoms: DataFrame) -> DataFrame:
     return events.reconcile_across(events.reconcile_bucket(e, ["product", "section", "match"]))
 
 
-def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame) -> dict[str, DataFrame]:
-    """Substances, terms, events and indications with ids; winners (guid, winner)."""
+def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Substances, terms, events and indications with ids; winners (guid, winner).
+
+    ``more`` gives the rows of further tables by product guid: files (guid, path), changes (guid, drug_id, ...),
+    names (guid, aui, ndc, name), classes (guid, ndc, atc_id), and links (guid, aui) named rxnorm, ingredient,
+    snomed_pt and snomed_parent, with the ids of concepts (aui, id) in rxnorm_atoms and snomed_atoms.
+    """
+    more = more or {}
     terms = persist.terminology_table(atoms)
-    named = e.join(winners, e["product"] == winners["guid"]).drop("product", "guid").withColumnRenamed("winner", "product")
     substances = persist.numbered(winners.select(F.col("winner").alias("product")).distinct(), ["product"], "id")
-    keys = named.groupBy("product", "section", "match", "aui").agg(F.min("first_added").alias("label_date"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"))
-    facts = keys.join(terms.select("aui", F.col("id").alias("meddra_id")), "aui").join(substances.withColumnRenamed("id", "product_id"), "product")
+    product_of = winners.join(substances, winners["winner"] == substances["product"]).select("guid", F.col("id").alias("product"))
+    own = lambda name: more[name].join(product_of, "guid")
+    named = e.withColumnRenamed("product", "guid").join(product_of.withColumnRenamed("product", "product_id"), "guid")
+    keys = named.groupBy("product_id", "section", "match", "aui").agg(F.min("first_added").alias("label_date"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"))
+    facts = keys.join(terms.select("aui", F.col("id").alias("meddra_id")), "aui")
     shown = facts.select("product_id", "meddra_id", "label_date", (F.col("match") == "exact").alias("exact_match"), "section", "sources")
-    return {
+    out = {
         "substance": substances.select("id"), "meddra": terms, "product_ind": shown.filter("section = 'IND'").drop("section"),
         "product_ae": shown.filter("section <> 'IND'").withColumns({"warning": F.col("section") == "AE", "blackbox": F.col("section") == "BOX"}).drop("section"),
     }
+    if "files" in more:
+        out["spl_srcfile"] = files = star.source_files(own("files"))
+        out["product_ind"], out["product_ind_src"] = star.fact_tables(out["product_ind"], files, ["product_id", "meddra_id", "exact_match"])
+        out["product_ae"], out["product_ae_src"] = star.fact_tables(out["product_ae"], files, ["product_id", "meddra_id", "blackbox", "exact_match"])
+    if "changes" in more:
+        out["srlc"], out["substance_srlc"] = star.change_tables(own("changes"))
+    if "names" in more and "classes" in more:
+        out["ndc_code"], out["product_ndc"], out["substance_atc"] = star.code_tables(own("names"), own("classes"))
+    for table, name, of in (("substance_rxnorm", "rxnorm", "rxnorm"), ("substance_ingredient", "ingredient", "snomed"), ("substance_snomed_pt", "snomed_pt", "snomed"), ("substance_snomed_parent", "snomed_parent", "snomed")):
+        if name in more:
+            out[table] = star.concept_bridge(own(name), more[f"{of}_atoms"], f"{of}_id")
+    return out
 
 
 def write(out: dict[str, DataFrame], root: str) -> None:

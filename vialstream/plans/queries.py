@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
 from vialstream.functions.stem import stem_words
-from vialstream.operators import events, merge, ner, persist, products, terminology, training
-from vialstream.sources import html, tabular
+from vialstream.operators import events, merge, ner, persist, products, star, terminology, training
+from vialstream.sources import html, spl, tabular
 
 SPARK: dict = {}
 SQL: dict[str, str] = {}
@@ -599,4 +599,174 @@ def distinct_code_lists(spark, d):
 
 @query("SELECT o_orderpriority AS section, o_orderstatus AS pass, count(*) AS n FROM orders GROUP BY ALL")
 def pass_counts(spark, d):
-    return events.counts_by_pass(t(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
\ No newline at end of file
+    return events.counts_by_pass(t(spark, d, "orders"), "o_orderpriority", "o_orderstatus")
+
+
+# ---- product tables ---------------------------------------------------------------------
+
+_BOILED = "coalesce(text, '')"
+for _b in text.BOILERPLATE:
+    _BOILED = f"replace({_BOILED}, '{_b}', ' ')"
+_BOX = "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Entire Box Warning: (Additions and/or revisions underlined) 6.2 ' ELSE '' END || coalesce(text, '') || CASE WHEN doc_id % 2 = 0 THEN ' … deleted' ELSE '' END AS text FROM documents"
+
+
+def _boxes(spark, d):
+    head = F.when(F.col("doc_id") % 3 == 0, "Entire Box Warning: (Additions and/or revisions underlined) 6.2 ").otherwise("")
+    return t(spark, d, "documents").select("doc_id", F.concat(head, F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 2 == 0, " … deleted").otherwise("")).alias("text"))
+
+
+@query(f"SELECT doc_id, md5(trim(regexp_replace(regexp_replace({_BOILED}, '[…:,]', ' ', 'g'), '\\s+', ' ', 'g'), ' ')) AS digest FROM ({_BOX})")
+def change_text(spark, d):
+    return _boxes(spark, d).select("doc_id", _digest(text.clean_change_text(F.col("text"))).alias("digest"))
+
+
+@query(f"SELECT doc_id FROM ({_BOX}) WHERE NOT (contains(lower(left(text, {text.BOX_HEAD})), 'entire box warning') AND contains(lower(left(text, {text.BOX_HEAD})), 'deleted'))")
+def deleted_boxes(spark, d):
+    return _boxes(spark, d).filter(~text.deleted_box(F.col("text"))).select("doc_id")
+
+
+@query("""WITH f AS (SELECT p_partkey AS guid, p_name || ' with ' || p_type || ' and x' || p_name || ', ' || p_name AS text FROM part),
+o AS (SELECT DISTINCT p_partkey AS guid, unnest(string_split(p_name, ' ')) AS term FROM part WHERE p_partkey % 4 <> 0),
+pat AS (SELECT guid, '\\b(?:' || string_agg(term, '|' ORDER BY length(term) DESC, term) || ')\\b' AS p FROM o GROUP BY guid)
+SELECT guid, CASE WHEN p IS NULL THEN trim(text, ' ') ELSE trim(regexp_replace(text, p, '', 'g'), ' ') END AS left_over FROM f LEFT JOIN pat USING (guid)""")
+def exact_terms_removed(spark, d):
+    p = t(spark, d, "part")
+    said = F.concat("p_name", F.lit(" with "), "p_type", F.lit(" and x"), "p_name", F.lit(", "), "p_name")
+    sections = p.select(F.col("p_partkey").alias("guid"), F.lit("AE").alias("section"), said.alias("text"))
+    found = p.filter("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("guid"), F.lit("AE").alias("section"), F.explode(F.split("p_name", " ")).alias("term"))
+    return star.remaining_text(sections, found).select("guid", F.col("text").alias("left_over"))
+
+
+_SRLC = "SELECT o_orderkey AS product, (o_custkey % 97)::INT - 2 AS drug_id, o_custkey::INT AS application_number, o_orderpriority AS drug_name, o_orderdate::DATE AS supplement_date FROM orders"
+
+
+def _changes(spark, d):
+    k = F.col("o_custkey")
+    return t(spark, d, "orders").select(
+        F.col("o_orderkey").alias("product"), ((k % 97).cast("int") - 2).alias("drug_id"), k.cast("int").alias("application_number"), F.col("o_orderpriority").alias("drug_name"),
+        F.col("o_orderstatus").alias("active_ingredient"), F.to_date("o_orderdate").alias("supplement_date"), F.lit(None).cast("date").alias("database_updated"), F.lit(None).cast("string").alias("url"),
+    )
+
+
+@query(f"SELECT drug_id, arg_min(application_number, product) AS application_number, arg_min(drug_name, product) AS drug_name, strftime(arg_min(supplement_date, product), '%Y-%m-%d') AS supplement_date FROM ({_SRLC}) WHERE drug_id > 0 GROUP BY drug_id")
+def srlc_table(spark, d):
+    return star.change_tables(_changes(spark, d))[0].select("drug_id", "application_number", "drug_name", F.date_format("supplement_date", "yyyy-MM-dd").alias("supplement_date"))
+
+
+@query(f"SELECT DISTINCT product, drug_id FROM ({_SRLC}) WHERE drug_id > 0")
+def srlc_bridge(spark, d):
+    return star.change_tables(_changes(spark, d))[1]
+
+
+_KINDS = ("Prescription", "otc", "other", "misc")
+_PATH = "'/' || (2000 + o_orderkey % 9) || '/xml_files/' || CASE o_orderkey % 4 WHEN 0 THEN 'Prescription' WHEN 1 THEN 'otc' WHEN 2 THEN 'other' ELSE 'misc' END || '/' || o_orderkey || '.xml'"
+_FILES = f"SELECT *, 99 + row_number() OVER (ORDER BY product, guid, xml_name) AS src_id FROM (SELECT o_custkey % 50 AS product, 'g' || o_custkey AS guid, {_PATH} AS xml_name, o_orderkey % 4 AS k FROM orders)"
+
+
+def _kind():
+    return F.element_at(F.array(*map(F.lit, _KINDS)), (F.col("o_orderkey") % 4 + 1).cast("int"))
+
+
+def _source_files(spark, d):
+    path = F.concat(F.lit("/labels/"), (2000 + F.col("o_orderkey") % 9).cast("string"), F.lit("/xml_files/"), _kind(), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
+    return star.source_files(t(spark, d, "orders").select((F.col("o_custkey") % 50).alias("product"), F.concat(F.lit("g"), F.col("o_custkey").cast("string")).alias("guid"), path.alias("path")), "/labels")
+
+
+@query(f"SELECT src_id, product, guid, xml_name, CASE k WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 2 END AS source_type_id, src_id = min(src_id) OVER (PARTITION BY guid) AS canonical FROM ({_FILES})")
+def source_files(spark, d):
+    return _source_files(spark, d)
+
+
+def _facts(spark, d):
+    f = t(spark, d, "lineitem").groupBy((F.col("l_partkey") % 40).alias("product_id"), F.col("l_suppkey").alias("meddra_id"))
+    f = f.agg(F.collect_set(F.concat(F.lit("g"), (F.col("l_orderkey") % 300).cast("string"))).alias("g"), F.to_date(F.min("l_shipdate")).alias("label_date"))
+    f = f.withColumn("sources", F.array_append("g", F.concat(F.lit("NDA0"), F.col("meddra_id").cast("string")))).drop("g")
+    return star.fact_tables(f, _source_files(spark, d), ["product_id", "meddra_id"])
+
+
+@query("SELECT 99 + row_number() OVER (ORDER BY product_id, meddra_id) AS fact_id, product_id, meddra_id, strftime(label_date, '%Y-%m-%d') AS label_date FROM (SELECT l_partkey % 40 AS product_id, l_suppkey AS meddra_id, min(l_shipdate)::DATE AS label_date FROM lineitem GROUP BY ALL)")
+def fact_table(spark, d):
+    return _facts(spark, d)[0].select("fact_id", "product_id", "meddra_id", F.date_format("label_date", "yyyy-MM-dd").alias("label_date"))
+
+
+@query(f"""WITH f AS (SELECT *, 99 + row_number() OVER (ORDER BY product_id, meddra_id) AS fact_id FROM (SELECT DISTINCT l_partkey % 40 AS product_id, l_suppkey AS meddra_id FROM lineitem)),
+g AS (SELECT DISTINCT l_partkey % 40 AS product_id, l_suppkey AS meddra_id, 'g' || (l_orderkey % 300) AS guid FROM lineitem), s AS (SELECT guid, min(src_id) AS src_id FROM ({_FILES}) GROUP BY guid)
+SELECT DISTINCT fact_id, src_id FROM g JOIN f USING (product_id, meddra_id) JOIN s USING (guid)""")
+def fact_sources(spark, d):
+    return _facts(spark, d)[1]
+
+
+_CODES = """n AS (SELECT l_suppkey AS product, 'A' || l_partkey % 60 AS aui, CASE WHEN l_partkey % 3 = 0 THEN '' ELSE (l_partkey % 70)::VARCHAR END AS ndc, 'N' || l_partkey % 7 AS name FROM lineitem),
+c AS (SELECT DISTINCT l_suppkey AS product, (l_partkey % 90)::VARCHAR AS ndc, l_partkey % 11 AS atc_id FROM lineitem WHERE l_partkey % 11 > 0),
+k AS (SELECT *, CASE WHEN ndc <> '' THEN 'c|' || ndc ELSE 'n|' || lower(aui || '|' || name) END AS key FROM n),
+r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY product, ndc, name, aui) AS i FROM k) WHERE i = 1),
+o AS (SELECT key, ndc, name, CASE WHEN ndc <> '' THEN ndc ELSE aui END AS of_ FROM r UNION ALL SELECT DISTINCT 'c|' || ndc, ndc, '', ndc FROM c WHERE 'c|' || ndc NOT IN (SELECT key FROM r)),
+codes AS (SELECT key, 99 + row_number() OVER (ORDER BY key) AS ndc_id, ndc, name, sha256(lower(of_ || '|' || name)) AS hash FROM o)"""
+
+
+def _codes(spark, d):
+    p, x = F.col("l_partkey"), t(spark, d, "lineitem")
+    aui, name = F.concat(F.lit("A"), (p % 60).cast("string")), F.concat(F.lit("N"), (p % 7).cast("string"))
+    names = x.select(F.col("l_suppkey").alias("product"), aui.alias("aui"), F.when(p % 3 == 0, "").otherwise((p % 70).cast("string")).alias("ndc"), name.alias("name"))
+    return star.code_tables(names, x.filter(p % 11 > 0).select(F.col("l_suppkey").alias("product"), (p % 90).cast("string").alias("ndc"), (p % 11).alias("atc_id")))
+
+
+@query(f"WITH {_CODES} SELECT ndc_id, ndc, name, hash FROM codes")
+def code_table(spark, d):
+    return _codes(spark, d)[0]
+
+
+@query(f"WITH {_CODES} SELECT DISTINCT product, ndc_id FROM k JOIN codes USING (key)")
+def code_bridge(spark, d):
+    return _codes(spark, d)[1]
+
+
+@query(f"WITH {_CODES} SELECT DISTINCT product, ndc_id, atc_id FROM c JOIN codes ON codes.key = 'c|' || c.ndc")
+def class_bridge(spark, d):
+    return _codes(spark, d)[2]
+
+
+@query("SELECT DISTINCT l_suppkey AS product, p_size AS rxnorm_id FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 5")
+def concept_bridge(spark, d):
+    links = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("product"), F.col("l_partkey").alias("aui"))
+    return star.concept_bridge(links, t(spark, d, "part").select(F.col("p_partkey").alias("aui"), F.when(F.col("p_size") > 5, F.col("p_size")).otherwise(0).alias("id")), "rxnorm_id")
+
+
+@query("SELECT p_partkey || '|A' || p_partkey || '||' || p_size || '||' || p_name || '|PT' AS term_line, p_partkey || ';A' || p_partkey || ';;' || p_size || ';' || p_name || ';PT' AS code_line, '|||||||A' || p_partkey || '||||MDR|PT|' || p_size || '|' || p_name || '|' AS concept_line FROM part")
+def atom_lines(spark, d):
+    none, key = F.lit(None).cast("string"), F.col("p_partkey")
+    a = t(spark, d, "part").select(key.alias("id"), F.concat(F.lit("A"), key.cast("string")).alias("aui"), none.alias("cui"), F.col("p_size").cast("string").alias("code"), none.alias("pt_code"), F.col("p_name").alias("term"), F.lit("PT").alias("tty"))
+    return a.select(star.atom_line(star.TERM_LINE).alias("term_line"), star.atom_line(star.CODE_LINE, ";").alias("code_line"), star.short_concept_line().alias("concept_line"))
+
+
+@query("SELECT 'INSERT INTO NATION (n_nationkey, n_name) VALUES (' || n_nationkey || ', ' || chr(39) || n_name || chr(39) || ');' AS value FROM nation UNION ALL VALUES ('SET autocommit = OFF;'), ('COMMIT;')")
+def sql_lines(spark, d):
+    return star.sql_file(t(spark, d, "nation").select("n_nationkey", "n_name"), "NATION")
+
+
+@query("SELECT o_orderkey, o_orderpriority IN ('1-URGENT', '3-MEDIUM') AS included, o_orderpriority NOT IN ('1-URGENT', '3-MEDIUM') AS excluded FROM orders")
+def code_filter(spark, d):
+    c, some = F.col("o_orderpriority"), ("1-URGENT", "3-MEDIUM")
+    return t(spark, d, "orders").select("o_orderkey", spl.allowed_codes(c, "include", some).alias("included"), spl.allowed_codes(c, "exclude", some).alias("excluded"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN 'outside root' WHEN o_orderkey % 4 = 3 THEN 'outside subtree' WHEN o_totalprice * 100 > 15728640 THEN 'too large' END AS barred FROM orders")
+def file_guards(spark, d):
+    root = F.when(F.col("o_custkey") % 10 == 0, "file:///labels/../else").otherwise("file:///labels/./")
+    path = F.concat(root, F.lit("/2016/xml_files/"), _kind(), F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".xml"))
+    files = t(spark, d, "orders").select("o_orderkey", path.alias("path"), F.when(_kind() == "misc", "otc").otherwise(F.lower(_kind())).alias("source_type"), (F.col("o_totalprice") * 100).alias("length"))
+    return spl.guarded_files(files, "/labels").select("o_orderkey", "barred")
+
+
+@query("SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND lower(a.p_name) = lower(b.p_name) WHERE a.p_partkey < b.p_partkey")
+def same_atoms(spark, d):
+    p = t(spark, d, "part")
+    a = p.select(F.col("p_partkey").alias("a"), F.col("p_brand").alias("cui"), F.col("p_type").alias("tty"), F.upper("p_name").alias("term"))
+    b = p.select(F.col("p_partkey").alias("b"), F.col("p_brand").alias("cui"), F.col("p_type").alias("tty"), F.concat(F.lit(" "), "p_name").alias("of_term"))
+    same = star.same_atom(*map(F.col, ("cui", "tty", "term", "cui", "tty", "of_term")))
+    return a.join(b, ["cui", "tty"]).filter(same & (F.col("a") < F.col("b"))).select("a", "b")
+
+
+@query("SELECT p_partkey FROM part WHERE p_size > 10")
+def saved_products(spark, d):
+    return star.kept(t(spark, d, "part").withColumn("save", F.col("p_size") > 10)).select("p_partkey")

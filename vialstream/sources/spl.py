@@ -7,15 +7,20 @@ import re
 import xml.etree.ElementTree as ET
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vialstream.functions import codes
+from vialstream.functions import text as text_
+
 # Section codes, code systems and roots of the public label format.
-SECTIONS = {"IND": ("34067-9", "INDICATIONS"), "AE": ("34084-4", "ADVERSE"), "BOX": ("34066-1", "BOXED")}
+SECTIONS = {"IND": ("34067-9", "Indications"), "AE": ("34084-4", "Adverse_Reactions"), "BOX": ("34066-1", "Box")}
 NDC_SYSTEM = "2.16.840.1.113883.6.69"
 APPROVAL_ROOT = "2.16.840.1.113883.3.150"
 FIRST_YEAR = 1910
+OTHER_CODES = ("53404-0", "60683-0", "60684-8", "60682-2", "53405-7")
+MOST_BYTES = 15 << 20
 _NDC = re.compile(r"(?<![0-9A-Za-z_])[0-9]{4,5}-[0-9]{3,4}-[0-9]{1,2}(?![0-9A-Za-z_])")
 
 
@@ -78,7 +83,7 @@ def layout(text: ET.Element) -> str:
 def section_text(doc: ET.Element | None, code: str, name: str) -> tuple[str, int]:
     """Text of the sections with a code, and the pass that found it: 1 with the name as ID, 2 by code alone, 0 none."""
     found = [] if doc is None else [s for s in doc.iter("section") if any(c.get("code") == code for c in s.iter("code"))]
-    for k, some in ((1, [s for s in found if name in (s.get("ID") or "").upper()]), (2, found)):
+    for k, some in ((1, [s for s in found if (s.get("ID") or "").lower() == name.lower()]), (2, found)):
         if text := "\n".join(t for s in some for x in s.findall("text") if (t := layout(x))):
             return text, k
     return "", 0
@@ -99,6 +104,15 @@ def effective_dates(doc: ET.Element | None) -> list[str]:
     return [] if doc is None else [d for e in doc.iter("effectiveTime") if (d := sane_date(e.get("value")))]
 
 
+def section_date(doc: ET.Element | None, code: str) -> str | None:
+    """The first date of the first section whose own (first) code is ``code`` and which has one; None where it isn't sane."""
+    for s in [] if doc is None else doc.iter("section"):
+        own, at = next(s.iter("code"), None), next(s.iter("effectiveTime"), None)
+        if own is not None and own.get("code") == code and at is not None and at.get("value"):
+            return sane_date(at.get("value"))
+    return None
+
+
 def approval_date(doc: ET.Element | None) -> str | None:
     """The title's year of first approval, else the earliest sane date."""
     title = None if doc is None else doc.find("title")
@@ -125,7 +139,7 @@ def ndc_codes(doc: ET.Element | None, raw: str = "") -> list[str]:
 LABEL = T.StructType([
     T.StructField("ok", T.BooleanType()), T.StructField("document_code", T.StringType()), T.StructField("label_date", T.StringType()), T.StructField("approval_date", T.StringType()),
     T.StructField("application_number", T.IntegerType()), T.StructField("ndcs", T.ArrayType(T.StringType())),
-    T.StructField("sections", T.ArrayType(T.StructType([T.StructField("section", T.StringType()), T.StructField("found_by", T.IntegerType()), T.StructField("text", T.StringType())]))),
+    T.StructField("sections", T.ArrayType(T.StructType([T.StructField("section", T.StringType()), T.StructField("found_by", T.IntegerType()), T.StructField("section_date", T.StringType()), T.StructField("text", T.StringType())]))),
 ])
 
 
@@ -136,7 +150,7 @@ def _label(xml: bytes) -> dict:
     for s, (code, name) in SECTIONS.items():
         text, by = section_text(doc, code, name)
         if text:
-            sections.append({"section": s, "found_by": by, "text": text})
+            sections.append({"section": s, "found_by": by, "section_date": section_date(doc, code) or (dates[0] if dates else None), "text": text})
     return {
         "ok": doc is not None, "document_code": document_code(doc), "label_date": dates[0] if dates else None, "approval_date": approval_date(doc),
         "application_number": application_number(doc), "ndcs": ndc_codes(doc, (xml or b"").decode("utf-8", "replace") if doc is not None else ""), "sections": sections,
@@ -153,8 +167,34 @@ def labels(rows: DataFrame, xml: str = "xml") -> DataFrame:
     return rows.withColumn("label", parts(xml)).drop(xml)
 
 
-def allowed_code(mode: str, codes: tuple, code: str | None) -> bool:
-    """The filter of other labels' document codes: include, exclude or off; a blank code never passes."""
-    if not code or not code.strip():
-        return False
-    return mode == "off" or (code.strip() in codes) == (mode == "include")
+def allowed_codes(code: Column, mode: str, codes: tuple = OTHER_CODES) -> Column:
+    """The filter of other labels' document codes: include, exclude or off; a null or blank code never passes."""
+    if mode not in ("include", "exclude", "off"):
+        raise ValueError(mode)
+    code = F.coalesce(code, F.lit(""))
+    some = F.trim(code) != ""
+    return some if mode == "off" else some & code.isin(*codes) if mode == "include" else some & ~code.isin(*codes)
+
+
+def guarded_files(files: DataFrame, root: str, most: int = MOST_BYTES) -> DataFrame:
+    """Files (path, source_type, length) with the reason that bars each from parsing, null where none does.
+
+    ``outside root``: not below ``root`` once ``.`` and ``..`` are resolved; ``outside subtree``: no folder xml_files with
+    the source type's folder in it (any case) on the way; ``too large``: more bytes than ``most``, or none known.
+    """
+    parts = F.filter(F.split(F.regexp_replace("path", r"^file:/+", "/"), "/"), lambda p: (p != "") & (p != "."))
+    flat = F.aggregate(parts, F.array().cast("array<string>"), lambda done, p: F.when(p == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, p)))
+    base = [p for p in re.sub(r"^file:/+", "/", root).split("/") if p]
+    n = len(base)
+    below = (F.slice("_flat", 1, n) == F.array(*map(F.lit, base))) if n else F.lit(True)
+    rest = F.slice("_flat", n + 1, F.greatest(F.size("_flat") - n, F.lit(0)))
+    pairs = F.zip_with(F.slice(rest, 1, F.greatest(F.size(rest) - 2, F.lit(0))), F.slice(rest, 2, F.greatest(F.size(rest) - 2, F.lit(0))), lambda a, b: (a == "xml_files") & (F.lower(b) == F.lower("source_type")))
+    inside = F.coalesce(F.exists(pairs, lambda x: x), F.lit(False))
+    reason = F.when(~F.coalesce(below, F.lit(False)), "outside root").when(~inside, "outside subtree").when(F.coalesce(F.col("length") > most, F.lit(True)), "too large")
+    return files.withColumn("_flat", flat).withColumn("barred", reason).drop("_flat")
+
+
+def section_texts(labels: DataFrame) -> DataFrame:
+    """(guid, section, label_date, spl_text): the text table of parsed labels (guid, label); sections without text have no row."""
+    s = labels.select("guid", F.explode("label.sections").alias("s"))
+    return s.filter("s.text <> ''").select("guid", "s.section", codes.parse_date(F.col("s.section_date")).alias("label_date"), text_.sanitize_literal(F.col("s.text")).alias("spl_text"))

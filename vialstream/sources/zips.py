@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from vialstream.sources import spl
 
-MOST_BYTES = 15 << 20
 
 ENTRY = T.ArrayType(T.StructType([T.StructField("xml_name", T.StringType()), T.StructField("xml", T.BinaryType()), T.StructField("label_class", T.StringType()), T.StructField("product_name", T.StringType())]))
 
@@ -41,7 +40,7 @@ def _entries(content: bytes) -> list[dict]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             for info in z.infolist():
-                if info.filename.lower().endswith(".xml") and safe_entry(info.filename) and info.file_size <= MOST_BYTES:
+                if info.filename.lower().endswith(".xml") and safe_entry(info.filename) and info.file_size <= spl.MOST_BYTES:
                     xml = z.read(info)
                     doc = spl.parse(xml)
                     out.append({"xml_name": info.filename, "xml": xml, "label_class": spl.label_class(doc), "product_name": spl.product_name(doc)})
