@@ -29,7 +29,8 @@ HEAD = 1 << 18
 WARM_DOCS = 1000
 WARM_UPDATES = 400
 WARM_RATE, RATE = 0.06, 0.02
-SLICE = 4 << 20
+#: Distinct tokens that a counting task holds at most before it merges, and after that before it sends them on.
+MOST_HELD, MOST_MERGED = 1_000_000, 750_000
 TOGETHER = 4_000_000
 PARTS = 64
 END = np.uint64(0x5EED5EED5EED5EED)
@@ -108,15 +109,15 @@ def _count(batches):
     def batch(m):
         return pa.RecordBatch.from_arrays([pa.array(m[0].view(np.int64)), pa.array(m[1].astype(np.int32)), pa.array(m[2])], ["t", "k", "n"])
 
-    for _, data, offs in slices(batches, limit=SLICE):
+    for _, data, offs in slices(batches):
         h, k, _ = tokens(data, offs)
         u, first, n = np.unique(h, return_index=True, return_counts=True)
         held.append((u, k[first], n))
         size += len(u)
-        if size > 2_000_000:
+        if size > MOST_HELD:
             held = [merged()]
             size = len(held[0][0])
-            if size > 1_500_000:
+            if size > MOST_MERGED:
                 yield batch(held[0])
                 held, size = [], 0
     if held:
