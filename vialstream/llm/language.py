@@ -43,11 +43,11 @@ def slots(v: np.ndarray, n_slots: int = SLOTS) -> tuple[np.ndarray, ...]:
 
 
 def _joined(data, offs):
-    """Each slice's texts, lower-cased, joined by N spaces, with each one's range of n-grams."""
+    """Each slice's texts, lower-cased, each after N spaces, with each one's range of n-grams: none holds two texts' bytes."""
     texts = [data[a:b].tobytes().decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]
     low = [t.lower().encode() for t in texts]
     at = np.concatenate([[0], np.cumsum([len(x) + N for x in low])])
-    b = _KEEP[np.frombuffer((b" " * N).join([*low, b""]), np.uint8)]
+    b = _KEEP[np.frombuffer((b" " * N).join([b"", *low, b""]), np.uint8)]
     return texts, at, b
 
 
