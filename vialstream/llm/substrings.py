@@ -367,7 +367,7 @@ def repeated_windows(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks, parts = max(least, size // TASK_BYTES), max(4 * least, size // RANGE_BYTES)
+    tasks, parts = max(least, size // TASK_BYTES), max(least, size // RANGE_BYTES)
     dealt = lambda df: df.repartition(tasks, "part").sortWithinPartitions("kind", "part")
     found = written(dealt(rows.select("id", "th", "text").filter(F.length("text") >= 2 * WINDOW - 1).mapInArrow(_scan(parts), ROW)).mapInArrow(_meet(parts), ROW), "found")
     open_ = written(dealt(found.filter(F.col("kind") == OPEN)).mapInArrow(_collect, RUNS), "open")
