@@ -38,10 +38,10 @@ WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Bytes of text of a slice (a longer text is a slice of its own), and words hashed at once.
-SLICE = 8 << 20
+SLICE = 4 << 20
 SEGMENT_WORDS = 1 << 20
 #: Bytes of text behind one range of hashes, and behind one task.
-RANGE_BYTES, TASK_BYTES = 8 << 20, 32 << 20
+RANGE_BYTES, TASK_BYTES = 2 << 20, 32 << 20
 #: Rows of runs, and their bytes, that are broadcast to texts at most; beyond it texts are shuffled.
 BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16 << 20
 NO_ID = -(1 << 63)
