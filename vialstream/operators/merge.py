@@ -10,24 +10,24 @@ from __future__ import annotations
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def shared_folder(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` as a table in the session's checkpoint folder, read back: the lineage ends there.
+def shared_root(spark: SparkSession) -> str:
+    """The session's checkpoint folder.  On one machine without such a setting it lies beside the warehouse; a cluster must name one."""
+    if d := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return d.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
 
-    On one machine without such a setting the folder lies beside the warehouse; a cluster must name one.
-    """
-    spark = df.sparkSession
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
-        d = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
-    path = f"{d.rstrip('/')}/vialstream-{tag}-{uuid.uuid4().hex}"
+
+def shared_folder(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a table in the session's checkpoint folder, read back: the lineage ends there."""
+    path = f"{shared_root(df.sparkSession)}/vialstream-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def key_edges(rows: DataFrame, node: str, keys: list[str]) -> DataFrame:

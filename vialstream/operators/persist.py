@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
+from vialstream.sources import commit
 
 FIRST_ID = 100
 
@@ -40,6 +41,62 @@ def product_ids(products: DataFrame, prior: DataFrame, first: int = FIRST_ID) ->
     return least.filter("prior_id IS NOT NULL").select("product", "min_guid", F.col("prior_id").cast("long").alias("id")).unionByName(new.select("product", "min_guid", "id"))
 
 
+def durable_ids(rows: DataFrame, order: list[str], name: str, root: str, first: int = FIRST_ID, tries: int = 5) -> DataFrame:
+    """``rows`` with ids that later builds keep: keys (the ``order`` columns) known below ``root`` have theirs, new ones
+    get the next numbers in a stable order and are added in one transaction.
+
+    No number is ever given twice or taken back; keys that a build lacks keep theirs for a later one.  Rows without new
+    keys add nothing.  A build that meets another's commit reads its numbers and tries again.
+    """
+    spark = rows.sparkSession
+    keys = rows.select(*order).distinct()
+    for _ in range(tries):
+        known = commit.read(spark, root, "ids", every=True) if commit.versions(root) else spark.createDataFrame([], keys.schema.add(name, "long"))
+        new = _by_keys(keys, known, order, "left_anti")
+        top = known.agg(F.max(name)).first()[0]
+        added = numbered(new, order, name, first if top is None else max(first, top + 1)).select(*order, name)
+        if added.isEmpty():
+            return _by_keys(rows, known, order, "inner")
+        try:
+            with commit.Transaction(spark, root) as t:
+                t.write("ids", added)
+        except commit.Conflict:
+            continue
+        return _by_keys(rows, commit.read(spark, root, "ids", every=True), order, "inner")
+    raise commit.Conflict(f"{root}: others committed {tries} times")
+
+
+def _by_keys(rows: DataFrame, ids: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join on keys that may be null."""
+    ids = ids.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on &= rows[k].eqNullSafe(ids[f"_{k}"])
+    return rows.join(ids, on, how).drop(*[f"_{k}" for k in keys])
+
+
+def durable_product_ids(products: DataFrame, prior: DataFrame, root: str, first: int = FIRST_ID) -> DataFrame:
+    """``product_ids`` that later builds keep: each label's number is remembered below ``root``.
+
+    Where labels part, their number goes with the least guid of those that had it; a product has the least number that
+    came to it so, else the next new one.
+    """
+    from vialstream.operators.merge import shared_folder
+
+    spark = products.sparkSession
+    kinds = dict(products.dtypes)
+    known = commit.read(spark, root, "labels", every=True) if commit.versions(root) else spark.createDataFrame([], f"guid {kinds['guid']}, substance_id long")
+    had = products.join(prior.select("guid", F.col("substance_id").cast("long").alias("substance_id")).unionByName(known), "guid")
+    heirs = had.groupBy("substance_id").agg(F.min(F.struct("guid", "product")).alias("least")).select("substance_id", "least.product", "least.guid")
+    top = known.agg(F.max("substance_id")).first()[0]
+    ids = shared_folder(product_ids(products, heirs.select("guid", "substance_id"), max(first, (top or 0) + 1)), "products")
+    added = products.join(ids, "product").join(known.select("guid"), "guid", "left_anti").groupBy("guid").agg(F.min("id").alias("substance_id"))
+    if not added.isEmpty():
+        with commit.Transaction(spark, root) as t:
+            t.write("labels", added)
+    return ids
+
+
 def ndc_table(rows: DataFrame) -> DataFrame:
     """(ndc, name, hash): one row for each code, with its least name; rows without a code are kept by (aui, name)."""
     some = rows.filter("ndc <> ''").groupBy("ndc").agg(F.min("name").alias("name"))

@@ -3,6 +3,8 @@ and their text forms."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,19 +33,23 @@ def source_type(path: Column) -> Column:
     return out
 
 
-def source_files(files: DataFrame, root: str = "") -> DataFrame:
+#: Gives rows ids: (rows, order, name of the ids).
+Number = Callable[[DataFrame, list, str], DataFrame]
+
+
+def source_files(files: DataFrame, root: str = "", number: Number = persist.numbered) -> DataFrame:
     """(src_id, product, guid, xml_name, source_type_id, canonical) of files (product, guid, path).
 
     Ids go by product, guid and name below ``root``; a guid's least id is canonical; blank paths have no row.
     """
     name = F.replace(F.col("path"), F.lit(root), F.lit("")) if root else F.col("path")
     rows = files.filter("trim(path) <> '' AND guid IS NOT NULL").select("product", "guid", name.alias("xml_name"))
-    ids = persist.numbered(rows, ["product", "guid", "xml_name"], "src_id")
+    ids = number(rows, ["product", "guid", "xml_name"], "src_id")
     first = persist.first_sources(ids).withColumnRenamed("src_id", "_first")
     return ids.join(first, "guid").select("src_id", "product", "guid", "xml_name", source_type(F.col("xml_name")).alias("source_type_id"), (F.col("src_id") == F.col("_first")).alias("canonical"))
 
 
-def code_tables(names: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def code_tables(names: DataFrame, classes: DataFrame, number: Number = persist.numbered) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The code table (ndc_id, ndc, name, hash), product links (product, ndc_id), and class links (product, ndc_id, atc_id).
 
     names (product, aui, ndc, name), classes (product, ndc, atc_id). A code is one row, with the least name of its least
@@ -55,7 +61,7 @@ def code_tables(names: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFr
     c = classes.filter("atc_id IS NOT NULL AND trim(ndc) <> ''").select("product", v("ndc").alias("ndc"), "atc_id").withColumn("key", F.concat(F.lit("c|"), "ndc"))
     named = n.groupBy("key").agg(F.min(F.struct("product", "ndc", "name", "aui")).alias("r")).select("key", "r.ndc", "r.name", F.when(F.col("r.ndc") != "", F.col("r.ndc")).otherwise(F.col("r.aui")).alias("by"))
     bare = c.select("key", "ndc", F.lit("").alias("name"), F.col("ndc").alias("by")).distinct().join(named.select("key"), "key", "left_anti")
-    table = persist.numbered(named.unionByName(bare).withColumn("hash", codes.name_hash(F.col("by"), F.col("name"))).drop("by"), ["key"], "ndc_id")
+    table = number(named.unionByName(bare).withColumn("hash", codes.name_hash(F.col("by"), F.col("name"))).drop("by"), ["key"], "ndc_id")
     ids = table.select("key", "ndc_id")
     return table.select("ndc_id", "ndc", "name", "hash"), n.join(ids, "key").select("product", "ndc_id").distinct(), c.join(ids, "key").select("product", "ndc_id", "atc_id").distinct()
 
@@ -65,12 +71,12 @@ def concept_bridge(links: DataFrame, atoms: DataFrame, name: str) -> DataFrame:
     return links.join(atoms.filter("id > 0").select("aui", F.col("id").alias(name)), "aui").select("product", name).distinct()
 
 
-def fact_tables(facts: DataFrame, files: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+def fact_tables(facts: DataFrame, files: DataFrame, order: list[str], number: Number = persist.numbered) -> tuple[DataFrame, DataFrame]:
     """Facts with ids (without their sources) and links (fact_id, src_id) from facts (..., sources) and source_files rows.
 
     Ids go by ``order``, which must tell facts apart; a source that is no file's guid (a safety change) gives no link.
     """
-    ids = persist.numbered(facts, order, "fact_id")
+    ids = number(facts, order, "fact_id")
     canonical = files.filter("canonical").select("guid", "src_id")
     return ids.drop("sources"), persist.fact_sources(ids, canonical)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
 from vialstream.operators import events, ner, persist, star
+from vialstream.sources import commit
 
 
 def sections(labels: DataFrame) -> DataFrame:
@@ -46,16 +47,23 @@ def label_events(labels: DataFrame, atoms: DataFrame) -> DataFrame:
     return events.reconcile_across(events.reconcile_bucket(e, ["product", "section", "match"]))
 
 
-def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, DataFrame] | None = None, ids: str | None = None) -> dict[str, DataFrame]:
     """Substances, terms, events and indications with ids; winners (guid, winner).
 
     ``more`` gives the rows of further tables by product guid: files (guid, path), changes (guid, drug_id, ...),
     names (guid, aui, ndc, name), classes (guid, ndc, atc_id), and links (guid, aui) named rxnorm, ingredient,
     snomed_pt and snomed_parent, with the ids of concepts (aui, id) in rxnorm_atoms and snomed_atoms.
+    ``ids`` is a folder in which ids are kept from build to build; without one each build numbers anew.
     """
     more = more or {}
-    terms = persist.terminology_table(atoms)
-    substances = persist.numbered(winners.select(F.col("winner").alias("product")).distinct(), ["product"], "id")
+
+    def number(table: str) -> star.Number:
+        return (lambda rows, order, name: persist.durable_ids(rows, order, name, f"{ids}/{table}")) if ids else persist.numbered
+
+    terms = number("meddra")(atoms, ["code", "term", "aui"], "id")
+    products = winners.select(F.col("winner").alias("product"), "guid")
+    none = products.sparkSession.createDataFrame([], "guid {}, substance_id long".format(dict(products.dtypes)["guid"]))
+    substances = persist.durable_product_ids(products, none, f"{ids}/substance") if ids else persist.numbered(products.select("product").distinct(), ["product"], "id")
     product_of = winners.join(substances, winners["winner"] == substances["product"]).select("guid", F.col("id").alias("product"))
     own = lambda name: more[name].join(product_of, "guid")
     named = e.withColumnRenamed("product", "guid").join(product_of.withColumnRenamed("product", "product_id"), "guid")
@@ -67,19 +75,32 @@ def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, D
         "product_ae": shown.filter("section <> 'IND'").withColumns({"warning": F.col("section") == "AE", "blackbox": F.col("section") == "BOX"}).drop("section"),
     }
     if "files" in more:
-        out["spl_srcfile"] = files = star.source_files(own("files"))
-        out["product_ind"], out["product_ind_src"] = star.fact_tables(out["product_ind"], files, ["product_id", "meddra_id", "exact_match"])
-        out["product_ae"], out["product_ae_src"] = star.fact_tables(out["product_ae"], files, ["product_id", "meddra_id", "blackbox", "exact_match"])
+        out["spl_srcfile"] = files = star.source_files(own("files"), number=number("spl_srcfile"))
+        out["product_ind"], out["product_ind_src"] = star.fact_tables(out["product_ind"], files, ["product_id", "meddra_id", "exact_match"], number("product_ind"))
+        out["product_ae"], out["product_ae_src"] = star.fact_tables(out["product_ae"], files, ["product_id", "meddra_id", "blackbox", "exact_match"], number("product_ae"))
     if "changes" in more:
         out["srlc"], out["substance_srlc"] = star.change_tables(own("changes"))
     if "names" in more and "classes" in more:
-        out["ndc_code"], out["product_ndc"], out["substance_atc"] = star.code_tables(own("names"), own("classes"))
+        out["ndc_code"], out["product_ndc"], out["substance_atc"] = star.code_tables(own("names"), own("classes"), number("ndc_code"))
     for table, name, of in (("substance_rxnorm", "rxnorm", "rxnorm"), ("substance_ingredient", "ingredient", "snomed"), ("substance_snomed_pt", "snomed_pt", "snomed"), ("substance_snomed_parent", "snomed_parent", "snomed")):
         if name in more:
             out[table] = star.concept_bridge(own(name), more[f"{of}_atoms"], f"{of}_id")
     return out
 
 
-def write(out: dict[str, DataFrame], root: str) -> None:
-    for name, df in out.items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
+def write(out: dict[str, DataFrame], root: str) -> str:
+    """All tables as the next version below ``root``, at once or not at all; returns its folder."""
+    spark = next(iter(out.values())).sparkSession
+    with commit.Transaction(spark, root) as t:
+        for name, df in out.items():
+            t.write(name, df)
+    return commit.versions(root)[-1]
+
+
+def write_sql(out: dict[str, DataFrame], root: str) -> str:
+    """The tables as text files of INSERT statements, ordered by all columns, as ``write``."""
+    spark = next(iter(out.values())).sparkSession
+    with commit.Transaction(spark, root) as t:
+        for name, df in out.items():
+            t.write(name, star.sql_file(df.orderBy(*df.columns), name.upper()), "text")
+    return commit.versions(root)[-1]

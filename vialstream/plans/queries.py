@@ -6,13 +6,16 @@ label events, documents for label text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
 from vialstream.functions.stem import stem_words
 from vialstream.operators import events, merge, ner, persist, products, star, terminology, training
-from vialstream.sources import html, spl, tabular
+from vialstream.plans import build
+from vialstream.sources import commit, html, spl, tabular
 
 SPARK: dict = {}
 SQL: dict[str, str] = {}
@@ -550,6 +553,35 @@ def product_ids(spark, d):
     return persist.product_ids(c.select(F.col("c_nationkey").alias("product"), F.col("c_custkey").alias("guid")), prior).select("product", "id")
 
 
+def _root(spark, tag: str) -> str:
+    """A new folder beside the session's other shared tables."""
+    return f"{merge.shared_root(spark)}/vialstream-{tag}-{uuid.uuid4().hex}"
+
+
+@query("""WITH a AS (SELECT p_partkey, 99 + row_number() OVER (ORDER BY p_brand, p_name, p_partkey) AS id FROM part WHERE p_partkey % 3 <> 0)
+SELECT * FROM a UNION ALL SELECT p_partkey, (SELECT max(id) FROM a) + row_number() OVER (ORDER BY p_brand, p_name, p_partkey) FROM part WHERE p_partkey % 3 = 0""")
+def durable_ids(spark, d):
+    """Two builds, the second with more rows: the first one's ids stay."""
+    p, root, order = t(spark, d, "part").select("p_partkey", "p_brand", "p_name"), _root(spark, "ids"), ["p_brand", "p_name", "p_partkey"]
+    persist.durable_ids(p.filter("p_partkey % 3 <> 0"), order, "id", root)
+    return persist.durable_ids(p, order, "id", root).select("p_partkey", "id")
+
+
+@query("""WITH a AS (SELECT c_nationkey AS product, min(c_custkey) AS guid, 99 + row_number() OVER (ORDER BY min(c_custkey)) AS id FROM customer WHERE c_custkey % 4 = 1 GROUP BY 1),
+k AS (SELECT c_custkey AS guid, id FROM customer JOIN a ON c_nationkey = product WHERE c_custkey % 4 = 1),
+s AS (SELECT c_custkey % 7 AS product, c_custkey AS guid, id FROM customer LEFT JOIN k ON guid = c_custkey WHERE c_custkey % 7 < 5 OR c_custkey % 4 <> 1),
+h AS (SELECT product, min(id) AS prior FROM (SELECT id, arg_min(product, guid) AS product FROM s WHERE id IS NOT NULL GROUP BY id) GROUP BY product),
+m AS (SELECT product, min(guid) AS least, any_value(prior) AS prior FROM s LEFT JOIN h USING (product) GROUP BY product)
+SELECT product, coalesce(prior, (SELECT max(id) FROM a) + row_number() OVER (PARTITION BY prior IS NULL ORDER BY least)) AS id FROM m""")
+def durable_products(spark, d):
+    """Labels that merge otherwise in a second build: numbers go with the least guid of those that had them."""
+    c, root = t(spark, d, "customer"), _root(spark, "products")
+    none = spark.createDataFrame([], "guid long, substance_id long")
+    both = lambda rows, by: rows.select(by.cast("long").alias("product"), F.col("c_custkey").alias("guid"))
+    persist.durable_product_ids(both(c.filter("c_custkey % 4 = 1"), F.col("c_nationkey")), none, root)
+    return persist.durable_product_ids(both(c.filter("c_custkey % 7 < 5 OR c_custkey % 4 <> 1"), F.col("c_custkey") % 7), none, root).select("product", "id")
+
+
 @query("SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)")
 def foreign_keys(spark, d):
     return persist.orphans(t(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", t(spark, d, "customer").filter("c_custkey % 3 <> 0"), "c_custkey").select("o_orderkey")
@@ -770,3 +802,24 @@ def same_atoms(spark, d):
 @query("SELECT p_partkey FROM part WHERE p_size > 10")
 def saved_products(spark, d):
     return star.kept(t(spark, d, "part").withColumn("save", F.col("p_size") > 10)).select("p_partkey")
+
+
+@query(f"""SELECT 'nation' AS file, value FROM ({SQL["sql_lines"]}) UNION ALL SELECT 'events', line FROM ({SQL["export_ae"]}) UNION ALL SELECT 'labels', line FROM ({SQL["export_guid"]})""")
+def committed_files(spark, d):
+    """Three exports in one transaction, read back from the version that it made."""
+    root = _root(spark, "exports")
+    with commit.Transaction(spark, root) as tx:
+        tx.write("nation", SPARK["sql_lines"](spark, d), "text")
+        tx.write("events", SPARK["export_ae"](spark, d), "text")
+        tx.write("labels", SPARK["export_guid"](spark, d), "text")
+    parts = [commit.read(spark, root, name).select(F.lit(name).alias("file"), "value") for name in ("nation", "events", "labels")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, o_totalprice FROM orders")
+def committed_tables(spark, d):
+    """A build's tables as one version: the second replaces the first."""
+    root, o = _root(spark, "tables"), t(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    build.write({"orders": o.filter("o_orderkey % 2 = 0"), "none": o.filter("false")}, root)
+    build.write({"orders": o, "none": o.filter("false")}, root)
+    return commit.read(spark, root, "orders").withColumn("day", F.date_format("day", "yyyy-MM-dd")).unionByName(commit.read(spark, root, "none").withColumn("day", F.lit("")))
