@@ -115,3 +115,47 @@ def test_dictionary_unites_equal_keys(spark):
 def test_generic(spark):
     df = spark.createDataFrame([(["cancer", "breast cancer", "rash"],)], "k array<string>")
     assert sorted(df.select(ner.drop_generic(F.col("k"))).first()[0]) == ["breast cancer", "rash"]
+
+
+def test_every_exclusion_pattern_has_a_sign():
+    """Sentences made from the patterns themselves: each that a pattern finds holds one of the signs."""
+    import random
+    import re
+    from itertools import product
+
+    r = random.Random(2)
+    parts = {"AE": (*ner.NOT_AN_EVENT, *ner.STUDY, *ner.PRIOR), "IND": ner.NOT_A_USE}
+    for kind, patterns in parts.items():
+        for p in patterns:
+            # every choice of alternatives, optional groups in and out
+            plain = p.replace(r"\b", "").replace(r"\s+", " ").replace(r"\s*", " ").replace(r"\-", "-").replace("[^ ]+ ", "word ").replace("[- ]", "-").replace("patients?", "patients")
+            choices = []
+            for x in re.split(r"(\((?:[^()]|\([^()]*\))*\)\??)", plain):
+                if x.startswith("("):
+                    body = re.sub(r"\?$", "", x)[1:-1]
+                    flat = [body] if "(" in body and "|" not in re.sub(r"\([^()]*\)", "", body) else re.split(r"\|(?![^(]*\))", body)
+                    flat = [y for f in flat for y in ([re.sub(r"\(([^()]*)\)\??", lambda m: m[1].split("|")[k % len(m[1].split("|"))], f) for k in range(3)] + ([re.sub(r"\([^()]*\)\?", "", f)] if ")?" in f else []))]
+                    choices.append([*flat, ""] if x.endswith("?") else flat)
+                else:
+                    choices.append([x])
+            made = ["".join(c) for c in product(*choices)]
+            r.shuffle(made)
+            hits = [s for s in made if re.search(p, s)]
+            assert hits, p
+            for s in hits:
+                assert any(x in s for x in ner.SIGNS_OF_EXCLUSION[kind]), (p, s)
+    for c in ner.NEGATION:
+        assert any(x in c for x in ner.SIGNS_OF_EXCLUSION["cue"]), c
+
+
+def test_trie_and_join_agree(spark, terms, monkeypatch):
+    rows = spark.createDataFrame([(k, s) for k, (_, s, _) in enumerate(CASES)] + [(900, "hives ast elevated hives bone tumour tumour"), (901, "alkaline phosphatase raised and blood bilirubin increased bilirubin high")], "id int, sentence string")
+    for section in ("AE", "IND"):
+        for stemmed in (False, True):
+            entries = ner.dictionary(terms, stemmed)
+            by_trie = sorted(map(str, ner.recognise(rows, entries, section, stemmed).collect()))
+            labs = sorted(map(str, ner.match(rows, entries, section, stemmed, True).collect()))
+            with monkeypatch.context() as m:
+                m.setattr(ner, "MOST_BROADCAST", 0)
+                assert by_trie and by_trie == sorted(map(str, ner.recognise(rows, entries, section, stemmed).collect()))
+                assert labs == sorted(map(str, ner.match(rows, entries, section, stemmed, True).collect()))

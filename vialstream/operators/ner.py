@@ -1,17 +1,22 @@
 """Dictionary recognition of terms in sentences, with context, negation and specificity rules.
 
-Sentences, tokens and rules are Column expressions.  Each word meets the dictionary's keys that start with it in an
-equi-join (broadcast only under a counted size); the rest of a key is compared on the joined pairs, so no n-gram is
-ever built.  The local-context rules, which look around each occurrence, run on hits of sentences with some cue.
+Sentences, tokens and rules are Column expressions.  A dictionary under a counted size is a trie over words that Arrow
+batches walk; beyond it each word meets the keys that start with it in an equi-join, and the rest of a key is compared on
+the joined pairs.  No n-gram is ever built.  Exclusion and local-context rules run on sentences that have hits.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialstream.functions import text
 from vialstream.functions.stem import stem_words
+from vialstream.operators import trie
 from vialstream.operators.terminology import TERM_TYPE_RANK, TERM_TYPES
 
 #: Keys, and bytes of keys and atoms, of a dictionary that is broadcast at most.
@@ -73,6 +78,18 @@ LOCAL_STUDY = r"\b(exclusion criteria|were excluded if|patients? (were )?exclude
 COMPOSITES = (("aids related kaposi's sarcoma", "aids"), ("kaposi's sarcoma", "sarcoma"))
 
 
+#: Every exclusion pattern and cue holds one of these, so a sentence without any needs no pattern.
+SIGNS_OF_EXCLUSION = {
+    "cue": ("not", "evidence", "signs", "free", "absence", "rule", "secondary", "underlying", "existing", "exclu", "history", "baseline", "known"),
+    "AE": ("not", "may be", "suspected", "disease", "other", "evidence", "difference", "report", "exclu", "ineligib", "history", "known", "existing", "baseline", "screening", "in patient"),
+    "IND": ("associated", "observed", "reported", "impaired", "demonstrated", "shown", "occur", "cause", "incidence", "limitations", "studied", "see ", "sex", "intercourse", "coitus"),
+}
+
+
+def has_any(sentence: Column, signs: tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [sentence.contains(x) for x in signs])
+
+
 def any_of(patterns: tuple) -> str:
     """One pattern, whatever the case, that finds what any of the patterns finds."""
     return "(?i)" + "|".join(f"(?:{p})" for p in patterns)
@@ -80,7 +97,7 @@ def any_of(patterns: tuple) -> str:
 
 def cues() -> str:
     """One pattern that finds any cue of ``NEGATION``."""
-    return "|".join(c.replace("-", "[-]") for c in NEGATION)
+    return "|".join(NEGATION)
 
 
 def dictionary(terms: DataFrame, stemmed: bool = False) -> DataFrame:
@@ -98,7 +115,10 @@ def dictionary(terms: DataFrame, stemmed: bool = False) -> DataFrame:
 
 def excluded(sentence: Column, section: str) -> Column:
     """Whether a lower-cased sentence states no event (AE, BLACKBOX) or use (IND)."""
-    hit = sentence.rlike(cues()) | sentence.rlike(any_of(NOT_A_USE if section == "IND" else (*NOT_AN_EVENT, *STUDY, *PRIOR)))
+    kind = "IND" if section == "IND" else "AE"
+    patterns = any_of(NOT_A_USE if kind == "IND" else (*NOT_AN_EVENT, *STUDY, *PRIOR))
+    signs = tuple(dict.fromkeys((*SIGNS_OF_EXCLUSION["cue"], *SIGNS_OF_EXCLUSION[kind])))
+    hit = has_any(sentence, signs) & (sentence.rlike(cues()) | sentence.rlike(patterns))
     if section == "IND":
         stated = sentence.contains("indicated for") | sentence.contains("treatment of") | sentence.contains("prevention of")
         return hit | (~stated & sentence.contains("in patients with"))
@@ -111,35 +131,72 @@ def sentence_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(id_col, F.posexplode(parts).alias("n", "sentence")).filter("sentence <> ''")
 
 
-def _by_first_word(entries: DataFrame, section: str) -> DataFrame:
-    """The entries that a section may use, with the word that each key starts with; broadcast under a counted size."""
-    allowed = [t for t in TERM_TYPES if section == "IND" or t not in ("HG", "HT")]
-    d = entries.filter(F.col("tty").isin(*allowed)).select("key", "tty", "auis", F.element_at(F.split("key", " "), 1).alias("_first"))
-    size = d.agg(F.count("*"), F.sum(F.length("key") + 16 * F.size("auis") + 64)).first()
-    return F.broadcast(d) if size[0] <= MOST_BROADCAST and (size[1] or 0) <= MOST_BYTES else d
+def _words(sentence: Column, stemmed: bool) -> Column:
+    w = text.words(text.remove_stopwords(sentence)) if stemmed else text.join_possessives(text.words(sentence))
+    return stem_words(w) if stemmed else w
+
+
+def _in_memory(entries: DataFrame, section: str) -> pa.Table | None:
+    """The entries that a section may use, on the driver, if they are under a counted size."""
+    d = entries.filter(F.col("tty").isin(*_types(section))).select("key", "tty", "auis")
+    n, size = d.agg(F.count("*"), F.coalesce(F.sum(F.length("key") + 16 * F.size("auis") + 64), F.lit(0))).first()
+    return d.toArrow() if n <= MOST_BROADCAST and size <= MOST_BYTES else None
+
 
+def _types(section: str) -> list[str]:
+    return [t for t in TERM_TYPES if section == "IND" or t not in ("HG", "HT")]
 
-def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, labs: bool = False) -> DataFrame:
+
+def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Hits by one walk over the words of a batch; ``kept`` sees the rows that have hits, before these part."""
+    spark = rows.sparkSession
+    keys = known.column("key").combine_chunks().dictionary_encode()
+    numbers = keys.dictionary.to_pylist()
+    found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), _words(F.col("sentence"), stemmed))
+    entries = spark.createDataFrame(pa.table({"_no": keys.indices, "key": known.column("key"), "tty": known.column("tty"), "auis": known.column("auis")}))
+    cols = rows.columns
+    one = lambda n, lab: F.struct(n.cast("int").alias("_no"), F.lit(lab).alias("lab"))
+    rows = rows.withColumn("_hits", found)
+    all_hits = F.transform("_hits", lambda n: one(n, False))
+    if labs:
+        canonical = {k: n for n, k in enumerate(numbers) if k in {key for *_, key in LAB_TRIGGERS}}
+        number = lambda k: reduce(lambda out, x: F.when(k == x[0], F.lit(x[1])).otherwise(out), canonical.items(), F.lit(-1))
+        all_hits = F.concat(all_hits, F.filter(F.transform(lab_keys(F.col("sentence")), lambda k: one(number(k), True)), lambda x: x["_no"] >= 0))
+    rows = kept(rows.withColumn("_hits", all_hits).filter(F.size("_hits") > 0))
+    more = [c for c in rows.columns if c not in cols and c != "_hits"]
+    return rows.select(*cols, *more, F.explode("_hits").alias("_x")).select(*cols, *more, "_x._no", "_x.lab").join(F.broadcast(entries), "_no").drop("_no")
+
+
+def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, labs: bool = False, kept: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """rows (any ids, sentence) with each dictionary key found, once a sentence: key, tty, auis, lab.
 
-    Every word looks for the keys that start with it; a key that follows there, for the first time in the sentence,
-    is a hit.  With ``labs`` the canonical keys of raised laboratory values are looked up as well (lab: true).
+    A dictionary under a counted size is a trie in memory; beyond it every word looks for the keys that start with it in
+    a join.  With ``labs`` the canonical keys of raised laboratory values are looked up as well (lab: true).  ``kept``
+    may filter the rows, or add columns to them, on which a trie has found keys.
     """
-    w = text.words(text.remove_stopwords(F.col("sentence"))) if stemmed else text.join_possessives(text.words(F.col("sentence")))
-    rows = rows.withColumn("_w", stem_words(w) if stemmed else w)
+    known = _in_memory(entries, section)
+    if known is not None:
+        hits = _by_trie(rows, known, stemmed, labs, kept)
+    else:
+        hits = _by_join(kept(rows), entries, section, stemmed, labs)
+    return hits if labs else hits.drop("lab")
+
+
+def _by_join(rows: DataFrame, entries: DataFrame, section: str, stemmed: bool, labs: bool) -> DataFrame:
+    """Every word meets the keys that start with it; a key that follows there, for the first time in the sentence, is a hit."""
+    cols = rows.columns
+    rows = rows.withColumn("_w", _words(F.col("sentence"), stemmed))
     rows = rows.withColumn("_line", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")))
-    found_labs = lab_keys(F.col("sentence")) if labs else F.array().cast("array<string>")
-    rows = rows.withColumn("_labs", found_labs)
+    rows = rows.withColumn("_labs", lab_keys(F.col("sentence")) if labs else F.array().cast("array<string>"))
     # labs stand behind the words
-    words = F.concat("_w", F.transform("_labs", lambda k: F.element_at(F.split(k, " "), 1))) if labs else F.col("_w")
+    words = F.concat("_w", F.transform("_labs", lambda k: F.element_at(F.split(k, " "), 1)))
     rows = rows.select("*", F.posexplode(words).alias("_at", "_first"))
     before = F.length(F.array_join(F.slice("_w", F.lit(1), F.col("_at")), " "))
     here = F.when(F.col("_at") == 0, 1).otherwise(before + 2)
     lab = F.col("_at") >= F.size("_w")
     found = F.when(lab, F.try_element_at("_labs", F.col("_at") - F.size("_w") + 1) == F.col("key")).otherwise(F.instr(F.col("_line"), F.concat(F.lit(" "), F.col("key"), F.lit(" "))) == here)
-    hits = rows.join(_by_first_word(entries, section), "_first").filter(found)
-    hits = hits.withColumn("lab", lab).drop("_w", "_line", "_first", "_at", "_labs")
-    return hits if labs else hits.drop("lab")
+    d = entries.filter(F.col("tty").isin(*_types(section))).select("key", "tty", "auis", F.element_at(F.split("key", " "), 1).alias("_first"))
+    return rows.join(d, "_first").filter(found).withColumn("lab", lab).select(*cols, "lab", "key", "tty", "auis")
 
 
 def _around(s: Column, at: Column, n: Column, width: int) -> Column:
@@ -168,7 +225,8 @@ def occurrences(sentence: Column, key: Column) -> Column:
 
 def may_suppress(sentence: Column) -> Column:
     """Whether any cue of the local rules stands anywhere in a sentence; without one, every hit is allowed."""
-    return sentence.rlike(r"[®™]|\(r\)|\(tm\)|aids|hiv|immunodeficiency|" + cues()) | sentence.rlike(any_of((PRODUCT, INSTRUCTION, LOCAL_STUDY)))
+    cue = has_any(sentence, SIGNS_OF_EXCLUSION["cue"]) & sentence.rlike(cues())
+    return has_any(sentence, ("®", "™", "(r)", "(tm)", "aids", "hiv", "immunodeficiency")) | cue | sentence.rlike(any_of((PRODUCT, INSTRUCTION))) | (sentence.contains("exclu") & sentence.rlike(any_of((LOCAL_STUDY,))))
 
 
 def allowed_locally(sentence: Column, key: Column) -> Column:
@@ -242,8 +300,8 @@ def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed:
     ids = [c for c in rows.columns if c != "sentence"]
     # out of a generator a sentence is a column; out of a projection each filter below would compute it anew
     rows = rows.select(*ids, F.explode(F.array(text.normalize_punct(F.trim(F.lower("sentence"))))).alias("sentence")).filter(F.trim("sentence") != "")
-    rows = rows.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence")))
-    hits = match(rows, entries, section, stemmed, section != "IND") if section != "IND" else match(rows, entries, section, stemmed).withColumn("lab", F.lit(False))
+    hits = match(rows, entries, section, stemmed, section != "IND", lambda r: r.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence"))))
+    hits = hits if section != "IND" else hits.withColumn("lab", F.lit(False))
     # the sentence's own flag keeps the costly test from sentences without any cue
     hits = hits.filter(F.when(~F.col("_cue") | F.col("lab"), F.lit(True)).otherwise(allowed_locally(F.col("sentence"), F.col("key"))))
     hits = hits.withColumn("_rank", _type_rank(section)).filter("_rank < 99").select(*ids, "key", "_rank", "tty", "auis", "lab")

@@ -36,6 +36,11 @@ def t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return tabular.spread(df.select("doc_id", "text", "lang")) if name == "documents" else df
 
 
+def _root(spark, tag: str) -> str:
+    """A new folder beside the session's other shared tables."""
+    return f"{merge.shared_root(spark)}/vialstream-{tag}-{uuid.uuid4().hex}"
+
+
 def _digest(c):
     return F.md5(c.cast("binary"))
 
@@ -90,6 +95,23 @@ def stopword_remove(spark, d):
     return t(spark, d, "documents").select("doc_id", _digest(text.remove_stopwords(F.col("text"), phrases=())).alias("digest"))
 
 
+_WRAPPED = "array_to_string(list_transform(list_filter(regexp_split_to_array({0}, '\\s+'), lambda x: x <> ''), lambda w: ' ' || w || ' '), '')"
+_PHRASE = "(SELECT string_agg(DISTINCT ' ' || array_to_string(w[1:{0}], '  ') || ' ', '|') FROM ph WHERE len(w) >= {0})"
+
+
+@query(f"""WITH ph AS (SELECT list_filter(regexp_split_to_array({CLEAN.format('text')}, '\\s+'), lambda x: x <> '') AS w FROM benchmark),
+three AS (SELECT doc_id, regexp_replace({_WRAPPED.format(CLEAN.format('text'))}, {_PHRASE.format(3)}, '#', 'g') AS s FROM documents),
+two AS (SELECT doc_id, regexp_replace(s, {_PHRASE.format(2)}, '#', 'g') AS s FROM three)
+SELECT doc_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(s, ' [a-z] ', '#', 'g'), '#', '', 'g'), ' +', ' ', 'g'), ' ')) AS digest FROM two""")
+def phrase_remove(spark, d):
+    """The first two and three words of each benchmark item, from a file of phrases, and single letters go."""
+    w = text.words(text.clean_term(F.col("text")))
+    first = lambda n: F.when(F.size(w) >= n, F.array_join(F.slice(w, 1, n), " "))
+    path = _root(spark, "phrases")
+    t(spark, d, "benchmark").select(F.explode(F.array(first(2), first(3))).alias("p")).filter("p <> ''").distinct().write.text(path)
+    return t(spark, d, "documents").select("doc_id", _digest(text.without_phrases(spark, F.col("text"), text.read_phrases(spark, path))).alias("digest"))
+
+
 @query()
 def porter_stem(spark, d):
     w = t(spark, d, "documents").select(F.explode(text.words(text.clean_term(F.col("text")))).alias("word")).distinct()
@@ -553,11 +575,6 @@ def product_ids(spark, d):
     return persist.product_ids(c.select(F.col("c_nationkey").alias("product"), F.col("c_custkey").alias("guid")), prior).select("product", "id")
 
 
-def _root(spark, tag: str) -> str:
-    """A new folder beside the session's other shared tables."""
-    return f"{merge.shared_root(spark)}/vialstream-{tag}-{uuid.uuid4().hex}"
-
-
 @query("""WITH a AS (SELECT p_partkey, 99 + row_number() OVER (ORDER BY p_brand, p_name, p_partkey) AS id FROM part WHERE p_partkey % 3 <> 0)
 SELECT * FROM a UNION ALL SELECT p_partkey, (SELECT max(id) FROM a) + row_number() OVER (ORDER BY p_brand, p_name, p_partkey) FROM part WHERE p_partkey % 3 = 0""")
 def durable_ids(spark, d):
