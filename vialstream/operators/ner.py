@@ -11,12 +11,12 @@ from collections.abc import Callable
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialstream.functions import text
 from vialstream.functions.stem import stem_words
-from vialstream.operators import trie
+from vialstream.operators import tagging, trie
 from vialstream.operators.terminology import TERM_TYPE_RANK, TERM_TYPES
 
 #: Keys, and bytes of keys and atoms, of a dictionary that is broadcast at most.
@@ -131,9 +131,15 @@ def sentence_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(id_col, F.posexplode(parts).alias("n", "sentence")).filter("sentence <> ''")
 
 
-def _words(sentence: Column, stemmed: bool) -> Column:
-    w = text.words(text.remove_stopwords(sentence)) if stemmed else text.join_possessives(text.words(sentence))
-    return stem_words(w) if stemmed else w
+#: A tagger and a dictionary of lemmas; with them words of the stemmed pass become lemmas before stems.
+Lemmatiser = tuple[tagging.Tagger, tagging.Lemmas]
+
+
+def _words(spark: SparkSession, sentence: Column, stemmed: bool, lemmas: Lemmatiser | None = None) -> Column:
+    if not stemmed:
+        return text.join_possessives(text.words(sentence))
+    w = text.words(text.remove_stopwords(sentence))
+    return stem_words(tagging.lemmatised(spark, *lemmas, w) if lemmas else w)
 
 
 def _in_memory(entries: DataFrame, section: str) -> pa.Table | None:
@@ -147,12 +153,12 @@ def _types(section: str) -> list[str]:
     return [t for t in TERM_TYPES if section == "IND" or t not in ("HG", "HT")]
 
 
-def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept: Callable[[DataFrame], DataFrame], lemmas: Lemmatiser | None) -> DataFrame:
     """Hits by one walk over the words of a batch; ``kept`` sees the rows that have hits, before these part."""
     spark = rows.sparkSession
     keys = known.column("key").combine_chunks().dictionary_encode()
     numbers = keys.dictionary.to_pylist()
-    found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), _words(F.col("sentence"), stemmed))
+    found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), _words(spark, F.col("sentence"), stemmed, lemmas))
     entries = spark.createDataFrame(pa.table({"_no": keys.indices, "key": known.column("key"), "tty": known.column("tty"), "auis": known.column("auis")}))
     cols = rows.columns
     one = lambda n, lab: F.struct(n.cast("int").alias("_no"), F.lit(lab).alias("lab"))
@@ -167,7 +173,7 @@ def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept:
     return rows.select(*cols, *more, F.explode("_hits").alias("_x")).select(*cols, *more, "_x._no", "_x.lab").join(F.broadcast(entries), "_no").drop("_no")
 
 
-def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, labs: bool = False, kept: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, labs: bool = False, kept: Callable[[DataFrame], DataFrame] = lambda rows: rows, lemmas: Lemmatiser | None = None) -> DataFrame:
     """rows (any ids, sentence) with each dictionary key found, once a sentence: key, tty, auis, lab.
 
     A dictionary under a counted size is a trie in memory; beyond it every word looks for the keys that start with it in
@@ -176,16 +182,16 @@ def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: boo
     """
     known = _in_memory(entries, section)
     if known is not None:
-        hits = _by_trie(rows, known, stemmed, labs, kept)
+        hits = _by_trie(rows, known, stemmed, labs, kept, lemmas)
     else:
-        hits = _by_join(kept(rows), entries, section, stemmed, labs)
+        hits = _by_join(kept(rows), entries, section, stemmed, labs, lemmas)
     return hits if labs else hits.drop("lab")
 
 
-def _by_join(rows: DataFrame, entries: DataFrame, section: str, stemmed: bool, labs: bool) -> DataFrame:
+def _by_join(rows: DataFrame, entries: DataFrame, section: str, stemmed: bool, labs: bool, lemmas: Lemmatiser | None) -> DataFrame:
     """Every word meets the keys that start with it; a key that follows there, for the first time in the sentence, is a hit."""
     cols = rows.columns
-    rows = rows.withColumn("_w", _words(F.col("sentence"), stemmed))
+    rows = rows.withColumn("_w", _words(rows.sparkSession, F.col("sentence"), stemmed, lemmas))
     rows = rows.withColumn("_line", F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" ")))
     rows = rows.withColumn("_labs", lab_keys(F.col("sentence")) if labs else F.array().cast("array<string>"))
     # labs stand behind the words
@@ -292,15 +298,16 @@ def _type_rank(section: str) -> Column:
     return rank
 
 
-def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, antonyms: DataFrame | None = None) -> DataFrame:
+def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, antonyms: DataFrame | None = None, lemmas: Lemmatiser | None = None) -> DataFrame:
     """(ids, key, tty, auis) of sentences: all rules in order; the first term type that has a key gives its atoms.
 
+    With ``lemmas`` the stemmed pass takes each word's lemma under its tag first.
     One pass: hits carry their type and atoms, and one group for each sentence applies the rules between keys.
     """
     ids = [c for c in rows.columns if c != "sentence"]
     # out of a generator a sentence is a column; out of a projection each filter below would compute it anew
     rows = rows.select(*ids, F.explode(F.array(text.normalize_punct(F.trim(F.lower("sentence"))))).alias("sentence")).filter(F.trim("sentence") != "")
-    hits = match(rows, entries, section, stemmed, section != "IND", lambda r: r.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence"))))
+    hits = match(rows, entries, section, stemmed, section != "IND", lambda r: r.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence"))), lemmas)
     hits = hits if section != "IND" else hits.withColumn("lab", F.lit(False))
     # the sentence's own flag keeps the costly test from sentences without any cue
     hits = hits.filter(F.when(~F.col("_cue") | F.col("lab"), F.lit(True)).otherwise(allowed_locally(F.col("sentence"), F.col("key"))))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
 from vialstream.functions.stem import stem_words
-from vialstream.operators import events, merge, ner, persist, products, star, terminology, training
+from vialstream.operators import events, merge, ner, persist, products, star, tagging, terminology, training
 from vialstream.plans import build
 from vialstream.sources import commit, html, spl, tabular
 
@@ -629,6 +629,23 @@ def topk_dedup_sentences(spark, d):
     return training.top_sentences(s, "lang", 200).select("lang", _digest(F.col("sentence")).alias("digest"), "id")
 
 
+_WORDS = f"(SELECT doc_id, lang, unnest(w) AS word, unnest(range(len(w))) AS n FROM (SELECT doc_id, lang, list_filter(regexp_split_to_array({CLEAN.format('text')}, '\\s+'), lambda x: x <> '') AS w FROM documents))"
+
+
+@query(f"""WITH x AS (SELECT word, lang AS tag, count(*) AS n FROM {_WORDS} WHERE lang IS NOT NULL GROUP BY ALL), e AS (SELECT *, sum(n) OVER (PARTITION BY word) AS a FROM x),
+p AS (SELECT lag(lang) OVER (PARTITION BY doc_id ORDER BY n) AS before, lang AS tag FROM {_WORDS} WHERE lang IS NOT NULL)
+SELECT 'word' AS kind, word AS given, tag, n FROM x
+UNION ALL SELECT 'ending', right(word, k), tag, sum(n)::BIGINT FROM e, range(0, 5) r(k) WHERE a <= {tagging.RARE} AND k <= length(word) GROUP BY ALL
+UNION ALL SELECT 'pair', before, tag, count(*) FROM p GROUP BY ALL""")
+def tagger_counts(spark, d):
+    """What the tagger learns from all words, each tagged with its document's language."""
+    w = text.words(text.clean_term(F.col("text")))
+    tagged = t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("tag"), F.posexplode(w).alias("n", "word"))
+    words = tagging.word_tags(tagged)
+    row = lambda df, kind, given: df.select(F.lit(kind).alias("kind"), F.col(given).alias("given"), "tag", "n")
+    return row(words, "word", "word").unionByName(row(tagging.ending_tags(words), "ending", "ending")).unionByName(row(tagging.tag_pairs(tagged), "pair", "before"))
+
+
 @query("""SELECT DISTINCT unnest(list_filter(regexp_split_to_array(trim(lower(regexp_replace(text, '[^a-zA-Z0-9\\s-]', ' ', 'g')), ' '), '\\s+'), lambda x: x <> '')) AS token, lang AS tag FROM documents""")
 def lemma_triples_distinct(spark, d):
     w = t(spark, d, "documents").select(F.explode(text.words(text.clean_term(F.col("text")))).alias("token"), F.col("lang").alias("tag"))
