@@ -6,8 +6,11 @@ label events, documents for label text.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from vialstream.functions import codes, text
 from vialstream.functions.stem import stem_words
 from vialstream.operators import events, merge, ner, persist, products, star, tagging, terminology, training
 from vialstream.plans import build
-from vialstream.sources import commit, html, spl, tabular
+from vialstream.sources import commit, html, manifest, spl, tabular, zips
 
 SPARK: dict = {}
 SQL: dict[str, str] = {}
@@ -857,3 +860,39 @@ def committed_tables(spark, d):
     build.write({"orders": o.filter("o_orderkey % 2 = 0"), "none": o.filter("false")}, root)
     build.write({"orders": o, "none": o.filter("false")}, root)
     return commit.read(spark, root, "orders").withColumn("day", F.date_format("day", "yyyy-MM-dd")).unionByName(commit.read(spark, root, "none").withColumn("day", F.lit("")))
+
+
+_ENTRIES = "SELECT doc_id, doc_id % 11 = 5 AS broken, unnest(['a.xml', '../b.xml', 'c.txt', 'd/e.XML'])  AS name FROM documents"
+
+
+@query(f"""WITH e AS (SELECT doc_id, CASE WHEN NOT broken THEN name END AS xml_name, CASE WHEN broken THEN 'broken archive' WHEN name LIKE '..%' THEN 'unsafe name' WHEN name LIKE '%.txt' THEN 'not xml' WHEN name = 'a.xml' AND strlen(text) > 3000 THEN 'too large' END AS reason FROM ({_ENTRIES}) JOIN documents USING (doc_id))
+SELECT DISTINCT doc_id, xml_name, reason FROM e""")
+def archive_entries(spark, d):
+    """An archive of four files for each document, every eleventh one broken: kept and rejected entries."""
+
+    @F.pandas_udf("binary")
+    def zipped(text: pd.Series, broken: pd.Series) -> pd.Series:
+        def one(t, bad):
+            b = io.BytesIO()
+            with zipfile.ZipFile(b, "w", zipfile.ZIP_DEFLATED) as z:
+                for name, data in (("a.xml", t.encode()), ("../b.xml", b"<a/>"), ("c.txt", b"x"), ("d/", b""), ("d/e.XML", b"<a/>")):
+                    z.writestr(name, data)
+            return b.getvalue()[: 10 if bad else None]
+
+        return text.combine(broken, one)
+
+    files = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("zip_name"), F.lit("otc").alias("source_type"), F.lit(2020).alias("year"), zipped("text", F.col("doc_id") % 11 == 5).alias("content"))
+    return zips.entries(files, 3000).select(F.col("zip_name").cast("long").alias("doc_id"), "xml_name", "reason")
+
+
+@query("""WITH b AS (SELECT 'z' || o_custkey AS zip_name, 'x' || o_orderkey % 3 AS xml_name, 'otc' AS source_type, o_orderpriority AS product_name, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE 2 END AS version, CASE WHEN o_orderstatus = 'P' THEN 'too large' END AS reason FROM orders),
+last AS (SELECT zip_name, xml_name, source_type, version, product_name, reason, row_number() OVER (PARTITION BY zip_name, xml_name, source_type ORDER BY version DESC, reason IS NULL DESC, product_name DESC) AS r FROM b)
+SELECT zip_name, xml_name, source_type, product_name, version FROM last WHERE r = 1 AND reason IS NULL""")
+def manifest_upsert(spark, d):
+    """Two batches, of which the first comes again: the last state of each file, each batch once."""
+    o, root = t(spark, d, "orders"), _root(spark, "manifest")
+    name = lambda a, c: F.concat(F.lit(a), c.cast("string"))
+    rows = o.select("o_orderkey", name("z", F.col("o_custkey")).alias("zip_name"), name("x", F.col("o_orderkey") % 3).alias("xml_name"), F.lit("otc").alias("source_type"), F.lit(None).cast("int").alias("year"), F.lit(None).cast("string").alias("label_class"), F.col("o_orderpriority").alias("product_name"), F.when(F.col("o_orderstatus") == "P", "too large").alias("reason"))
+    for n in (0, 1, 0):
+        manifest.record(rows.filter(F.col("o_orderkey") % 2 == n).drop("o_orderkey"), root, ("orders", n))
+    return manifest.current(spark, root).select("zip_name", "xml_name", "source_type", "product_name", "version")

@@ -2,26 +2,52 @@
 
 from __future__ import annotations
 
+import datetime
 import io
+import re
 import zipfile
+import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vialstream.sources import spl
 
+#: Fixed value: the first year of archives.
+FIRST_YEAR = 2005
 
-ENTRY = T.ArrayType(T.StructType([T.StructField("xml_name", T.StringType()), T.StructField("xml", T.BinaryType()), T.StructField("label_class", T.StringType()), T.StructField("product_name", T.StringType())]))
+ENTRY = T.StructType([T.StructField("xml_name", T.StringType()), T.StructField("xml", T.BinaryType()), T.StructField("label_class", T.StringType()), T.StructField("product_name", T.StringType()), T.StructField("reason", T.StringType())])
+REASONS = ("not xml", "unsafe name", "too large", "broken entry", "broken archive")
 
 
-def archives(spark: SparkSession, root: str, pattern: str = "*.zip") -> DataFrame:
-    """(zip_name, source_type, year, length, content) of the zips below ``root``: folders name the type and the year."""
-    path = F.col("path")
-    kind = F.lower(F.regexp_extract(path, r"/(prescription|other|otc)/[^/]*$", 1))
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root)
-    return files.select(F.regexp_extract(path, r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), F.expr("try_cast(nullif(regexp_extract(path, '/(20[0-9]{2})/', 1), '') as int)").alias("year"), "length", "content")
+def _below(root: str) -> str:
+    """A pattern of the root within a path, whatever its scheme."""
+    return re.escape(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/"))
+
+
+def year_folders(spark: SparkSession, root: str, first: int = FIRST_YEAR, last: int | None = None, pattern: str = "*.zip") -> list[tuple[int, str]]:
+    """(year, folder) of the folders right below ``root`` that hold archives and whose names are years within bounds.
+
+    Paths only are listed, no content is read; ``last`` is the next year if none is named.
+    """
+    last = last or datetime.date.today().year + 1
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(root).select("path")
+    folder = F.regexp_extract("path", f"^(.*{_below(root)}/[0-9]+)/", 1)
+    year = F.expr("try_cast(nullif(regexp_extract(folder, '([0-9]+)$', 1), '') as int)")
+    rows = files.select(folder.alias("folder")).filter("folder <> ''").distinct().select(year.alias("year"), "folder").filter(F.col("year").between(first, last))
+    return sorted((r["year"], r["folder"]) for r in rows.collect())  # one row a year
+
+
+def archives(spark: SparkSession, root: str, pattern: str = "*.zip", first: int = FIRST_YEAR, last: int | None = None) -> DataFrame:
+    """(zip_name, source_type, year, length, content) of the zips in the year folders of ``root`` within bounds; only these are scanned."""
+    folders = [f for _, f in year_folders(spark, root, first, last, pattern)]
+    kind = F.lower(F.regexp_extract("path", r"/(prescription|other|otc)/[^/]*$", 1))
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folders) if folders else spark.createDataFrame([], schema)
+    year = F.regexp_extract("path", f"{_below(root)}/([0-9]+)/", 1).cast("int")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), year.alias("year"), "length", "content")
 
 
 def not_yet_mapped(files: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -35,28 +61,59 @@ def safe_entry(name: str) -> bool:
     return bool(name) and not name.startswith(("/", "\\")) and ".." not in parts and ":" not in parts[0]
 
 
-def _entries(content: bytes) -> list[dict]:
+def _read(z: zipfile.ZipFile, info: zipfile.ZipInfo, most: int) -> tuple[bytes | None, str | None]:
+    """An entry's bytes, or the reason why there are none; what a header says of the size isn't trusted."""
+    if not safe_entry(info.filename):
+        return None, "unsafe name"
+    if not info.filename.lower().endswith(".xml"):
+        return None, "not xml"
+    if info.file_size > most:
+        return None, "too large"
+    try:
+        with z.open(info) as f:
+            data = f.read(most + 1)
+    except (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, OSError):
+        return None, "broken entry"
+    return (None, "too large") if len(data) > most else (data, None)
+
+
+def _entries(content: bytes | None, most: int) -> list[dict]:
     out = []
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
+        with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
             for info in z.infolist():
-                if info.filename.lower().endswith(".xml") and safe_entry(info.filename) and info.file_size <= spl.MOST_BYTES:
-                    xml = z.read(info)
+                if not info.is_dir():
+                    xml, reason = _read(z, info, most)
                     doc = spl.parse(xml)
-                    out.append({"xml_name": info.filename, "xml": xml, "label_class": spl.label_class(doc), "product_name": spl.product_name(doc)})
-    except (zipfile.BadZipFile, EOFError, NotImplementedError):
-        return out
+                    out.append({"xml_name": info.filename, "xml": xml, "label_class": spl.label_class(doc), "product_name": spl.product_name(doc), "reason": reason})
+    except (zipfile.BadZipFile, EOFError, NotImplementedError, ValueError, OSError):
+        out.append({"xml_name": None, "xml": None, "label_class": None, "product_name": None, "reason": "broken archive"})
     return out
 
 
-def expand(files: DataFrame) -> DataFrame:
-    """One row for each XML entry; unreadable archives and unsafe names give none."""
+def entries(files: DataFrame, most: int = spl.MOST_BYTES) -> DataFrame:
+    """A row for each file in each archive, kept (``reason`` null) or rejected (one of ``REASONS``, without bytes).
+
+    An archive that can't be read is one rejected row without a name; folders are no files.
+    """
+
+    @F.pandas_udf(T.ArrayType(ENTRY))
+    def found(content: pd.Series) -> pd.Series:
+        return content.map(lambda c: _entries(c, most))
+
+    return files.withColumn("e", F.explode(found("content"))).select("zip_name", "source_type", "year", "e.*")
+
+
+def watched(rows: DataFrame, name: str = "entries") -> tuple[DataFrame, Observation]:
+    """``entries`` rows, counted while an action reads them: all, kept, and those of each reason."""
+    seen = Observation(name)
+    each = [F.count_if(F.col("reason") == r).alias(r.replace(" ", "_")) for r in REASONS]
+    return rows.observe(seen, F.count(F.lit(1)).alias("entries"), F.count_if(F.col("reason").isNull()).alias("kept"), *each), seen
 
-    @F.pandas_udf(ENTRY)
-    def entries(content: pd.Series) -> pd.Series:
-        return content.map(_entries)
 
-    return files.withColumn("e", F.explode(entries("content"))).select("zip_name", "source_type", "year", "e.*")
+def expand(files: DataFrame, most: int = spl.MOST_BYTES) -> DataFrame:
+    """The kept entries; ``entries`` has the others too."""
+    return entries(files, most).filter("reason IS NULL").drop("reason")
 
 
 def right_class(rows: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialstream.sources import spl, zips
+from vialstream.sources import manifest, spl, zips
 
 
 def archive_stream(spark: SparkSession, root: str, per_batch: int = 1000) -> DataFrame:
@@ -16,10 +16,20 @@ def archive_stream(spark: SparkSession, root: str, per_batch: int = 1000) -> Dat
     return spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.zip").option("recursiveFileLookup", True).option("maxFilesPerTrigger", per_batch).load(root)
 
 
-def parsed(files: DataFrame) -> DataFrame:
+def named(files: DataFrame) -> DataFrame:
     kind = F.lower(F.regexp_extract("path", r"/(prescription|other|otc)/[^/]*$", 1))
-    named = files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), F.lit(None).cast("int").alias("year"), "length", "content")
-    return spl.labels(zips.right_class(zips.expand(named)))
+    year = F.expr("try_cast(nullif(regexp_extract(path, '/([0-9]{4})/(?:prescription|other|otc)/[^/]*$', 1), '') as int)")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("zip_name"), kind.alias("source_type"), year.alias("year"), "length", "content")
+
+
+def parsed(files: DataFrame) -> DataFrame:
+    return spl.labels(zips.right_class(zips.expand(named(files))))
+
+
+def into_manifest(stream: DataFrame, root: str, checkpoint: str, name: str) -> None:
+    """All files there are into the manifest below ``root``, each batch once, even if the stream runs it again."""
+    sink = lambda b, n: manifest.record(zips.entries(named(b)), root, (name, n))
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
