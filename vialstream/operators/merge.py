@@ -41,6 +41,20 @@ def key_edges(rows: DataFrame, node: str, keys: list[str]) -> DataFrame:
     return edges.distinct()
 
 
+def _with_empty(keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """Edges of keys that some row without product concepts has: only such rows pass the gate by these keys alone.
+
+    keyed (guid, empty, keys...); a key with n rows gives n - 1 edges if one of them is empty, else none.
+    """
+    edges = None
+    for k in keys:
+        r = keyed.select("guid", "empty", F.explode(F.array_distinct(k)).alias("k")).filter("k IS NOT NULL")
+        hub = r.groupBy("k").agg(F.min("guid").alias("b"), F.max("empty").alias("any")).filter("any").select("k", "b")
+        e = r.join(hub, "k").select(F.col("guid").alias("a"), "b").filter("a <> b")
+        edges = e if edges is None else edges.unionByName(e)
+    return edges
+
+
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the least reachable node, by least labels that jump to their own label each round."""
     label = shared_folder(nodes.select("node", F.col("node").alias("root")).distinct(), "labels")
@@ -49,9 +63,10 @@ def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> Dat
         near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("root").alias("near"))
         new = label.join(near, label["node"] == near["a"], "left").select("node", F.least("root", "near").alias("root"))
         jump = new.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new = shared_folder(new.join(jump, "root", "left").select("node", F.least("root", "up").alias("root")), "labels")
-        changed = not new.exceptAll(label).isEmpty()
-        label = new
+        was = label.withColumnRenamed("root", "was")
+        new = shared_folder(new.join(jump, "root", "left").join(was, "node").select("node", F.least("root", "up").alias("root"), (F.least("root", "up") != F.col("was")).alias("moved")), "labels")
+        changed = not new.filter("moved").isEmpty()
+        label = new.drop("moved")
         if not changed:
             return label
     raise RuntimeError("components: the rounds didn't suffice")
@@ -89,12 +104,24 @@ def may_merge(a: dict, b: dict) -> bool:
 
 
 _SETS = ("cuis", "parents", "ingredients", "ndas", "ndcs")
+#: All drug concepts of a product, and those of them that are ingredients.
+_DRUGS = ("rxnorm", "rx_ingredients")
+
+
+def same_drug_ingredients(a: dict, b: dict) -> bool:
+    """Both have drug concepts, and the ingredients among those of each are among all of the other.
+
+    Where neither has ingredients among its concepts this holds for any two products.
+    """
+    return bool(a["rxnorm"]) and bool(b["rxnorm"]) and a["rx_ingredients"] <= b["rxnorm"] and b["rx_ingredients"] <= a["rxnorm"]
+
+
 _PRIOR = "prior_ids"
 _LABELS = "labels"
 
 
 def _greedy(block: pd.DataFrame) -> pd.DataFrame:
-    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, _PRIOR, _LABELS)} for r in block.sort_values("guid").to_dict("records")]
+    rows = [r | {s: frozenset(x for x in (r[s] if r[s] is not None else []) if x is not None) for s in (*_SETS, *_DRUGS, _PRIOR, _LABELS)} for r in block.sort_values("guid").to_dict("records")]
     for r in rows:
         r["own"] = r["ndas"]  # a product's own application, whatever it takes in later
     win = {r["guid"]: r["guid"] for r in rows}
@@ -108,7 +135,7 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
             own = sorted(r[_LABELS])
             first = next((owner[g] for g in own if g in owner), r)
             if first is not r and may_merge(first, r):
-                for s in (*_SETS, _PRIOR):
+                for s in (*_SETS, *_DRUGS, _PRIOR):
                     first[s] = first[s] | r[s]
                 win[r["guid"]] = first["guid"]
             owner |= dict.fromkeys(own, first)
@@ -127,7 +154,7 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
             for b in live:
                 if b is a or b["guid"] in done or (b["guid"] < a["guid"] and not earlier) or not candidates(a, b) or not may_merge(a, b):
                     continue
-                for s in (*_SETS, _PRIOR):
+                for s in (*_SETS, *_DRUGS, _PRIOR):
                     a[s] = a[s] | b[s]
                 done.add(b["guid"])
                 win[b["guid"]] = a["guid"]
@@ -139,7 +166,7 @@ def _greedy(block: pd.DataFrame) -> pd.DataFrame:
     sweep(lambda a, b: len(a["cuis"]) > 1 and len(b["cuis"]) == 1 and b["cuis"] <= a["cuis"], earlier=True)
     sweep(lambda a, b: bool(a["own"] & b["own"]))
     sweep(lambda a, b: bool(b["parents"]) and b["parents"] <= a["parents"], earlier=True)
-    sweep(lambda a, b: bool(a["ingredients"]) and a["ingredients"] == b["ingredients"])
+    sweep(same_drug_ingredients, earlier=True)
     sweep(lambda a, b: bool(a["ndcs"] & b["ndcs"]))
     sweep(lambda a, b: bool(a[_PRIOR]) and bool(b[_PRIOR]) and min(a[_PRIOR]) == min(b[_PRIOR]))
 
@@ -155,18 +182,30 @@ def merge_products(products: DataFrame, prior: DataFrame | None = None) -> DataF
     """(guid, winner) from products (guid, source_type, copack, cuis, parents, ingredients, ndas, ndcs) and
     prior (guid, substance_id).
 
-    Products may have ``labels``, the guids of all labels they were read from; a product's own guid is among them.
+    Products may have ``labels``, the guids of all labels they were read from (a product's own guid is among them), and
+    ``rxnorm`` and ``rx_ingredients``, all drug concepts and the ingredients among them; without these columns both
+    are the ingredients.
+
+    Whatever a candidate shares, the gate lets in only rows with a concept, parent or application in common, and rows
+    without concepts.  So those three keys give edges, other keys only where a row without concepts has them, and
+    products that have drug concepts but no ingredients among them (of one kind) meet in one star where one of them has no
+    product concepts.
     """
     more = F.coalesce(_LABELS, F.array()) if _LABELS in products.columns else F.array().cast("array<string>")
     products = products.withColumn(_LABELS, F.array_union(F.array(F.col("guid").cast("string")), more))
+    for c in _DRUGS:
+        if c not in products.columns:
+            products = products.withColumn(c, F.col("ingredients"))
     if prior is None:
         products = products.withColumn(_PRIOR, F.array().cast("array<bigint>"))
     else:
         ids = prior.groupBy("guid").agg(F.array_sort(F.collect_set(F.col("substance_id").cast("bigint"))).alias(_PRIOR))
         products = products.join(ids, "guid", "left")
     kind = lambda c: F.transform(c, lambda x: F.concat_ws("|", F.lit(c), F.col("source_type").cast("string"), F.col("copack").cast("string"), x.cast("string")))
-    keyed = products.select("guid", *[kind(c).alias(c) for c in ("cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR)])
-    edges = key_edges(keyed, "guid", ["cuis", "parents", "ndas", "ndcs", "ingredients", _PRIOR])
+    none = lambda c: F.size(F.filter(F.coalesce(c, F.array()), lambda x: x.isNotNull())) == 0
+    vacuous = F.when(~none("rxnorm") & none("rx_ingredients"), F.array(F.concat_ws("|", "source_type", F.col("copack").cast("string"))))
+    keyed = products.select("guid", none("cuis").alias("empty"), *[kind(c).alias(c) for c in ("cuis", "parents", "ndas", "ndcs", "rxnorm", _PRIOR)], vacuous.alias("vacuous"))
+    edges = key_edges(keyed, "guid", ["cuis", "parents", "ndas"]).unionByName(_with_empty(keyed, ["ndcs", "rxnorm", _PRIOR, "vacuous"]))
     # an owner may be of another kind: labels meet whatever the kind
     edges = edges.unionByName(key_edges(products.select("guid", _LABELS), "guid", [_LABELS])).distinct()
     roots = components(products.select(F.col("guid").alias("node")), edges)
