@@ -488,6 +488,23 @@ def merge_greedy(spark, d):
     return merge.merge_products(rows)
 
 
+@query("""WITH r AS (SELECT 'g' || lpad(p_partkey::VARCHAR, 12, '0') AS guid, p_size % 2 AS kind, CASE WHEN p_partkey % 10 > 0 THEN p_partkey % 331 END AS cui, CASE WHEN p_partkey % 10 > 0 AND p_partkey % 3 = 0 THEN p_partkey % 503 END AS nda FROM part),
+one AS (SELECT *, CASE WHEN cui IS NULL THEN guid ELSE min(guid) OVER (PARTITION BY kind, cui) END AS w FROM r),
+two AS (SELECT guid, CASE WHEN nda IS NULL THEN guid ELSE min(guid) OVER (PARTITION BY kind, nda) END AS w FROM one WHERE guid = w AND cui IS NOT NULL),
+none AS (SELECT guid, min(guid) OVER (PARTITION BY kind) AS w FROM r WHERE cui IS NULL)
+SELECT one.guid, two.w AS winner FROM one JOIN two ON one.w = two.guid UNION ALL SELECT * FROM none""")
+def merge_sparse(spark, d):
+    """Merges by concept and by own application; products with drug concepts but neither ingredients nor product concepts are one."""
+    k = F.col("p_partkey")
+    some = lambda ok, c: F.when(ok, F.array(c.cast("string"))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    rows = t(spark, d, "part").select(
+        F.concat(F.lit("g"), F.lpad(k.cast("string"), 12, "0")).alias("guid"), (F.col("p_size") % 2).cast("int").alias("source_type"), F.lit(False).alias("copack"), some(k % 10 > 0, k % 331).alias("cuis"), none.alias("parents"),
+        none.alias("ingredients"), some((k % 10 > 0) & (k % 3 == 0), k % 503).alias("ndas"), none.alias("ndcs"), some(k % 10 == 0, k).alias("rxnorm"), none.alias("rx_ingredients"),
+    )
+    return merge.merge_products(rows)
+
+
 # ---- events -----------------------------------------------------------------------------
 
 
@@ -896,3 +913,14 @@ def manifest_upsert(spark, d):
     for n in (0, 1, 0):
         manifest.record(rows.filter(F.col("o_orderkey") % 2 == n).drop("o_orderkey"), root, ("orders", n))
     return manifest.current(spark, root).select("zip_name", "xml_name", "source_type", "product_name", "version")
+
+
+@query("""WITH k AS (SELECT o_custkey AS key, count(*) AS n FROM orders GROUP BY 1),
+c AS (SELECT DISTINCT ceil(q)::BIGINT AS cut FROM (SELECT unnest(quantile_cont(o_custkey, [0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875])) AS q FROM orders))
+SELECT part, count(*) AS rows FROM (SELECT o_orderkey, count(cut) AS part FROM orders LEFT JOIN c ON cut <= o_custkey GROUP BY o_orderkey) GROUP BY part""")
+def range_parts(spark, d):
+    """Rows of each range when a table is parted by quantiles of a key's counts."""
+    o = t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    found = tabular.range_predicates(o.groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("n")), "o_custkey", 8)
+    part = F.coalesce(*[F.when(F.expr(p), F.lit(k)) for k, p in enumerate(found)])
+    return o.groupBy(part.cast("long").alias("part")).agg(F.count("*").alias("rows"))

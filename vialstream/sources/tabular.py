@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +14,7 @@ from pyspark.sql import functions as F
 from vialstream.functions import codes
 from vialstream.operators import products
 
+T = TypeVar("T")
 _ROW = F.monotonically_increasing_id
 
 
@@ -22,7 +27,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores)
 
 
-
 def _read(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
     """All columns as strings, in file order (column ``_row``); malformed fields are null."""
     schema = ", ".join(f"`{c}` string" for c in columns)
@@ -75,12 +79,57 @@ def pipe_file(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return spark.read.text(path).select(*[F.nullif(parts[k], F.lit("")).alias(c) for k, c in enumerate(columns) if c])
 
 
-def jdbc_table(spark: SparkSession, url: str, table: str, column: str | None = None, bounds: tuple | None = None, parts: int = 16, fetch: int = 5000, **options: str) -> DataFrame:
-    """A database table, read in ``parts`` ranges of a numeric column where one is named."""
-    r = spark.read.format("jdbc").option("url", url).option("dbtable", table).option("fetchsize", fetch).options(**options)
-    if column and bounds:
-        r = r.option("partitionColumn", column).option("lowerBound", bounds[0]).option("upperBound", bounds[1]).option("numPartitions", parts)
-    return r.load()
+def retried(act: Callable[[], T], tries: int = 4, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> T:
+    """``act()``, again after 1, 2, 4 ... times ``wait`` seconds if it fails; the last failure is raised.
+
+    For what the driver asks of a database; tasks that fail are run again by Spark.
+    """
+    for k in range(tries):
+        try:
+            return act()
+        except Exception:
+            if k == tries - 1:
+                raise
+            sleep(wait * 2**k)
+    raise ValueError("tries is below 1")
+
+
+def range_predicates(counts: DataFrame, column: str, parts: int, integral: bool = True) -> list[str]:
+    """At most ``parts`` conditions that part the rows of (key, n) counts evenly, whatever the keys' spread.
+
+    Cuts are quantiles of the keys weighted by their counts.  A key with more rows than a part is in a part with as few
+    others as can be, since a condition on the key can't part it; null keys are in the first part.
+    """
+    probs = [k / parts for k in range(1, parts)]
+    if not probs:
+        return ["1 = 1"]
+    cuts = counts.filter("key IS NOT NULL").agg(F.percentile("key", probs, F.col("n")).alias("q")).first()["q"] or []
+    cuts = sorted({math.ceil(c) if integral else c for c in cuts})
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *inner, f"{column} >= {cuts[-1]}"]
+
+
+def jdbc_table(spark: SparkSession, url: str, table: str, column: str | None = None, parts: int = 16, fetch: int = 5000, tries: int = 4, wait: float = 1.0, **options: str) -> DataFrame:
+    """A database table, read in at most ``parts`` ranges of equal row counts of a numeric column where one is named.
+
+    The database counts its keys, Spark takes quantiles of these counts.  Rows of other columns that no plan needs are not
+    fetched, filters reach the database in each range.
+    """
+    how = {"fetchsize": str(fetch), **options}
+    read = lambda source: spark.read.format("jdbc").option("url", url).options(**how).option("dbtable", source).load()
+    if column is None:
+        return retried(lambda: read(table), tries, wait)
+    counts = lambda: read(f"(SELECT {column} AS key_, COUNT(*) AS n_ FROM {table} GROUP BY {column}) counts_")
+
+    def predicates() -> list[str]:
+        c = counts()
+        integral = dict(c.dtypes)[c.columns[0]] in ("tinyint", "smallint", "int", "bigint")
+        return range_predicates(c.toDF("key", "n"), column, parts, integral)
+
+    found = retried(predicates, tries, wait)
+    return retried(lambda: spark.read.jdbc(url, table, predicates=found, properties=how), tries, wait)
 
 
 @dataclass
