@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vialstream.functions import codes
 from vialstream.operators import persist
 from vialstream.plans import build
-from vialstream.sources import html, spl, tabular, zips
+from vialstream.sources import commit, html, spl, tabular, zips
 from vialstream.streaming import ingest
 
 XML = """<document xmlns="urn:hl7-org:v3"><code code="34391-3" displayName="HUMAN PRESCRIPTION DRUG LABEL"/><title>Drug. Initial U.S. Approval: 1998</title><effectiveTime value="20200102"/>
@@ -75,6 +75,35 @@ def test_build(spark, archive):
     assert t["substance"].collect()[0][0] == 100 and persist.orphans(t["product_ae"], "meddra_id", t["meddra"], "id").count() == 0
 
 
+def test_build_with_changes_and_all_tables(spark, archive, tmp_path):
+    labels = spl.labels(zips.right_class(zips.expand(zips.archives(spark, str(archive))))).withColumn("guid", F.lit("g1"))
+    atoms = spark.createDataFrame([("A1", "C1", "1", "1", "Rash", "PT", "MDR"), ("A2", "C2", "2", "2", "Headache", "PT", "MDR"), ("A3", "C3", "3", "3", "Fever", "PT", "MDR")], "aui string, cui string, code string, pt_code string, term string, tty string, sab string")
+    page = "<h3>05/06/2019</h3><h4>6 Adverse Reactions</h4><p>Headache and fever came: later.<h4>Boxed Warning</h4>Entire Box Warning was deleted. Rash"
+    pages = spark.createDataFrame([(7, page), (8, page)], "drug_id int, html string")
+    changes = build.change_events(pages, spark.createDataFrame([("g1", "g1", 7), ("g1", "g1", -1)], "product string, guid string, drug_id int"), atoms)
+    assert {(r["section"], r["aui"], str(r["first_added"])) for r in changes.collect()} == {("AE", "A2", "2019-05-06"), ("AE", "A3", "2019-05-06")}
+    plain = {(r["section"], r["match"], r["aui"]): str(r["first_added"]) for r in build.label_events(labels, atoms).collect()}
+    e = build.label_events(labels, atoms, changes)
+    got = {(r["section"], r["match"], r["aui"]): (str(r["first_added"]), r["sources"]) for r in e.collect()}
+    assert plain[("AE", "exact", "A2")] == "2020-01-02" and got[("AE", "exact", "A2")] == ("2019-05-06", ["g1"]) and got[("AE", "exact", "A3")] == ("2019-05-06", ["g1"])
+    one = lambda rows, schema: spark.createDataFrame(rows, schema)
+    terms = one([("R1", "C", "1", "drug", "IN")], "aui string, cui string, code string, term string, tty string")
+    link = one([("g1", "R1")], "guid string, aui string")
+    more = {
+        "files": one([("g1", "/x/prescription/a.xml")], "guid string, path string"), "names": one([("g1", "R1", "111", "drug")], "guid string, aui string, ndc string, name string"), "classes": one([("g1", "111", 5)], "guid string, ndc string, atc_id int"),
+        "changes": one([("g1", 7, 1, "d", "i", None, None, "u")], "guid string, drug_id int, application_number int, drug_name string, active_ingredient string, supplement_date date, database_updated date, url string"),
+        "rxnorm_terms": terms, "snomed_terms": terms, "atc_terms": terms, "texts": spl.section_texts(labels), "brands": one([("g1", "Brand")], "guid string, name string"),
+        "rxnorm": link, "ingredient": link, "snomed_pt": link, "snomed_parent": link,
+    }
+    t = build.tables(e, atoms, one([("g1", "g1")], "guid string, winner string"), more, ids=str(tmp_path / "ids"), version="2025A")
+    assert len(t) == 24 and all(df.columns for df in t.values())
+    version = build.write(t, str(tmp_path / "out"))
+    assert len(commit.contents(version)) == 24
+    n = {name: sum(rows for _, rows, _ in files) for name, files in commit.contents(version).items()}
+    assert n["substance_rxnorm"] == n["rxnorm"] == n["spl_ae_text"] == n["srlc"] == n["umls_version"] == 1 and n["source_type"] == 3 and n["spl_box_text"] == 0 and n["ndc_code"] == 2
+    assert [r["name"] for r in commit.read(spark, str(tmp_path / "out"), "ndc_code").filter("ndc = ''").collect()] == ["Brand"]
+
+
 def test_pages():
     page = """<div id=accordion><h3>01/02/2020</h3><div><h4>6 Adverse Reactions</h4><p>Rash &amp; pain<p>more<h4>6.1 Trials</h4>x<h4>7 Other</h4>no</div><h3>01/03/2020</h3><div><h4>Boxed Warning</h4><p>death</div></div>"""
     got = {(r["date"], r["section"]): r["text"] for r in html.change_sections(page)}
@@ -95,6 +124,13 @@ def test_tables(spark, tmp_path):
     assert [str(r["approved"]) for r in tabular.approvals(spark, str(tmp_path / "a.tsv")).collect()] == ["2000-01-01"]
     (tmp_path / "r.rrf").write_text("C1|ENG||A1|\n")
     assert [tuple(r) for r in tabular.pipe_file(spark, str(tmp_path / "r.rrf"), ["CUI", "LAT", "", "AUI"]).collect()] == [("C1", "ENG", "A1")]
+    (tmp_path / "x.csv").write_text("suffix,base_name,example_term,source,last_updated\nAbcd,one,one-abcd,a,2020-01-02\nabcd,two,two-abcd,b,bad\nabc,no,,,\n")
+    assert [tuple(r) for r in tabular.suffix_catalogue(spark, str(tmp_path / "x.csv")).collect()] == [("abcd", "two", "two-abcd", "b", None)]
+    (tmp_path / "m.csv").write_text("ZipFileName,XmlFileName,SourceType\n2020_g1.zip,a.xml,otc\n2020_g1.zip,b.xml,otc\n2020_g2.zip,,otc\n")
+    there = spark.createDataFrame([("a.xml",)], "xml_name string")
+    assert [tuple(r) for r in zips.label_guids(tabular.zip_manifest(spark, str(tmp_path / "m.csv")), there).collect()] == [("g1", "otc", ["a.xml"])]
+    (tmp_path / "n.csv").write_text("ZipFileName,ManufactureProductName\n2020_g1.zip,A\n")
+    assert [tuple(r) for r in tabular.product_manifest(spark, str(tmp_path / "n.csv")).collect()] == [("2020_g1.zip", "A")]
     (tmp_path / "w.txt").write_text("# c\nThe\n\nas well as\n")
     assert {r[0] for r in tabular.stop_phrases(spark, str(tmp_path / "w.txt")).collect()} == {"the", "as well as"}
 

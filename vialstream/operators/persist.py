@@ -156,3 +156,8 @@ def export_events(facts: DataFrame, atoms: DataFrame) -> DataFrame:
 def export_labels(labels: DataFrame) -> DataFrame:
     """(line): labels (id, guid, name) in order of id and guid; null names are empty."""
     return labels.orderBy("id", "guid").select(pipe_line([F.col("id"), F.col("guid"), F.col("name")]).alias("line"))
+
+
+def export_bridge(links: DataFrame, left: str, right: str) -> DataFrame:
+    """(line): a bridge table's links in the order of both ids."""
+    return links.select(left, right).orderBy(left, right).select(pipe_line([F.col(left), F.col(right)]).alias("line"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
@@ -120,3 +120,29 @@ def remaining_text(sections: DataFrame, found: DataFrame) -> DataFrame:
     """Sections (guid, section, text, ...) without the terms that exact matching found there; found (guid, section, term)."""
     terms = found.groupBy("guid", "section").agg(F.collect_set("term").alias("_terms"))
     return sections.join(terms, ["guid", "section"], "left").withColumn("text", text.remove_terms(F.col("text"), F.col("_terms"))).drop("_terms")
+
+
+def vocabulary_table(atoms: DataFrame, number: Number = persist.numbered) -> DataFrame:
+    """(id, aui, cui, code, term, tty): a vocabulary's atoms, each once, with ids by aui; of unlike rows of one aui the least counts."""
+    once = atoms.filter("trim(aui) <> ''").groupBy("aui").agg(F.min(F.struct("cui", "code", "term", "tty")).alias("r"))
+    return number(once.select("aui", "r.*"), ["aui"], "id").select("id", "aui", "cui", "code", "term", "tty")
+
+
+def text_tables(texts: DataFrame, number: Callable[[str], Number] = lambda _: persist.numbered) -> dict[str, DataFrame]:
+    """The three text tables (id, guid, label_date, spl_text) of texts (guid, section, label_date, spl_text), ids by guid and text."""
+    out = {}
+    for section in ("AE", "IND", "BOX"):
+        name = f"spl_{section.lower()}_text"
+        rows = texts.filter((F.col("section") == section) & F.col("guid").isNotNull() & (F.col("spl_text") != "")).select("guid", "label_date", "spl_text").distinct()
+        key = F.sha2(F.concat_ws("|", F.col("label_date").cast("string"), "spl_text"), 256)
+        out[name] = number(name)(rows.withColumn("key", key), ["guid", "key"], "id").select("id", "guid", "label_date", "spl_text")
+    return out
+
+
+def source_type_table(spark: SparkSession) -> DataFrame:
+    """(id, name): the fixed source types."""
+    return spark.createDataFrame([(k, word.upper()) for word, k in SOURCE_TYPES], "id int, name string")
+
+
+def version_table(spark: SparkSession, version: str) -> DataFrame:
+    return spark.createDataFrame([(1, version)], "ref_id int, version string")

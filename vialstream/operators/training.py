@@ -55,11 +55,39 @@ def word_counts(rows: DataFrame, column: str, least: int = 1) -> DataFrame:
 
 
 def harvest_suffixes(terms: DataFrame, bases: DataFrame, order: str) -> DataFrame:
-    """(suffix, base, example): four-letter tails of terms whose stem is a known base name; the first term of each tail.
+    """(suffix, base, example): four-letter tails ``-xxxx`` behind a known base name; the first term of each tail counts.
 
-    terms (term, ``order``), bases (base).
+    A tail's base is what stands before it (letters and spaces, from the letter where the match before it ended), else its last two
+    words, else its last word.  terms (term, ``order``), bases (base); both are compared in lower case.
     """
-    shape = "^([a-z0-9_ ]+)-([a-z]{4})\\b"
-    cut = terms.select(order, "term", F.regexp_extract("term", shape, 1).alias("base"), F.regexp_extract("term", shape, 2).alias("suffix"))
-    known = cut.join(bases.select("base").distinct(), "base", "left_semi")
-    return known.groupBy("suffix").agg(F.min_by("base", order).alias("base"), F.min_by("term", order).alias("example"))
+    tail = F.lit(r"(?i)([A-Za-z][A-Za-z\s]{0,60})-([a-z]{4})\b")
+    low = terms.select(order, F.lower("term").alias("term"))
+    stems, tails = (F.regexp_extract_all("term", tail, F.lit(k)) for k in (1, 2))
+    cut = low.select(order, "term", F.posexplode(F.arrays_zip(stems.alias("stem"), tails.alias("suffix"))).alias("at", "x"))
+    w = text.words(F.regexp_replace("x.stem", r"[^a-z\s]", " "))
+    n = F.size("w")
+    last = lambda k: F.array_join(F.slice("w", n - k + 1, F.lit(k)), " ")
+    cut = cut.select(order, "term", "at", F.col("x.suffix").alias("suffix"), w.alias("w")).filter(n > 0)
+    tries = F.array(F.array_join("w", " "), F.when(n >= 2, last(2)), last(1))
+    rows = cut.select(order, "term", "at", "suffix", F.posexplode(tries).alias("rank", "base")).filter("base IS NOT NULL")
+    known = rows.join(bases.select(F.lower(F.trim("base")).alias("base")).distinct(), "base", "left_semi")
+    best = known.groupBy(order, "at", "suffix", "term").agg(F.min_by("base", "rank").alias("base"))
+    first = F.struct(order, "at")
+    return best.groupBy("suffix").agg(F.min_by("base", first).alias("base"), F.min_by("term", first).alias("example"))
+
+
+def section_training(tables: dict[str, DataFrame], most: int, since: str | None = None, least_words: int = 4) -> DataFrame:
+    """``top_sentences`` of text tables (id, text, label_date) by label: the first 2 * ``most`` rows of each since a date, cut into sentences."""
+    parts = None
+    for label, rows in tables.items():
+        rows = rows if since is None else rows.filter(F.col("label_date") >= F.to_date(F.lit(since)))
+        rows = rows.orderBy("id").limit(2 * most).select(F.lit(label).alias("label"), "id", F.explode(text.sentences(F.col("text"))).alias("sentence"))
+        parts = rows if parts is None else parts.unionByName(rows)
+    return top_sentences(parts, "label", most, least_words)
+
+
+def lemma_words(rows: DataFrame, most: int = 70_000, since: str | None = None, shortest: int = 2, longest: int = 60) -> DataFrame:
+    """(id, n, word): words of the first ``most`` texts (id, text, label_date) since a date, of bounded length."""
+    rows = rows if since is None else rows.filter(F.col("label_date") >= F.to_date(F.lit(since)))
+    w = rows.orderBy("id").limit(most).select("id", F.posexplode(text.words(text.clean_term(F.col("text")))).alias("n", "word"))
+    return w.filter(F.length("word").between(shortest, longest))

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialstream.functions import codes, text
-from vialstream.operators import events, ner, persist, star
-from vialstream.sources import commit
+from vialstream.operators import events, merge, ner, persist, star
+from vialstream.sources import commit, html
 
 
 def sections(labels: DataFrame) -> DataFrame:
@@ -22,38 +22,65 @@ def section_rows(parts: DataFrame) -> DataFrame:
     return s.select("guid", "label_date", "section", "n", text.split_special(F.col("raw")).alias("sentence"))
 
 
-def label_events(labels: DataFrame, atoms: DataFrame) -> DataFrame:
-    """Event rows of labels: exact and stemmed matches of each section, with the earliest date of each atom.
+def _matches(rows: DataFrame, atoms: DataFrame, match: str) -> DataFrame:
+    """Atoms found in sections' sentences, by the exact or the stemmed pass."""
+    entries, out = ner.dictionary(atoms, stemmed=match == "nlp"), None
+    for section in ("IND", "AE", "BOX"):
+        hits = ner.recognise(rows.filter(F.col("section") == section), entries, "IND" if section == "IND" else "BLACKBOX" if section == "BOX" else "AE", match == "nlp")
+        got = ner.codes_of(hits, atoms, match == "exact").withColumn("match", F.lit(match))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def _both_passes(parts: DataFrame, atoms: DataFrame) -> DataFrame:
+    """Exact and stemmed matches of sections (guid, section, label_date, text); the stemmed pass reads what the exact one left."""
+    rows = section_rows(parts).persist()
+    exact = merge.shared_folder(_matches(rows, atoms, "exact"), "exact")
+    rows.unpersist()
+    left = star.remaining_text(parts, exact.select("guid", "section", "aui").distinct().join(atoms.select("aui", "term"), "aui"))
+    return exact.unionByName(_matches(section_rows(left), atoms, "nlp"))
+
+
+def change_events(pages: DataFrame, links: DataFrame, atoms: DataFrame) -> DataFrame:
+    """(product, section, match, aui, first_added, guid): what safety changes add.
 
-    The stemmed pass reads what is left of a section once the terms are out that the exact pass found in it.
+    pages (drug_id, html), links (product, guid, drug_id).  A page's sections are cleaned, boxes that say they were deleted go, both
+    passes read the rest, and each product that links to the page gets the atoms with the change's date.
     """
-    parts = sections(labels).persist()
+    s = pages.select("drug_id", F.explode(html.change_rows(F.col("html"))).alias("s"))
+    day = F.expr("try_to_date(s.date, 'M/d/yyyy')")
+    s = s.select(F.col("drug_id").cast("string").alias("guid"), "s.section", day.alias("label_date"), text.clean_change_text(F.col("s.text")).alias("text"))
+    s = merge.shared_folder(s.filter("label_date IS NOT NULL AND text <> ''").filter((F.col("section") != "BOX") | ~text.deleted_box(F.col("text"))), "changes")
+    found = _both_passes(s, atoms).groupBy(F.col("guid").alias("drug_id"), "section", "match", "aui").agg(F.min("label_date").alias("first_added"))
+    return found.join(links.filter("drug_id > 0").select("product", "guid", F.col("drug_id").cast("string").alias("drug_id")), "drug_id").select("product", "section", "match", "aui", "first_added", "guid")
 
-    def matches(rows: DataFrame, match: str) -> DataFrame:
-        entries, out = ner.dictionary(atoms, stemmed=match == "nlp"), None
-        for section in ("IND", "AE", "BOX"):
-            hits = ner.recognise(rows.filter(F.col("section") == section), entries, "IND" if section == "IND" else "BLACKBOX" if section == "BOX" else "AE", match == "nlp")
-            got = ner.codes_of(hits, atoms, match == "exact").withColumn("match", F.lit(match))
-            out = got if out is None else out.unionByName(got)
-        return out
 
-    exact = matches(section_rows(parts).persist(), "exact").persist()
-    left = star.remaining_text(parts, exact.select("guid", "section", "aui").distinct().join(atoms.select("aui", "term"), "aui"))
-    out = exact.unionByName(matches(section_rows(left).persist(), "nlp"))
+def label_events(labels: DataFrame, atoms: DataFrame, changes: DataFrame | None = None) -> DataFrame:
+    """Event rows of labels: exact and stemmed matches of each section, with the earliest date of each atom.
+
+    ``changes`` (``change_events`` rows by guid as product) bring dates forward and add codes before events are resolved.
+    """
+    parts = sections(labels).persist()
+    out = merge.shared_folder(_both_passes(parts, atoms), "matches")
+    parts.unpersist()
     e = events.earliest(out.withColumnsRenamed({"guid": "product", "label_date": "d"}).withColumn("source", F.col("product")), ["product", "section", "match", "aui"])
+    if changes is not None:
+        e = events.apply_changes(e, changes, ["product", "section", "match", "aui"])
     pt_key = F.coalesce(F.nullif(F.col("pt_code"), F.lit("")), F.col("code"))
     e = e.join(atoms.select("aui", "cui", "term", pt_key.alias("pt_key")), "aui")
     e = events.resolve(events.without_death(e))
     return events.reconcile_across(events.reconcile_bucket(e, ["product", "section", "match"]))
 
 
-def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, DataFrame] | None = None, ids: str | None = None) -> dict[str, DataFrame]:
+def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, DataFrame] | None = None, ids: str | None = None, version: str | None = None) -> dict[str, DataFrame]:
     """Substances, terms, events and indications with ids; winners (guid, winner).
 
     ``more`` gives the rows of further tables by product guid: files (guid, path), changes (guid, drug_id, ...),
     names (guid, aui, ndc, name), classes (guid, ndc, atc_id), and links (guid, aui) named rxnorm, ingredient,
     snomed_pt and snomed_parent, with the ids of concepts (aui, id) in rxnorm_atoms and snomed_atoms.
-    ``ids`` is a folder in which ids are kept from build to build; without one each build numbers anew.
+    The ids of these may instead come from the build: rxnorm_terms, snomed_terms and atc_terms (aui, cui, code, term, tty) become
+    tables of their own.  texts (guid, section, label_date, spl_text) become the three text tables; brands (guid, name) join the
+    code table's names.  ``ids`` is a folder in which ids are kept from build to build; without one each build numbers anew.
     """
     more = more or {}
 
@@ -74,6 +101,19 @@ def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, D
         "substance": substances.select("id"), "meddra": terms, "product_ind": shown.filter("section = 'IND'").drop("section"),
         "product_ae": shown.filter("section <> 'IND'").withColumns({"warning": F.col("section") == "AE", "blackbox": F.col("section") == "BOX"}).drop("section"),
     }
+    spark = products.sparkSession
+    out["source_type"] = star.source_type_table(spark)
+    if version:
+        out["umls_version"] = star.version_table(spark, version)
+    for name in ("rxnorm", "snomed", "atc"):
+        if f"{name}_terms" in more:
+            out[name] = star.vocabulary_table(more[f"{name}_terms"], number(name))
+            more = {f"{name}_atoms": out[name].select("aui", "id")} | more
+    if "texts" in more:
+        out |= star.text_tables(more["texts"], number)
+    if "brands" in more and "names" in more:
+        own_brands = more["brands"].select("guid", F.lit("").alias("aui"), F.lit("").alias("ndc"), "name")
+        more = more | {"names": more["names"].unionByName(own_brands)}
     if "files" in more:
         out["spl_srcfile"] = files = star.source_files(own("files"), number=number("spl_srcfile"))
         out["product_ind"], out["product_ind_src"] = star.fact_tables(out["product_ind"], files, ["product_id", "meddra_id", "exact_match"], number("product_ind"))

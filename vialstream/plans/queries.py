@@ -145,14 +145,18 @@ def suffix_strip(spark, d):
     return t(spark, d, "part").select("p_partkey", text.strip_suffixes(v, F.array(F.lit("aaad"), F.lit("aabc"))).alias("stripped"))
 
 
-@query("""WITH base AS (SELECT DISTINCT lower(n_name) AS b FROM nation),
-v AS (SELECT c_custkey, lower(n_name) || '-' || chr(97 + (c_custkey % 7)::INT) || 'xyz ' || c_mktsegment AS term FROM customer JOIN nation ON c_nationkey = n_nationkey),
-m AS (SELECT c_custkey, term, regexp_extract(term, '^([a-z0-9_ ]+)-([a-z]{4})\\b', 1) AS stem, regexp_extract(term, '^([a-z0-9_ ]+)-([a-z]{4})\\b', 2) AS suffix FROM v)
+#: Names of letters: digits and the underline would end a stem.
+_LETTERS = "translate(lower(n_name), '_0123456789', ' abcdefghij')"
+
+
+@query(f"""WITH base AS (SELECT DISTINCT {_LETTERS} AS b FROM nation),
+v AS (SELECT c_custkey, {_LETTERS} || '-' || chr(97 + (c_custkey % 7)::INT) || 'xyz ' || c_mktsegment AS term FROM customer JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT c_custkey, lower(term) AS term, regexp_extract(lower(term), '^([a-z ]+)-([a-z]{{4}})\\b', 1) AS stem, regexp_extract(lower(term), '^([a-z ]+)-([a-z]{{4}})\\b', 2) AS suffix FROM v)
 SELECT suffix, arg_min(stem, c_custkey) AS base, arg_min(term, c_custkey) AS example FROM m JOIN base ON b = stem GROUP BY suffix""")
 def suffix_harvest(spark, d):
     n = t(spark, d, "nation")
-    v = t(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.lower("n_name"), F.lit("-"), F.char(97 + F.col("c_custkey") % 7), F.lit("xyz "), "c_mktsegment").alias("term"))
-    return training.harvest_suffixes(v, n.select(F.lower("n_name").alias("base")), "c_custkey")
+    v = t(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(F.expr(_LETTERS), F.lit("-"), F.char(97 + F.col("c_custkey") % 7), F.lit("xyz "), "c_mktsegment").alias("term"))
+    return training.harvest_suffixes(v, n.select(F.expr(_LETTERS).alias("base")), "c_custkey")
 
 
 @query("""SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'radiation related ' || lower(n_name) || ' sore' END AS rotated FROM nation""")
@@ -924,3 +928,97 @@ def range_parts(spark, d):
     found = tabular.range_predicates(o.groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("n")), "o_custkey", 8)
     part = F.coalesce(*[F.when(F.expr(p), F.lit(k)) for k, p in enumerate(found)])
     return o.groupBy(part.cast("long").alias("part")).agg(F.count("*").alias("rows"))
+
+
+@query(f"""WITH base AS (SELECT DISTINCT {_LETTERS} AS b FROM nation), v AS (SELECT c_custkey, c_custkey % 5 AS k, {_LETTERS} AS n, chr(97 + (c_custkey % 11)::INT) || 'abc' AS suffix FROM customer JOIN nation ON c_nationkey = n_nationkey),
+m AS (SELECT c_custkey, n, suffix, CASE k WHEN 0 THEN n || '-' WHEN 1 THEN 'new ' || n || '-' WHEN 2 THEN 'a b ' || n || '-' WHEN 3 THEN n || ' x-' ELSE 'q-' END || suffix || ' vial' AS term, k < 3 AND length(split_part(n, ' ', 3)) = 0 AS ok FROM v)
+SELECT suffix, arg_min(n, c_custkey) AS base, arg_min(term, c_custkey) AS example FROM m WHERE ok GROUP BY suffix""")
+def suffix_last_words(spark, d):
+    """Tails behind a base name that stands alone or behind other words: all, the last two, or the last word."""
+    n, k = t(spark, d, "nation"), F.col("c_custkey") % 5
+    name = F.expr(_LETTERS)
+    stem = F.when(k == 0, name).when(k == 1, F.concat(F.lit("new "), name)).when(k == 2, F.concat(F.lit("a b "), name)).when(k == 3, F.concat(name, F.lit(" x"))).otherwise("q")
+    v = t(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.concat(stem, F.lit("-"), F.char(97 + F.col("c_custkey") % 11), F.lit("abc vial")).alias("term"))
+    return training.harvest_suffixes(v, n.select(name.alias("base")), "c_custkey")
+
+
+@query("SELECT DISTINCT l_suppkey || '|' || l_partkey AS line FROM lineitem WHERE l_quantity > 40")
+def export_bridge(spark, d):
+    return persist.export_bridge(t(spark, d, "lineitem").filter("l_quantity > 40").select("l_suppkey", "l_partkey").distinct(), "l_suppkey", "l_partkey")
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM documents WHERE doc_id % 28 + 1 >= 8),
+s AS (SELECT lang AS label, doc_id AS id, unnest({SENTENCES}) AS raw FROM r WHERE k <= 200 AND lang IN ('en', 'de')),
+c AS (SELECT label, id, {CLEAN.format("regexp_replace(raw, '\\s+', ' ', 'g')")} AS sentence FROM s),
+o AS (SELECT label, sentence, min(id) AS id FROM c WHERE len(list_filter(regexp_split_to_array(sentence, '\\s+'), lambda x: x <> '')) >= 4 GROUP BY ALL)
+SELECT label, md5(sentence) AS digest, id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY id, sentence) AS n FROM o) WHERE n <= 100""")
+def section_training(spark, d):
+    """Sentences of each section's first texts since a date, a bounded number of each."""
+    docs = t(spark, d, "documents").withColumn("label_date", F.expr("make_date(2020, 1, cast(doc_id % 28 + 1 as int))"))
+    rows = docs.select(F.col("doc_id").alias("id"), "text", "label_date", "lang")
+    out = training.section_training({k: rows.filter(F.col("lang") == k) for k in ("en", "de")}, 100, "2020-01-08")
+    return out.select("label", _digest(F.col("sentence")).alias("digest"), "id")
+
+
+@query(f"SELECT id, n, word FROM (SELECT doc_id AS id, unnest(w) AS word, unnest(range(len(w))) AS n FROM (SELECT doc_id, list_filter(regexp_split_to_array({CLEAN.format('text')}, '\\s+'), lambda x: x <> '') AS w FROM documents ORDER BY doc_id LIMIT 150)) WHERE length(word) BETWEEN 2 AND 60")
+def lemma_words(spark, d):
+    """Words of the first texts, the input of the lemma dictionary."""
+    return training.lemma_words(t(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"), 150)
+
+
+@query(f"SELECT p_partkey, term FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'with' WHEN p_partkey % 3 = 1 THEN 'X' ELSE p_name END AS term FROM part) WHERE lower(term) NOT IN ({_STOP}) AND NOT regexp_matches(lower(term), '^[a-z]$')")
+def stop_terms(spark, d):
+    k = F.col("p_partkey") % 3
+    return terminology.without_stop_terms(t(spark, d, "part").select("p_partkey", F.when(k == 0, "with").when(k == 1, "X").otherwise(F.col("p_name")).alias("term")))
+
+
+@query("SELECT DISTINCT o_orderkey AS guid, p_partkey AS aui FROM orders JOIN part ON o_custkey % 97 = p_partkey % 101 AND p_size < 6 WHERE o_custkey % 97 < 60")
+def drugs_by_ndc(spark, d):
+    """Labels to drugs by raw code and concept."""
+    labels = t(spark, d, "orders").select(F.col("o_orderkey").alias("guid"), (F.col("o_custkey") % 97).alias("ndc"))
+    concepts = spark.range(60).select(F.col("id").alias("ndc"), F.concat(F.lit("C"), F.col("id").cast("string")).alias("cui"))
+    drugs = t(spark, d, "part").filter("p_size < 6").select(F.concat(F.lit("C"), (F.col("p_partkey") % 101).cast("string")).alias("cui"), F.col("p_partkey").alias("aui"))
+    return products.drugs_by_ndc(labels, concepts, drugs)
+
+
+@query("""SELECT c_custkey, '0' || (c_custkey % 9 + 1) || '/15/2020' AS date, unnest(['AE', 'BOX']) AS section, unnest(['rash ' || c_name, 'death & ' || c_mktsegment]) AS text FROM customer
+UNION ALL SELECT c_custkey, '12/01/2021', 'AE', 'more ' || c_mktsegment FROM customer WHERE c_custkey % 3 = 0""")
+def change_pages(spark, d):
+    """Sections of safety-change pages by date."""
+    day = F.concat(F.lit("<div id=accordion><h3>0"), (F.col("c_custkey") % 9 + 1).cast("string"), F.lit("/15/2020</h3><div><h4>6 Adverse Reactions</h4><p>rash "), "c_name", F.lit("<h4>7 Other</h4><p>no<h4>Boxed Warning</h4>death &amp; "), "c_mktsegment", F.lit("</div>"))
+    more = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("<h3>12/01/2021</h3><h4>6.1 Trials</h4>no<h4>6 Adverse Reactions</h4>more "), "c_mktsegment")).otherwise("")
+    return t(spark, d, "customer").select("c_custkey", F.explode(html.change_rows(F.concat(day, more))).alias("s")).select("c_custkey", "s.*")
+
+
+@query("SELECT s_suppkey, chr(39) || replace(replace(s_name || CASE WHEN s_suppkey % 2 = 0 THEN chr(39) || chr(92) ELSE '' END, chr(92), chr(92) || chr(92)), chr(39), chr(39) || chr(39)) || chr(39) AS quoted FROM supplier")
+def sql_quote(spark, d):
+    return t(spark, d, "supplier").select("s_suppkey", text.sql_quote(F.concat("s_name", F.when(F.col("s_suppkey") % 2 == 0, "'\\").otherwise(""))).alias("quoted"))
+
+
+@query("SELECT 99 + row_number() OVER (ORDER BY 'A' || p_partkey) AS id, 'A' || p_partkey AS aui, p_brand AS cui, p_size::VARCHAR AS code, p_name AS term, 'IN' AS tty FROM part")
+def vocabulary_table(spark, d):
+    """A vocabulary's table, as the build makes it."""
+    p = t(spark, d, "part").select(F.concat(F.lit("A"), F.col("p_partkey").cast("string")).alias("aui"), F.col("p_brand").alias("cui"), F.col("p_size").cast("string").alias("code"), F.col("p_name").alias("term"), F.lit("IN").alias("tty"))
+    return build.tables(_no_events(spark), _no_atoms(spark), _one_product(spark), {"rxnorm_terms": p})["rxnorm"]
+
+
+@query("""WITH x AS (SELECT 'g' || doc_id AS guid, date '2020-01-01' + (doc_id % 300)::INT AS label_date, left(replace(text, chr(39), ''), 15800) AS spl_text FROM documents WHERE doc_id % 3 = 0)
+SELECT 99 + row_number() OVER (ORDER BY guid) AS id, guid, strftime(label_date, '%Y-%m-%d') AS label_date, md5(spl_text) AS digest FROM x""")
+def text_table(spark, d):
+    """The table of adverse-event texts, as the build makes it."""
+    plain = text.sanitize_literal(F.replace("text", F.lit("'"), F.lit("")))
+    texts = t(spark, d, "documents").select(F.concat(F.lit("g"), F.col("doc_id").cast("string")).alias("guid"), F.when(F.col("doc_id") % 3 == 0, "AE").otherwise("IND").alias("section"), F.expr("date_add(date '2020-01-01', cast(doc_id % 300 as int))").alias("label_date"), plain.alias("spl_text"))
+    out = build.tables(_no_events(spark), _no_atoms(spark), _one_product(spark), {"texts": texts})["spl_ae_text"]
+    return out.select("id", "guid", F.date_format("label_date", "yyyy-MM-dd").alias("label_date"), _digest(F.col("spl_text")).alias("digest"))
+
+
+def _no_events(spark):
+    return spark.createDataFrame([], "product string, section string, match string, aui string, first_added date, sources array<string>")
+
+
+def _no_atoms(spark):
+    return spark.createDataFrame([], "aui string, cui string, code string, pt_code string, term string, tty string, sab string")
+
+
+def _one_product(spark):
+    return spark.createDataFrame([("g1", "g1")], "guid string, winner string")

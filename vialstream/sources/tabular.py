@@ -73,6 +73,13 @@ def stop_phrases(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.lower(F.trim("value")).alias("phrase")).filter("phrase <> '' AND NOT startswith(phrase, '#')").distinct()
 
 
+def suffix_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """(suffix, base_name, example_term, source, updated) of a catalogue of four-letter suffixes; the last row of a suffix counts."""
+    r = _read(spark, path, ["suffix", "base_name", "example_term", "source", "updated"]).withColumn("suffix", F.lower(F.trim("suffix"))).filter("suffix RLIKE '^[a-z]{4}$'")
+    r = r.withColumn("updated", F.expr("try_to_date(updated, 'yyyy-MM-dd')"))
+    return r.groupBy("suffix").agg(F.max_by(F.struct("base_name", "example_term", "source", "updated"), "_row").alias("r")).select("suffix", "r.*")
+
+
 def pipe_file(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A terminology table from its public pipe-delimited file (a trailing pipe ends each line)."""
     parts = F.split("value", r"\|")

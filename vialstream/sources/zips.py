@@ -124,8 +124,10 @@ def right_class(rows: DataFrame) -> DataFrame:
     return rows.filter(~wrong)
 
 
-def label_guids(manifest: DataFrame) -> DataFrame:
-    """(guid, source_type, xml_names) of manifest rows (zip_name, xml_name, source_type) without blanks."""
+def label_guids(manifest: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """(guid, source_type, xml_names) of manifest rows (zip_name, xml_name, source_type) without blanks; with ``existing``
+    (xml_name) only of files that are there."""
     guid = F.regexp_replace(F.regexp_extract("zip_name", r"_(.*)$", 1), r"\.zip$", "")
     ok = manifest.filter("trim(zip_name) <> '' AND trim(xml_name) <> '' AND trim(source_type) <> ''").withColumn("guid", guid).filter("guid <> ''")
+    ok = ok if existing is None else ok.join(existing.select("xml_name").distinct(), "xml_name", "left_semi")
     return ok.groupBy("guid", "source_type").agg(F.array_sort(F.collect_set("xml_name")).alias("xml_names"))
