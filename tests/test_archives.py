@@ -59,14 +59,14 @@ def test_every_entry_is_kept_or_rejected(spark, tmp_path):
         k = small.index(sign) + skip
         small[k : k + 4] = (10).to_bytes(4, "little")
     rows = spark.createDataFrame([("g.zip", bytearray(good)), ("b.zip", broken), ("l.zip", small), ("n.zip", bytearray(b"none")), ("0.zip", None)], "zip_name string, content binary").select("zip_name", F.lit("otc").alias("source_type"), F.lit(2020).alias("year"), "content")
-    found, seen = zips.watched(zips.entries(rows, 3000))
+    found = zips.entries(rows, 3000)
     got = {(r["zip_name"], r["xml_name"]): r["reason"] for r in found.collect()}
     assert got == {
         ("g.zip", "a.xml"): None, ("g.zip", "b.XML"): None, ("g.zip", "c.txt"): "not xml", ("g.zip", "../d.xml"): "unsafe name", ("g.zip", "big.xml"): "too large",
         ("b.zip", "ok.xml"): None, ("b.zip", "bad.xml"): "broken entry", ("l.zip", "lie.xml"): got[("l.zip", "lie.xml")], ("n.zip", None): "broken archive", ("0.zip", None): "broken archive",
     }
     assert got[("l.zip", "lie.xml")] in ("too large", "broken entry")
-    n = seen.get
+    n = zips.counted(found).first().asDict()
     assert n["entries"] == len(got) == n["kept"] + sum(n[r.replace(" ", "_")] for r in zips.REASONS) and n["kept"] == 3 and n["broken_archive"] == 2
     assert {r["xml_name"] for r in zips.expand(rows, 3000).collect()} == {"a.xml", "b.XML", "ok.xml"}
     assert zips.entries(rows.filter("false")).collect() == []
@@ -89,12 +89,14 @@ def test_a_file_in_two_batches_is_one_row(spark, root, tmp_path):
 def test_a_stream_and_a_batch_share_the_state(spark, root, tmp_path):
     store, at = str(tmp_path / "store"), str(tmp_path / "checkpoint")
     stream = lambda: ingest.archive_stream(spark, str(root / "2020"), per_batch=1)
-    ingest.into_manifest(stream(), store, at, "labels")
+    put(root, "2020/otc/2020_c.zip", raw=b"none")
+    counts = ingest.into_manifest(stream(), store, at, "labels")
+    assert sum(c["entries"] for c in counts) == 3 and sum(c["kept"] for c in counts) == 2 and sum(c["broken_archive"] for c in counts) == 1
     ingest.into_manifest(stream(), store, at, "labels")  # nothing new
-    assert len(commit.versions(store)) == 2 and manifest.current(spark, store).count() == 2
+    assert len(commit.versions(store)) == 3 and manifest.current(spark, store).count() == 2
     # the stream forgets what it read: its batches are there already
     ingest.into_manifest(stream(), store, str(tmp_path / "other"), "labels")
-    assert len(commit.versions(store)) == 2
+    assert len(commit.versions(store)) == 3
     manifest.record(zips.entries(zips.archives(spark, str(root), last=2030)), store, ("batch", 0))
     got = {(r["zip_name"], r["version"]) for r in manifest.current(spark, store).collect()}
-    assert got == {("2005_a.zip", 3), ("2020_a.zip", 3), ("2020_b.zip", 3)}
+    assert got == {("2005_a.zip", 4), ("2020_a.zip", 4), ("2020_b.zip", 4)}

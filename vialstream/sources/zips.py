@@ -9,7 +9,7 @@ import zipfile
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,11 +104,19 @@ def entries(files: DataFrame, most: int = spl.MOST_BYTES) -> DataFrame:
     return files.withColumn("e", F.explode(found("content"))).select("zip_name", "source_type", "year", "e.*")
 
 
-def watched(rows: DataFrame, name: str = "entries") -> tuple[DataFrame, Observation]:
-    """``entries`` rows, counted while an action reads them: all, kept, and those of each reason."""
-    seen = Observation(name)
+def _counts() -> list[Column]:
     each = [F.count_if(F.col("reason") == r).alias(r.replace(" ", "_")) for r in REASONS]
-    return rows.observe(seen, F.count(F.lit(1)).alias("entries"), F.count_if(F.col("reason").isNull()).alias("kept"), *each), seen
+    return [F.count(F.lit(1)).alias("entries"), F.count_if(F.col("reason").isNull()).alias("kept"), *each]
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """One row: how many ``entries`` rows there are, how many are kept, and how many have each reason."""
+    return rows.agg(*_counts())
+
+
+def watched(rows: DataFrame, name: str = "entries") -> DataFrame:
+    """``entries`` rows of a stream; each batch's progress has the counts among its observed metrics, without a pass of their own."""
+    return rows.observe(name, *_counts())
 
 
 def expand(files: DataFrame, most: int = spl.MOST_BYTES) -> DataFrame:

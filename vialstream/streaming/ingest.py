@@ -26,10 +26,16 @@ def parsed(files: DataFrame) -> DataFrame:
     return spl.labels(zips.right_class(zips.expand(named(files))))
 
 
-def into_manifest(stream: DataFrame, root: str, checkpoint: str, name: str) -> None:
-    """All files there are into the manifest below ``root``, each batch once, even if the stream runs it again."""
-    sink = lambda b, n: manifest.record(zips.entries(named(b)), root, (name, n))
-    stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def into_manifest(stream: DataFrame, root: str, checkpoint: str, name: str) -> list[dict]:
+    """All files there are into the manifest below ``root``, each batch once, even if the stream runs it again.
+
+    Returns what each batch that ran has counted: entries, kept ones, and those of each reason.
+    """
+    sink = lambda b, n: manifest.record(b, root, (name, n))
+    rows = zips.watched(zips.entries(named(stream)))
+    q = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return [p.observedMetrics["entries"].asDict() for p in q.recentProgress if "entries" in p.observedMetrics]
 
 
 def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
