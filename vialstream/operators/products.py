@@ -35,10 +35,18 @@ def union_by_priority(parts: list[DataFrame], key: str = "guid") -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_part")
 
 
-def classes_of(product_ndcs: DataFrame, ndc_class: DataFrame) -> DataFrame:
-    """(product, ndc, class_aui): the greatest class atom of each normalised code."""
-    last = ndc_class.groupBy("ndc").agg(F.max("class_aui").alias("class_aui"))
-    return product_ndcs.withColumn("ndc", codes.normalize_ndc(F.col("ndc"))).filter("ndc <> ''").join(last, "ndc").select("product", "ndc", "class_aui").distinct()
+def classes_of(product_ndcs: DataFrame, ndc_class: DataFrame, raw: bool = False) -> DataFrame:
+    """(product, ndc, class_aui): the greatest class atom of each normalised code; with ``raw`` the code stays as it was."""
+    last = ndc_class.groupBy(F.col("ndc").alias("_norm")).agg(F.max("class_aui").alias("class_aui"))
+    rows = product_ndcs.withColumn("_norm", codes.normalize_ndc(F.col("ndc"))).filter("_norm <> ''").join(last, "_norm")
+    return rows.select("product", "ndc" if raw else F.col("_norm").alias("ndc"), "class_aui").distinct()
+
+
+def with_brands(links: DataFrame, brands: DataFrame, key: str = "product") -> DataFrame:
+    """(key, aui): links, and the brand names of the branded drugs among them; brands (drug_aui, brand_aui)."""
+    own = links.select(key, "aui")
+    more = own.join(brands.select(F.col("drug_aui").alias("aui"), "brand_aui"), "aui").select(key, F.col("brand_aui").alias("aui"))
+    return own.unionByName(more).distinct()
 
 
 def first_approvals(rows: DataFrame) -> DataFrame:
@@ -61,6 +69,22 @@ def fill_approvals(labels: DataFrame, approvals: DataFrame) -> DataFrame:
     return labels.join(approvals, "appl_no", "left").withColumn("label_date", F.coalesce("label_date", "approved")).drop("approved")
 
 
+def approved_labels(labels: DataFrame, approvals: DataFrame, sponsors: DataFrame) -> DataFrame:
+    """(product, guid, application_number, approval_date, sponsor): one row for each label of a product.
+
+    labels (product, guid, appl_no, label_date), approvals (appl_no, approved), sponsors (appl_no, sponsor).  A label without a
+    date of its own gets the approval of the first label (by guid) of its product whose application has one; a date it has
+    stays.  A product's sponsor is that of its last label (by guid) whose application has one.  Of several rows of one label
+    the least date and the greatest number count; a label without a number has 0.
+    """
+    one = labels.groupBy("product", "guid").agg(F.max("appl_no").alias("appl_no"), F.min("label_date").alias("label_date"))
+    known = one.join(approvals.select("appl_no", "approved"), "appl_no", "left").join(sponsors.select("appl_no", "sponsor"), "appl_no", "left")
+    has = lambda c: F.when(F.col(c).isNotNull(), F.col("guid"))
+    of = known.groupBy("product").agg(F.min_by("approved", has("approved")).alias("approved"), F.max_by("sponsor", has("sponsor")).alias("sponsor"))
+    number, day = F.coalesce("appl_no", F.lit(0)), F.coalesce("label_date", "approved")
+    return one.join(of, "product").select("product", "guid", number.alias("application_number"), day.alias("approval_date"), "sponsor")
+
+
 def conflicts(rows: DataFrame, key: str, value: str) -> DataFrame:
     """(key, n): keys with several values."""
     return rows.groupBy(key).agg(F.count_distinct(value).alias("n")).filter("n > 1")

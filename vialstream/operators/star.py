@@ -49,6 +49,12 @@ def source_files(files: DataFrame, root: str = "", number: Number = persist.numb
     return ids.join(first, "guid").select("src_id", "product", "guid", "xml_name", source_type(F.col("xml_name")).alias("source_type_id"), (F.col("src_id") == F.col("_first")).alias("canonical"))
 
 
+def approved_files(files: DataFrame, labels: DataFrame) -> DataFrame:
+    """``source_files`` rows with application_number, nda_sponsor and approval_date of ``products.approved_labels`` rows; unknown labels have number 0."""
+    own = labels.select("product", "guid", "application_number", F.col("sponsor").alias("nda_sponsor"), "approval_date")
+    return files.join(own, ["product", "guid"], "left").fillna(0, ["application_number"]).select(*files.columns, "application_number", "nda_sponsor", "approval_date")
+
+
 def code_tables(names: DataFrame, classes: DataFrame, number: Number = persist.numbered) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The code table (ndc_id, ndc, name, hash), product links (product, ndc_id), and class links (product, ndc_id, atc_id).
 

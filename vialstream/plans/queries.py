@@ -1022,3 +1022,55 @@ def _no_atoms(spark):
 
 def _one_product(spark):
     return spark.createDataFrame([("g1", "g1")], "guid string, winner string")
+
+
+_WINNERS = "w AS (SELECT winner, 99 + row_number() OVER (ORDER BY winner) AS product_id FROM (SELECT DISTINCT 'p' || o_custkey % 50 AS winner FROM orders))"
+
+
+def _order_labels(spark, d):
+    """Each order as a label of one of 50 products."""
+    o = t(spark, d, "orders")
+    return o.select(F.concat(F.lit("g"), F.col("o_orderkey").cast("string")).alias("guid"), F.concat(F.lit("p"), (F.col("o_custkey") % 50).cast("string")).alias("winner"), "o_orderkey", "o_custkey", "o_orderdate")
+
+
+@query(f"""WITH {_WINNERS}, l AS (SELECT 'g' || o_orderkey AS guid, 'p' || o_custkey % 50 AS winner, CASE WHEN o_custkey % 3 > 0 THEN o_custkey END AS appl_no, CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate::DATE END AS label_date FROM orders),
+k AS (SELECT l.*, CASE WHEN appl_no % 4 = 0 THEN date '1990-01-01' + (appl_no % 900)::INT END AS approved, c_name AS sponsor FROM l LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 5 > 0) ON c_custkey = appl_no),
+b AS (SELECT winner, arg_min(approved, guid) FILTER (WHERE approved IS NOT NULL) AS approved, arg_max(sponsor, guid) FILTER (WHERE sponsor IS NOT NULL) AS sponsor FROM k GROUP BY winner)
+SELECT 99 + row_number() OVER (ORDER BY product_id, guid) AS src_id, product_id AS product, guid, coalesce(appl_no, 0) AS application_number, b.sponsor AS nda_sponsor, strftime(coalesce(label_date, b.approved), '%Y-%m-%d') AS approval_date FROM k JOIN w USING (winner) JOIN b USING (winner)""")
+def approved_files(spark, d):
+    """The source files of the build with applications, approval dates that fill in, and sponsors."""
+    o = _order_labels(spark, d)
+    number = F.when(F.col("o_custkey") % 3 > 0, F.col("o_custkey"))
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("appl_no"), "c_name")
+    more = {
+        "files": o.select("guid", F.concat(F.lit("/x/otc/"), "guid").alias("path")), "labels": o.select("guid", number.alias("appl_no"), F.when(F.col("o_orderkey") % 3 > 0, F.to_date("o_orderdate")).alias("label_date")),
+        "approvals": c.filter("appl_no % 4 = 0").select("appl_no", F.expr("date_add(date '1990-01-01', cast(appl_no % 900 as int))").alias("approved")), "sponsors": c.filter("appl_no % 5 > 0").select("appl_no", F.col("c_name").alias("sponsor")),
+    }
+    out = build.tables(_no_events(spark), _no_atoms(spark), o.select("guid", "winner"), more)["spl_srcfile"]
+    return out.select("src_id", "product", "guid", "application_number", "nda_sponsor", F.date_format("approval_date", "yyyy-MM-dd").alias("approval_date"))
+
+
+@query(f"""WITH {_WINNERS}, last AS (SELECT p_partkey % 500 AS k, max(p_partkey) AS class_aui FROM part GROUP BY 1)
+SELECT DISTINCT product_id AS product, lpad((o_orderkey % 700)::VARCHAR, 5, '0') || '-0001' AS ndc, class_aui + 7 AS atc_id FROM orders JOIN w ON winner = 'p' || o_custkey % 50 JOIN last ON k = o_orderkey % 700 WHERE o_orderkey % 2 = 0 AND class_aui % 3 > 0""")
+def product_classes(spark, d):
+    """Classes that the build finds by its labels' codes, behind the codes as they were written."""
+    o = _order_labels(spark, d)
+    five = lambda c: F.lpad(c.cast("string"), 5, "0")
+    p = t(spark, d, "part").select(five(F.col("p_partkey") % 500).alias("k"), F.col("p_partkey").alias("aui"))
+    more = {
+        "codes": o.select("guid", F.concat(five(F.col("o_orderkey") % 700), F.when(F.col("o_orderkey") % 2 == 0, "-0001").otherwise("-01")).alias("ndc")), "code_classes": p.select(F.concat("k", F.lit("0001")).alias("ndc"), F.col("aui").alias("class_aui")),
+        "atc_atoms": p.filter("aui % 3 > 0").select("aui", (F.col("aui") + 7).alias("id")), "names": spark.createDataFrame([], "guid string, aui string, ndc string, name string"),
+    }
+    out = build.tables(_no_events(spark), _no_atoms(spark), o.select("guid", "winner"), more)
+    return out["substance_atc"].join(out["ndc_code"], "ndc_id").select("product", "ndc", "atc_id")
+
+
+@query(f"""WITH {_WINNERS}, own AS (SELECT DISTINCT product_id AS product, o_orderkey % 60 AS aui FROM orders JOIN w ON winner = 'p' || o_custkey % 50 WHERE o_orderkey % 5 = 0),
+b AS (SELECT DISTINCT p_partkey % 40 AS aui, 100 + p_partkey % 7 AS brand_aui FROM part)
+SELECT product, aui AS rxnorm_id FROM own WHERE aui > 0 UNION SELECT product, brand_aui FROM own JOIN b USING (aui)""")
+def brand_concepts(spark, d):
+    """Drug concepts of products in the build, the brand names of their branded drugs among them."""
+    o = _order_labels(spark, d)
+    brands = t(spark, d, "part").select((F.col("p_partkey") % 40).alias("drug_aui"), (100 + F.col("p_partkey") % 7).alias("brand_aui"))
+    more = {"rxnorm": o.filter("o_orderkey % 5 = 0").select("guid", (F.col("o_orderkey") % 60).alias("aui")), "brand_names": brands, "rxnorm_atoms": spark.range(107).select(F.col("id").alias("aui"), "id")}
+    return build.tables(_no_events(spark), _no_atoms(spark), o.select("guid", "winner"), more)["substance_rxnorm"]
