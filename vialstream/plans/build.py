@@ -104,7 +104,8 @@ def tables(e: DataFrame, atoms: DataFrame, winners: DataFrame, more: dict[str, D
     products = winners.select(F.col("winner").alias("product"), "guid")
     none = products.sparkSession.createDataFrame([], "guid {}, substance_id long".format(dict(products.dtypes)["guid"]))
     substances = persist.durable_product_ids(products, none, f"{ids}/substance") if ids else persist.numbered(products.select("product").distinct(), ["product"], "id")
-    product_of = winners.join(substances, winners["winner"] == substances["product"]).select("guid", F.col("id").alias("product"))
+    # each table below joins its labels to these: the join of winners and ids is made once
+    product_of = merge.shared_folder(winners.join(substances, winners["winner"] == substances["product"]).select("guid", F.col("id").alias("product")), "products")
     own = lambda name: more[name].join(product_of, "guid")
     named = e.withColumnRenamed("product", "guid").join(product_of.withColumnRenamed("product", "product_id"), "guid")
     keys = named.groupBy("product_id", "section", "match", "aui").agg(F.min("first_added").alias("label_date"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("sources")))).alias("sources"))
