@@ -56,6 +56,7 @@ def test_classifier_in_the_build(spark):
     left = lambda section, **k: [r["sentence"] for r in build.gated(s, model, section, **k).collect()]
     assert left("IND") == ["Indicated for TREATMENT of pain"] and left("AE") == ["Adverse reactions were rash"]
     assert len(left("BOX")) == 2 and build.gated(s, None, "IND") is s and build.gated(s, model, "IND").columns == s.columns
+    assert left("BOX", box=True) == []  # the model has no such section: nothing is left for it
     section = "struct<section:string,found_by:int,section_date:string,text:string>"
     schema = f"guid string, label struct<label_date:string,sections:array<{section}>>"
     text = "Indicated for treatment of pain. Adverse reactions were rash."

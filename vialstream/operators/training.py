@@ -36,12 +36,12 @@ def section_model(rows: DataFrame, cutoff: int = 2, steps: int = 30):
 
 
 def gate(rows: DataFrame, model, section: str, least: float = 0.25) -> DataFrame:
-    """Rows that the classifier doesn't give to another section with less than ``least`` left for this one."""
+    """Rows that the classifier doesn't give to another section with less than ``least`` left for this one; none of a section it never saw."""
     from pyspark.ml.functions import vector_to_array
 
     labels = model.stages[-2].labels
     if section not in labels:
-        return rows
+        return rows.filter(F.lit(False))
     at = labels.index(section)
     scored = model.transform(rows.withColumn("label", F.lit(section)))
     ok = (F.col("prediction") == at) | (vector_to_array("probability")[at] >= least)
