@@ -137,7 +137,8 @@ Lemmatiser = tuple[tagging.Tagger, tagging.Lemmas]
 
 def _words(spark: SparkSession, sentence: Column, stemmed: bool, lemmas: Lemmatiser | None = None) -> Column:
     if not stemmed:
-        return text.join_possessives(text.words(sentence))
+        w = text.words(sentence)
+        return F.when(sentence.contains("'") | sentence.contains("\u0001"), text.join_possessives(w)).otherwise(w)
     w = text.words(text.remove_stopwords(sentence))
     return stem_words(tagging.lemmatised(spark, *lemmas, w) if lemmas else w)
 
@@ -161,16 +162,20 @@ def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept:
     found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), _words(spark, F.col("sentence"), stemmed, lemmas))
     entries = spark.createDataFrame(pa.table({"_no": keys.indices, "key": known.column("key"), "tty": known.column("tty"), "auis": known.column("auis")}))
     cols = rows.columns
+    canonical = {k: n for n, k in enumerate(numbers) if k in {key for *_, key in LAB_TRIGGERS}} if labs else {}
     one = lambda n, lab: F.struct(n.cast("int").alias("_no"), F.lit(lab).alias("lab"))
-    rows = rows.withColumn("_hits", found)
-    all_hits = F.transform("_hits", lambda n: one(n, False))
-    if labs:
-        canonical = {k: n for n, k in enumerate(numbers) if k in {key for *_, key in LAB_TRIGGERS}}
+    rows = rows.withColumn("_found", found)
+    hits = F.col("_found")
+    if canonical:
         number = lambda k: reduce(lambda out, x: F.when(k == x[0], F.lit(x[1])).otherwise(out), canonical.items(), F.lit(-1))
-        all_hits = F.concat(all_hits, F.filter(F.transform(lab_keys(F.col("sentence")), lambda k: one(number(k), True)), lambda x: x["_no"] >= 0))
-    rows = kept(rows.withColumn("_hits", all_hits).filter(F.size("_hits") > 0))
+        raised = F.filter(F.transform(lab_keys(F.col("sentence")), lambda k: one(number(k), True)), lambda x: x["_no"] >= 0)
+        hits = F.concat(F.transform(hits, lambda n: one(n, False)), raised)
+    # out of a generator the hits are a column; out of a projection each use below would compute them anew
+    rows = kept(rows.select(*cols, F.explode(F.array(hits)).alias("_hits")).filter(F.size("_hits") > 0))
     more = [c for c in rows.columns if c not in cols and c != "_hits"]
-    return rows.select(*cols, *more, F.explode("_hits").alias("_x")).select(*cols, *more, "_x._no", "_x.lab").join(F.broadcast(entries), "_no").drop("_no")
+    rows = rows.select(*cols, *more, F.explode("_hits").alias("_x"))
+    rows = rows.select(*cols, *more, "_x._no", "_x.lab") if canonical else rows.select(*cols, *more, F.col("_x").alias("_no"), F.lit(False).alias("lab"))
+    return rows.join(F.broadcast(entries), "_no").drop("_no")
 
 
 def match(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, labs: bool = False, kept: Callable[[DataFrame], DataFrame] = lambda rows: rows, lemmas: Lemmatiser | None = None) -> DataFrame:
@@ -262,17 +267,25 @@ def allowed_locally(sentence: Column, key: Column) -> Column:
     return ~may_suppress(sentence) | (F.size(places) == 0) | F.exists(places, lambda at: ~suppressed(at))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def drop_generic(keys: Column) -> Column:
     """Keys whose words are not all among those of a longer key."""
     parts = F.transform(keys, lambda k: F.struct(k.alias("k"), F.split(k, r"\s+").alias("w")))
-    return F.transform(F.filter(parts, lambda a: ~F.exists(parts, lambda b: (F.size(b["w"]) > F.size(a["w"])) & (F.size(F.array_except(a["w"], b["w"])) == 0))), lambda p: p["k"])
+    longer = lambda a, b: (F.size(b["w"]) > F.size(a["w"])) & (F.size(F.array_except(a["w"], b["w"])) == 0)
+    return _bound(parts, lambda p: F.transform(F.filter(p, lambda a: ~F.exists(p, lambda b: longer(a, b))), lambda x: x["k"]))
 
 
 def absorb(keys: Column) -> Column:
     """Keys without those that a composite key stands for."""
-    for whole, part in COMPOSITES:
-        keys = F.when(F.array_contains(keys, whole), F.array_except(keys, F.array(F.lit(part)))).otherwise(keys)
-    return keys
+
+    def one(keys: Column, whole: str, part: str) -> Column:
+        return _bound(keys, lambda k: F.when(F.array_contains(k, whole), F.array_except(k, F.array(F.lit(part)))).otherwise(k))
+
+    return reduce(lambda out, c: one(out, *c), COMPOSITES, keys)
 
 
 def without_antonyms(hits: DataFrame, antonyms: DataFrame, ids: list[str]) -> DataFrame:
@@ -287,7 +300,8 @@ def without_antonyms(hits: DataFrame, antonyms: DataFrame, ids: list[str]) -> Da
 def lab_keys(sentence: Column) -> Column:
     """Canonical keys of laboratory values that a sentence calls raised."""
     found = F.array(*[F.when(sentence.rlike(f"(?i){a}") & sentence.rlike(f"(?i){up}"), F.lit(k)) for a, up, k in LAB_TRIGGERS])
-    return F.when(sentence.rlike(any_of(tuple(a for a, _, _ in LAB_TRIGGERS))), F.filter(found, lambda k: k.isNotNull())).otherwise(F.array().cast("array<string>"))
+    some = has_any(F.lower(sentence), ("bilirubin", "alkaline", "ast", "aspartate"))
+    return F.when(some & sentence.rlike(any_of(tuple(a for a, _, _ in LAB_TRIGGERS))), F.filter(found, lambda k: k.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def _type_rank(section: str) -> Column:
@@ -306,7 +320,7 @@ def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed:
     """
     ids = [c for c in rows.columns if c != "sentence"]
     # out of a generator a sentence is a column; out of a projection each filter below would compute it anew
-    rows = rows.select(*ids, F.explode(F.array(text.normalize_punct(F.trim(F.lower("sentence"))))).alias("sentence")).filter(F.trim("sentence") != "")
+    rows = rows.select(*ids, F.explode(F.transform(F.array(F.trim(F.lower("sentence"))), text.normalize_punct)).alias("sentence")).filter(F.trim("sentence") != "")
     hits = match(rows, entries, section, stemmed, section != "IND", lambda r: r.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence"))), lemmas)
     hits = hits if section != "IND" else hits.withColumn("lab", F.lit(False))
     # the sentence's own flag keeps the costly test from sentences without any cue
