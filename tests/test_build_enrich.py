@@ -36,6 +36,17 @@ def test_brands_join_links_once(spark):
     assert got == [("g", "B1"), ("g", "B2"), ("g", "D1"), ("h", "D2"), ("i", "")]
 
 
+def test_copies_of_brands_go_before_the_join(spark):
+    """2e9 rows would come from this join with its copies, 4 without."""
+    links = spark.range(40_000).selectExpr("'g' AS product", "concat('D', id % 2) AS aui")
+    brands = spark.range(100_000).selectExpr("concat('D', id % 2) AS drug_aui", "concat('B', id % 4) AS brand_aui")
+    out = products.with_brands(links, brands)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join Inner") :]
+    assert below.count("Aggregate") == 2, plan
+    assert sorted(r["aui"] for r in out.collect()) == ["B0", "B1", "B2", "B3", "D0", "D1"]
+
+
 def test_source_files_without_labels_rows(spark):
     """A file whose guid no label row has keeps its row, with number 0; without approvals and sponsors nothing is filled."""
     events = spark.createDataFrame([], "product string, section string, match string, aui string, first_added date, sources array<string>")

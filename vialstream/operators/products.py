@@ -43,9 +43,12 @@ def classes_of(product_ndcs: DataFrame, ndc_class: DataFrame, raw: bool = False)
 
 
 def with_brands(links: DataFrame, brands: DataFrame, key: str = "product") -> DataFrame:
-    """(key, aui): links, and the brand names of the branded drugs among them; brands (drug_aui, brand_aui)."""
-    own = links.select(key, "aui")
-    more = own.join(brands.select(F.col("drug_aui").alias("aui"), "brand_aui"), "aui").select(key, F.col("brand_aui").alias("aui"))
+    """(key, aui): links, and the brand names of the branded drugs among them; brands (drug_aui, brand_aui).
+
+    Copies of a pair of drug and brand go before the join, which they would multiply.
+    """
+    own = links.select(key, "aui").distinct()
+    more = own.join(brands.select(F.col("drug_aui").alias("aui"), "brand_aui").distinct(), "aui").select(key, F.col("brand_aui").alias("aui"))
     return own.unionByName(more).distinct()
 
 
