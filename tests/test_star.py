@@ -114,3 +114,14 @@ def test_section_texts(spark):
     assert got == {("g", "IND"): ("2019-03-05", "It''s for rash."), ("g", "AE"): ("2020-01-01", "Pain.")}
     found = {s["section"]: s["found_by"] for s in labels.first()["label"]["sections"]}
     assert found == {"IND": 1, "AE": 2}
+
+
+def test_same_atoms_meet_by_all_keys(spark):
+    rows = [(1, "C1", "PT", "Rash "), (2, "C1", "PT", " RASH"), (3, "C1", "PT", "pain"), (4, "C1", "LLT", "rash"), (5, None, "PT", "rash"), (6, "C2", "PT", None), (7, "C2", "PT", "  ")]
+    a = spark.createDataFrame(rows, "a int, cui string, tty string, term string")
+    b = spark.createDataFrame(rows, "b int, cui string, tty string, of_term string")
+    out = star.same_atoms(a, b)
+    assert sorted((r["a"], r["b"]) for r in out.collect() if r["a"] < r["b"]) == [(1, 2), (6, 7)]
+    # the term is a key of the join, not a filter on all pairs of a concept and type
+    join = next(line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line)
+    assert "_plain" in join, join

@@ -92,10 +92,21 @@ def kept(products: DataFrame) -> DataFrame:
     return products.filter(F.coalesce("save", F.lit(False)))
 
 
+def _plain(term: Column) -> Column:
+    return F.lower(F.trim(F.coalesce(term, F.lit(""))))
+
+
 def same_atom(cui: Column, tty: Column, term: Column, of_cui: Column, of_tty: Column, of_term: Column) -> Column:
     """Whether two atoms agree in concept, type and (trimmed, in any case) term; a null concept or type never agrees, a null term is empty."""
-    low = lambda c: F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    return F.coalesce((cui == of_cui) & (tty == of_tty) & (low(term) == low(of_term)), F.lit(False))
+    return F.coalesce((cui == of_cui) & (tty == of_tty) & (_plain(term) == _plain(of_term)), F.lit(False))
+
+
+def same_atoms(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Pairs of rows of ``a`` (cui, tty, term, ...) and ``b`` (cui, tty, of_term, ...) that are the ``same_atom``.
+
+    All three are keys of the join, so that a row meets only those it agrees with.
+    """
+    return a.withColumn("_plain", _plain(F.col("term"))).join(b.withColumn("_plain", _plain(F.col("of_term"))), ["cui", "tty", "_plain"]).drop("_plain")
 
 
 def atom_line(columns: tuple, sep: str = "|") -> Column:
