@@ -75,3 +75,13 @@ def test_classifier_in_the_build(spark):
     atoms = spark.createDataFrame([("A1", "C1", "1", "1", "Pain", "PT", "MDR"), ("A2", "C2", "2", "2", "Rash", "PT", "MDR")], "aui string, cui string, code string, pt_code string, term string, tty string, sab string")
     found = lambda m: {r["aui"] for r in build.label_events(labels, atoms, model=m).collect()}
     assert found(None) == {"A1", "A2"} and found(model) == {"A2"}
+
+
+def test_drugs_by_code_once_without_a_shuffle_of_the_pairs(spark):
+    labels = spark.createDataFrame([("g", "1"), ("g", "1"), ("g", "2"), ("h", "2"), ("i", "9"), ("j", None), (None, "3")], "guid string, ndc string")
+    concepts = spark.createDataFrame([("C1", "1"), ("C2", "2"), ("C2", "2"), ("C3", "3"), ("C1", "2"), (None, "2")], "cui string, ndc string")
+    drugs = spark.createDataFrame([("C1", "a"), ("C2", "a"), ("C2", "a"), ("C2", "b"), ("C3", "c"), ("C4", "d"), (None, "e")], "cui string, aui string")
+    out = products.drugs_by_ndc(labels, concepts, drugs)
+    assert sorted(((r["guid"] or "", r["aui"]) for r in out.collect())) == [("", "c"), ("g", "a"), ("g", "b"), ("h", "a"), ("h", "b")]
+    top = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in top[: top.index("Join")], top
