@@ -62,3 +62,26 @@ def test_phrases_of_a_file(spark, tmp_path):
     rows = spark.createDataFrame([(1, "The cat, AS WELL as a well-fed dog!"), (2, "in the absence of the well as well as"), (3, None), (4, ""), (5, "as well"), (6, "x the y")], "id int, t string")
     got = {r["id"]: r["c"] for r in rows.select("id", text.without_phrases(spark, F.col("t"), phrases).alias("c")).collect()}
     assert got == {1: "cat well-fed dog", 2: "", 3: "", 4: "", 5: "as", 6: ""}
+
+
+def test_batches_are_walked_in_slices(monkeypatch):
+    """No walk sees more words than the bound, but for a longer row; the result is that of the whole batch."""
+    import random
+
+    import pyarrow as pa
+
+    from vialstream.operators import trie
+
+    r = random.Random(2)
+    rows = [[r.choice("abcdef") for _ in range(r.choice((0, 3, 9, 40)))] for _ in range(200)] + [None, ["a"] * 500, []]
+    lists, t = pa.array(rows, pa.list_(pa.string())), trie.Trie([["a", "b"], ["c"], ["a", "b", "d"]])
+    seen = []
+
+    def noted(f):
+        return lambda part: (seen.append((len(part), len(part.flatten()))), f(part, t))[1]
+
+    monkeypatch.setattr(trie, "MOST_WORDS", 100)
+    for f in (trie.keys_in, trie.without_keys):
+        assert trie._sliced(lists, noted(f)).to_pylist() == f(lists, t).to_pylist()
+    assert all(words <= 100 or n == 1 for n, words in seen) and sum(n for n, _ in seen) == 2 * len(rows)
+    assert trie._sliced(lists.slice(0, 0), noted(trie.keys_in)).to_pylist() == []

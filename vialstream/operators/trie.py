@@ -8,7 +8,7 @@ longest key has words.  Keys of one child lie wherever a slot is free; others ta
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+#: Words that are walked at once; a batch of more goes in slices of rows (one row is never cut).
+MOST_WORDS = 1 << 18
 #: Places tried for a state's children, twice, before they go to the end.
 TRIES = 256
 
@@ -111,6 +113,21 @@ def _flat(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), np.repeat(np.arange(len(lists)), size), np.concatenate([[0], np.cumsum(size)])
 
 
+def _sliced(lists: pa.Array, one: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """``one`` of slices of rows, so that its memory is that of a slice's words and not of a batch's."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    total = np.cumsum(size)
+    if len(lists) == 0 or total[-1] <= MOST_WORDS:
+        return one(lists)
+    parts, at = [], 0
+    while at < len(lists):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + MOST_WORDS, side="right")))
+        parts.append(one(lists.slice(at, end - at)))
+        at = end
+    return pa.concat_arrays(parts)
+
+
 def keys_in(lists: pa.Array, trie: Trie) -> pa.Array:
     """Of each word list the numbers of the keys in it, once each, ascending."""
     words, row, first = _flat(lists)
@@ -147,10 +164,10 @@ def without_keys(lists: pa.Array, trie: Trie) -> pa.Array:
 def found_keys(spark: SparkSession, trie: Trie, words: Column) -> Column:
     """An array of the numbers of the keys in a word array."""
     shared = spark.sparkContext.broadcast(trie)
-    return F.arrow_udf(lambda lists: keys_in(lists, shared.value), "array<int>")(words)
+    return F.arrow_udf(lambda lists: _sliced(lists, lambda part: keys_in(part, shared.value)), "array<int>")(words)
 
 
 def removed_keys(spark: SparkSession, trie: Trie, words: Column) -> Column:
     """A word array without the keys in it."""
     shared = spark.sparkContext.broadcast(trie)
-    return F.arrow_udf(lambda lists: without_keys(lists, shared.value), "array<string>")(words)
+    return F.arrow_udf(lambda lists: _sliced(lists, lambda part: without_keys(part, shared.value)), "array<string>")(words)
