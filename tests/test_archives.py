@@ -100,3 +100,32 @@ def test_a_stream_and_a_batch_share_the_state(spark, root, tmp_path):
     manifest.record(zips.entries(zips.archives(spark, str(root), last=2030)), store, ("batch", 0))
     got = {(r["zip_name"], r["version"]) for r in manifest.current(spark, store).collect()}
     assert got == {("2005_a.zip", 4), ("2020_a.zip", 4), ("2020_b.zip", 4)}
+
+
+def test_entries_go_on_before_a_batch_is_done(monkeypatch):
+    """A batch of archives gives several batches of files, none of which holds more than the bound and one file."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    from vialstream.sources import zips
+
+    def zipped(k):
+        b = io.BytesIO()
+        with zipfile.ZipFile(b, "w") as z:
+            z.writestr("a.xml", b"<a>" + b"x" * 5000 + b"</a>")
+            z.writestr("b.txt", b"x")
+        return b.getvalue() if k % 7 else b"broken"
+
+    content = [zipped(k) for k in range(50)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array([f"z{k}" for k in range(51)]), pa.array(["otc"] * 51), pa.array([2020] * 51, pa.int32()), pa.array(content, pa.binary())], ["zip_name", "source_type", "year", "content"])
+    schema = pa.schema([*(batch.schema.field(c) for c in range(3)), *to_arrow_schema(zips.ENTRY)])
+    monkeypatch.setattr(zips, "MOST_HELD", 20_000)
+    out = list(zips._batches(batch, schema, 10_000))
+    assert len(out) > 8 and max(x.nbytes for x in out) < 30_000
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [(x["zip_name"], x["xml_name"], x["reason"]) for x in rows] == [
+        y for k in range(51) for y in ([(f"z{k}", None, "broken archive")] if k % 7 == 0 or k == 50 else [(f"z{k}", "a.xml", None), (f"z{k}", "b.txt", "not xml")])
+    ]

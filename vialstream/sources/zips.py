@@ -7,11 +7,13 @@ import io
 import re
 import zipfile
 import zlib
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vialstream.sources import spl
 
@@ -22,6 +24,10 @@ ENTRY = T.StructType([T.StructField("xml_name", T.StringType()), T.StructField("
 REASONS = ("not xml", "unsafe name", "too large", "broken entry", "broken archive")
 
 
+#: Bytes of entries that a task holds before it hands them on; one entry may be more.
+MOST_HELD = 4 << 20
+
+
 def _below(root: str) -> str:
     """A pattern of the root within a path, whatever its scheme."""
     return re.escape(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/"))
@@ -91,17 +97,38 @@ def _entries(content: bytes | None, most: int) -> list[dict]:
     return out
 
 
+def _batches(batch: pa.RecordBatch, schema: pa.Schema, most: int) -> Iterator[pa.RecordBatch]:
+    """Rows of the files in a batch of archives (three columns and the content)."""
+    rows: list[tuple] = []
+    held = 0
+    table = lambda: pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    for n in range(batch.num_rows):
+        own = [batch.column(c)[n].as_py() for c in range(3)]
+        for e in _entries(batch.column(3)[n].as_py(), most):
+            rows.append((*own, *(e[c] for c in ENTRY.fieldNames())))
+            held += len(e["xml"] or b"") + 256
+            if held > MOST_HELD:
+                yield table()
+                rows, held = [], 0
+    if rows:
+        yield table()
+
+
 def entries(files: DataFrame, most: int = spl.MOST_BYTES) -> DataFrame:
     """A row for each file in each archive, kept (``reason`` null) or rejected (one of ``REASONS``, without bytes).
 
-    An archive that can't be read is one rejected row without a name; folders are no files.
+    An archive that can't be read is one rejected row without a name; folders are no files.  Rows go on as soon as they hold
+    ``MOST_HELD`` bytes, so a task never has the files of a whole batch of archives.
     """
+    own = files.select("zip_name", "source_type", "year")
+    made = T.StructType([*(T.StructField(f.name, f.dataType) for f in own.schema.fields), *ENTRY.fields])
+    schema = to_arrow_schema(made)
 
-    @F.pandas_udf(T.ArrayType(ENTRY))
-    def found(content: pd.Series) -> pd.Series:
-        return content.map(lambda c: _entries(c, most))
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _batches(batch, schema, most)
 
-    return files.withColumn("e", F.explode(found("content"))).select("zip_name", "source_type", "year", "e.*")
+    return files.select(*own.columns, "content").mapInArrow(found, made)
 
 
 def _counts() -> list[Column]:
