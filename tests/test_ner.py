@@ -159,3 +159,32 @@ def test_trie_and_join_agree(spark, terms, monkeypatch):
                 m.setattr(ner, "MOST_BROADCAST", 0)
                 assert by_trie and by_trie == sorted(map(str, ner.recognise(rows, entries, section, stemmed).collect()))
                 assert labs == sorted(map(str, ner.match(rows, entries, section, stemmed, True).collect()))
+
+
+def test_sentences_meet_as_numbers(spark, terms):
+    """What is shuffled to apply the rules between keys are numbers, neither keys nor their atoms; without a cue a sentence is one row."""
+    rows = spark.createDataFrame([(1, "Hives and knee swelling came up"), (1, "a bone tumour"), (2, "pax is a gel " + "and so on " * 12 + "bone tumour")], "id int, sentence string")
+    got = ner.recognise(rows, ner.dictionary(terms), "AE")
+    assert {(r["id"], r["key"]) for r in got.collect()} == {(1, "hives"), (1, "knee swelling"), (1, "bone tumour"), (2, "bone tumour")} and got.count() == 4
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(_hits" in plan and "collect_set(struct" not in plan, plan
+
+
+def test_signs_are_in_every_sentence_that_rules_find(spark):
+    """The quick patterns may find more than the rules, never less."""
+    import random
+
+    import pyarrow as pa
+
+    from vialstream.operators import trie
+
+    r = random.Random(2)
+    bits = [*ner.NEGATION, "not", "observed", "may be", "x associated", "case report", "were", "is", "may", "occur", "causes", "not\x0bnot studied", "see", "posology", "oral", "sex", "ineligible", "history of", "known", "baseline low",
+            "in patients with", "is a gel", "are given as\ttablets", "dose", "pre-radiation", "apply", "for  external\x0buse", "(r)", "®", "™", "(tm)", "aids", "hiv", "excluded", "é", "\u2028", "ſ", "K", "kit", "mg5", "hives", "exclusion criteria"]
+    said = [r.choice(("", " ", "é")).join(["", *[r.choice(bits) + r.choice((" ", "\t", "", " q ")) for _ in range(r.randint(1, 4))]]).lower() for _ in range(4000)]
+    for section in ("AE", "IND"):
+        found = spark.createDataFrame([(s,) for s in said], "s string").select(ner.excluded(F.col("s"), section), ner.may_suppress(F.col("s"))).collect()
+        signs = trie._signs(pa.array(said), ner._signs_of(section)).to_pylist()
+        for s, (out, cue), n in zip(said, found, signs, strict=True):
+            assert (not out or n & 1) and (not cue or n & 2), (s, section)
+        assert any(out for out, _ in found) and not all(n == 3 for n in signs)

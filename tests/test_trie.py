@@ -85,3 +85,32 @@ def test_batches_are_walked_in_slices(monkeypatch):
         assert trie._sliced(lists, noted(f)).to_pylist() == f(lists, t).to_pylist()
     assert all(words <= 100 or n == 1 for n, words in seen) and sum(n for n, _ in seen) == 2 * len(rows)
     assert trie._sliced(lists.slice(0, 0), noted(trie.keys_in)).to_pylist() == []
+
+
+def test_keys_that_are_parts_of_longer_ones_go():
+    r = random.Random(8)
+    keys = sorted({" ".join(r.choice("abcdef") for _ in range(r.randint(1, 4))) for _ in range(150)} | {"", "g", "x\u00e9 g"})
+    parts = trie.Parts(keys)
+    rows = [[r.randrange(-len(keys), len(keys)) for _ in range(r.randint(0, 40))] for _ in range(300)] + [[], None, list(range(len(keys)))]
+
+    def own(numbers):
+        plain = {n for n in numbers if n >= 0}
+        w = {n: keys[n].split(" ") for n in plain}
+        stay = {a for a in plain if not any(len(w[b]) > len(w[a]) and set(w[a]) <= set(w[b]) for b in plain)}
+        return sorted(stay | {-1 - n for n in numbers if n < 0})
+
+    lists = pa.array(rows, pa.list_(pa.int32()))
+    want = [own(x or []) for x in rows]
+    assert trie.without_parts(lists, parts).to_pylist() == want
+    assert trie.without_parts(lists.slice(5, 90), parts).to_pylist() == want[5:95]
+    most, trie.MOST_WORDS = trie.MOST_WORDS, 50
+    try:
+        assert trie.without_parts(lists, parts).to_pylist() == want
+    finally:
+        trie.MOST_WORDS = most
+    assert trie.without_parts(lists.slice(0, 0), parts).to_pylist() == []
+
+
+def test_words_of_a_line():
+    got = trie._split(pa.array([" a  b\x0bc\t", "", " \t", None, "\u00e9 \u00a0x"])).to_pylist()
+    assert [x or [] for x in got] == [["a", "b", "c"], [], [], [], ["\u00e9", "\u00a0x"]]

@@ -105,7 +105,7 @@ def dictionary(terms: DataFrame, stemmed: bool = False) -> DataFrame:
 
     terms: aui, term, tty.  A rotation counts as many tokens as its term, as lookups by length expect.
     """
-    base = terms.filter(F.col("tty").isin(*TERM_TYPES)).withColumn("w", text.join_possessives(text.words(F.lower(text.normalize_punct("term")))))
+    base = terms.filter(F.col("tty").isin(*TERM_TYPES)).withColumn("w", text.join_possessives(text.words(F.lower(text.normalize_punct(F.col("term"))))))
     base = base.withColumn("n_tokens", F.size("w")).withColumn("line", F.array_join("w", " "))
     keys = base.withColumn("key", F.explode(F.array_distinct(F.filter(F.array("line", text.qualifier_first(F.col("line")), text.of_the_rotation(F.col("line"))), lambda k: k.isNotNull() & (k != "")))))
     if stemmed:
@@ -154,27 +154,38 @@ def _types(section: str) -> list[str]:
     return [t for t in TERM_TYPES if section == "IND" or t not in ("HG", "HT")]
 
 
-def _by_trie(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept: Callable[[DataFrame], DataFrame], lemmas: Lemmatiser | None) -> DataFrame:
-    """Hits by one walk over the words of a batch; ``kept`` sees the rows that have hits, before these part."""
+def _numbered(rows: DataFrame, known: pa.Table, stemmed: bool, labs: bool, kept: Callable[[DataFrame], DataFrame], lemmas: Lemmatiser | None, signs: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows that have hits, as ``_hits``, numbers of keys by one walk over the words of a batch; entries with these numbers; all keys.
+
+    A key of a laboratory value has the number ``-1 - n``.  ``kept`` sees the rows that have hits, with ``_signs`` beside them.
+    """
     spark = rows.sparkSession
     keys = known.column("key").combine_chunks().dictionary_encode()
     numbers = keys.dictionary.to_pylist()
-    found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), _words(spark, F.col("sentence"), stemmed, lemmas))
+    s = F.col("sentence")
+    # a plain sentence goes as it is, unless its possessives are to be joined
+    words = _words(spark, s, stemmed, lemmas) if stemmed else F.when(s.contains("'") | s.contains("\u0001"), F.array_join(text.join_possessives(text.words(s)), " "))
+    found = trie.found_keys(spark, trie.Trie([k.split(" ") for k in numbers]), s, words, signs)
     entries = spark.createDataFrame(pa.table({"_no": keys.indices, "key": known.column("key"), "tty": known.column("tty"), "auis": known.column("auis")}))
     cols = rows.columns
     canonical = {k: n for n, k in enumerate(numbers) if k in {key for *_, key in LAB_TRIGGERS}} if labs else {}
-    one = lambda n, lab: F.struct(n.cast("int").alias("_no"), F.lit(lab).alias("lab"))
     rows = rows.withColumn("_found", found)
-    hits = F.col("_found")
+    hits = F.col("_found.keys")
     if canonical:
-        number = lambda k: reduce(lambda out, x: F.when(k == x[0], F.lit(x[1])).otherwise(out), canonical.items(), F.lit(-1))
-        raised = F.filter(F.transform(lab_keys(F.col("sentence")), lambda k: one(number(k), True)), lambda x: x["_no"] >= 0)
-        hits = F.concat(F.transform(hits, lambda n: one(n, False)), raised)
+        number = lambda k: reduce(lambda out, x: F.when(k == x[0], F.lit(-1 - x[1])).otherwise(out), canonical.items(), F.lit(0))
+        hits = F.concat(hits, F.filter(F.transform(lab_keys(s), number), lambda n: n < 0))
     # out of a generator the hits are a column; out of a projection each use below would compute them anew
-    rows = kept(rows.select(*cols, F.explode(F.array(hits)).alias("_hits")).filter(F.size("_hits") > 0))
+    rows = rows.select(*cols, F.col("_found.signs").alias("_signs"), F.explode(F.array(hits)).alias("_hits")).filter(F.size("_hits") > 0)
+    return kept(rows).drop("_signs"), entries, numbers
+
+
+def _by_trie(rows: DataFrame, known: pa.Table, *how) -> DataFrame:
+    """Hits with all entries of their keys; ``kept`` sees the rows that have hits, before these part."""
+    cols = rows.columns
+    rows, entries, _ = _numbered(rows, known, *how)
     more = [c for c in rows.columns if c not in cols and c != "_hits"]
     rows = rows.select(*cols, *more, F.explode("_hits").alias("_x"))
-    rows = rows.select(*cols, *more, "_x._no", "_x.lab") if canonical else rows.select(*cols, *more, F.col("_x").alias("_no"), F.lit(False).alias("lab"))
+    rows = rows.select(*cols, *more, F.when(F.col("_x") < 0, -1 - F.col("_x")).otherwise(F.col("_x")).alias("_no"), (F.col("_x") < 0).alias("lab"))
     return rows.join(F.broadcast(entries), "_no").drop("_no")
 
 
@@ -312,17 +323,39 @@ def _type_rank(section: str) -> Column:
     return rank
 
 
+def _may_have(patterns: tuple[str, ...]) -> str:
+    """One pattern of RE2 that finds, in ASCII text, at least what any of these does in Java."""
+    return "(?is)" + "|".join(f"(?:{p})" for p in patterns).replace(r"\s", r"[\s\x0b]")
+
+
+def _signs_of(section: str) -> tuple[str, str]:
+    """What a sentence has that ``excluded`` or ``may_suppress`` finds; of product talk the nouns alone, as a bounded gap is costly there."""
+    patterns = NOT_A_USE if section == "IND" else (*NOT_AN_EVENT, *STUDY, *PRIOR)
+    stated = ("in patients with",) if section == "IND" else ()
+    nouns = PRODUCT.split(".{0,48}")[1]
+    return _may_have((*NEGATION, *patterns, *stated)), _may_have((*NEGATION, r"\(r\)", r"\(tm\)", "aids", "hiv", "immunodeficiency", "exclu", INSTRUCTION, nouns))
+
+
 def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed: bool = False, antonyms: DataFrame | None = None, lemmas: Lemmatiser | None = None) -> DataFrame:
     """(ids, key, tty, auis) of sentences: all rules in order; the first term type that has a key gives its atoms.
 
     With ``lemmas`` the stemmed pass takes each word's lemma under its tag first.
-    One pass: hits carry their type and atoms, and one group for each sentence applies the rules between keys.
+    One pass: one group for each sentence applies the rules between keys.  Keys of a dictionary in memory are numbers until then.
     """
     ids = [c for c in rows.columns if c != "sentence"]
     # out of a generator a sentence is a column; out of a projection each filter below would compute it anew
-    rows = rows.select(*ids, F.explode(F.transform(F.array(F.trim(F.lower("sentence"))), text.normalize_punct)).alias("sentence")).filter(F.trim("sentence") != "")
-    hits = match(rows, entries, section, stemmed, section != "IND", lambda r: r.filter(~excluded(F.col("sentence"), section)).withColumn("_cue", may_suppress(F.col("sentence"))), lemmas)
-    hits = hits if section != "IND" else hits.withColumn("lab", F.lit(False))
+    once = lambda c: F.explode(F.array(c)).alias("sentence")
+    rows = rows.select(*ids, once(F.trim(F.lower("sentence")))).select(*ids, once(text.normalize_punct(F.col("sentence")))).filter(F.trim("sentence") != "")
+
+    def kept(r: DataFrame) -> DataFrame:
+        # the signs keep the costly patterns from most sentences
+        may = lambda bit: F.col("_signs").bitwiseAND(bit) > 0 if "_signs" in r.columns else F.lit(True)
+        return r.filter(~(may(1) & excluded(F.col("sentence"), section))).withColumn("_cue", may(2) & may_suppress(F.col("sentence")))
+
+    known, labs = _in_memory(entries, section), section != "IND"
+    if known is not None and antonyms is None:
+        return _own_of(*_numbered(rows, known, stemmed, labs, kept, lemmas, _signs_of(section)), ids, section)
+    hits = _by_trie(rows, known, stemmed, labs, kept, lemmas, _signs_of(section)) if known is not None else _by_join(kept(rows), entries, section, stemmed, labs, lemmas)
     # the sentence's own flag keeps the costly test from sentences without any cue
     hits = hits.filter(F.when(~F.col("_cue") | F.col("lab"), F.lit(True)).otherwise(allowed_locally(F.col("sentence"), F.col("key"))))
     hits = hits.withColumn("_rank", _type_rank(section)).filter("_rank < 99").select(*ids, "key", "_rank", "tty", "auis", "lab")
@@ -335,6 +368,22 @@ def recognise(rows: DataFrame, entries: DataFrame, section: str = "AE", stemmed:
     return each.select(*ids, F.explode(best).alias("b")).select(*ids, "b.key", "b.tty", "b.auis")
 
 
+def _own_of(rows: DataFrame, entries: DataFrame, keys: list[str], ids: list[str], section: str) -> DataFrame:
+    """The rules around and between the numbered keys of sentences, then each key's first entry.
+
+    Composite keys need no rule here: what they absorb are parts of them.
+    """
+    # only sentences with a cue part into their keys
+    each = F.when(F.col("_cue"), F.transform("_hits", lambda n: F.array(n))).otherwise(F.array("_hits"))
+    rows = rows.select(*ids, "sentence", "_cue", F.explode(each).alias("_hits")).withColumn("_no", F.when(F.col("_cue"), F.get("_hits", F.lit(0))))
+    rows = rows.join(F.broadcast(entries.select("_no", F.col("key").alias("_key")).distinct()), "_no", "left")
+    rows = rows.filter(F.when(F.col("_key").isNull(), F.lit(True)).otherwise(allowed_locally(F.col("sentence"), F.col("_key"))))
+    said = rows.groupBy(*ids).agg(F.flatten(F.collect_list("_hits")).alias("_hits"))
+    own = said.select(*ids, F.explode(trie.own_keys(rows.sparkSession, trie.Parts(keys), F.col("_hits"))).alias("_no"))
+    best = entries.groupBy("_no").agg(F.min(F.struct(_type_rank(section).alias("rank"), "tty", "auis", "key")).alias("b"))
+    return own.join(F.broadcast(best), "_no").select(*ids, "b.key", "b.tty", "b.auis")
+
+
 def first_type(hits: DataFrame, ids: list[str], section: str = "AE") -> DataFrame:
     """One row for each key of a sentence: the atoms of the first term type that has it."""
     w = Window.partitionBy(*ids, "key").orderBy("_rank", "tty")

@@ -7,8 +7,11 @@ longest key has words.  Keys of one child lie wherever a slot is free; others ta
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -161,10 +164,83 @@ def without_keys(lists: pa.Array, trie: Trie) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), words.filter(pa.array(keep)))
 
 
-def found_keys(spark: SparkSession, trie: Trie, words: Column) -> Column:
-    """An array of the numbers of the keys in a word array."""
+class Parts:
+    """Which keys have all their words among those of a longer key: numbers as in the trie, words between white space."""
+
+    def __init__(self, keys: list[str]) -> None:
+        self.words = [tuple(re.split(r"[ \t\n\x0b\f\r]+", k)) for k in keys]
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        # one bit a word; a key whose bits are not all among another's is no part of it
+        self.bits = np.array([reduce(lambda x, w: x | 1 << zlib.crc32(w.encode()) % 64, k, 0) for k in self.words], np.uint64)
+
+    def within(self, a: int, b: int) -> bool:
+        return set(self.words[a]) <= set(self.words[b])
+
+
+def without_parts(lists: pa.Array, parts: Parts) -> pa.Array:
+    """Of each list of key numbers those that are no part of a longer one in it, once each, ascending.
+
+    A number ``-1 - n`` is key ``n`` whatever else is there, and no other key is a part of it.
+    """
+    flat, row, _ = _flat(lists)
+    x, n = flat.to_numpy(zero_copy_only=False).astype(np.int64), np.int64(1 << 32)
+    free = x < 0
+    own = np.unique(row[~free] * n + x[~free])
+    row_, key = own // n, own % n
+    first = np.searchsorted(row_, np.arange(len(lists) + 1))
+    count = (first[1:] - first[:-1])[row_]
+    gone = np.zeros(len(own), bool)
+    long = np.flatnonzero((count > 1) & (parts.size[key] > 1))
+    total, at = np.cumsum(count[long]), 0
+    while at < len(long):
+        end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + MOST_WORDS, side="right")))
+        each = count[long[at:end]]
+        b = np.repeat(long[at:end], each)
+        a = np.repeat(first[row_[long[at:end]]] - (np.cumsum(each) - each), each) + np.arange(len(b))
+        ok = (parts.size[key[a]] < parts.size[key[b]]) & (parts.bits[key[a]] & ~parts.bits[key[b]] == 0)
+        a, b = a[ok], b[ok]
+        pairs, back = np.unique(key[a] * n + key[b], return_inverse=True)
+        inside = np.array([parts.within(p // int(n), p % int(n)) for p in pairs.tolist()], bool)
+        gone[a[inside[back]]] = True
+        at = end
+    both = np.unique(np.concatenate([own[~gone], row[free] * n - 1 - x[free]]))
+    offsets = np.searchsorted(both // n, np.arange(len(lists) + 1))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array((both % n).astype(np.int32)))
+
+
+def _split(lines: pa.Array) -> pa.Array:
+    """Words between ASCII white space; none of a line that has nothing else."""
+    lines = pc.ascii_trim_whitespace(lines)
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(lines, ""), pa.scalar(None, lines.type), lines))
+
+
+def _signs(lines: pa.Array, signs: tuple[str, ...]) -> pa.Array:
+    """Bit k: pattern k may be found; a line with other than ASCII characters has all bits, as there engines differ in what a word is."""
+    other = pc.fill_null(pc.invert(pc.string_is_ascii(lines)), True).to_numpy(zero_copy_only=False)
+    bits = np.zeros(len(lines), np.int32)
+    for k, pattern in enumerate(signs):
+        bits |= (other | pc.fill_null(pc.match_substring_regex(lines, pattern), True).to_numpy(zero_copy_only=False)).astype(np.int32) << k
+    return pa.array(bits)
+
+
+def found_keys(spark: SparkSession, trie: Trie, sentence: Column, words: Column, signs: tuple[str, ...] = ()) -> Column:
+    """(keys, signs): the numbers of the keys in ``words``, and which patterns a sentence may have.
+
+    words: an array, or a line that stands for the sentence where it isn't null.
+    """
     shared = spark.sparkContext.broadcast(trie)
-    return F.arrow_udf(lambda lists: _sliced(lists, lambda part: keys_in(part, shared.value)), "array<int>")(words)
+
+    def one(lines: pa.Array, words: pa.Array) -> pa.Array:
+        lists = words if pa.types.is_list(words.type) else _split(pc.coalesce(words, lines))
+        return pa.StructArray.from_arrays([_sliced(lists, lambda part: keys_in(part, shared.value)), _signs(lines, signs)], ["keys", "signs"])
+
+    return F.arrow_udf(one, "keys array<int>, signs int")(sentence, words)
+
+
+def own_keys(spark: SparkSession, parts: Parts, numbers: Column) -> Column:
+    """``without_parts`` of an array of key numbers."""
+    shared = spark.sparkContext.broadcast(parts)
+    return F.arrow_udf(lambda lists: without_parts(lists, shared.value), "array<int>")(numbers)
 
 
 def removed_keys(spark: SparkSession, trie: Trie, words: Column) -> Column:
