@@ -2,6 +2,8 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from vialstream.operators import products, training
 from vialstream.plans import build
 
@@ -85,3 +87,29 @@ def test_drugs_by_code_once_without_a_shuffle_of_the_pairs(spark):
     assert sorted(((r["guid"] or "", r["aui"]) for r in out.collect())) == [("", "c"), ("g", "a"), ("g", "b"), ("h", "a"), ("h", "b")]
     top = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in top[: top.index("Join")], top
+
+
+def test_drugs_by_code_in_small_files_of_many_tasks(spark, tmp_path):
+    """All pairs of one concept: their files take a fraction of a byte a row, and not one task makes them all."""
+    labels = spark.range(400).select(F.col("id").alias("guid"), F.lit("1").alias("ndc"))
+    concepts = spark.createDataFrame([("C1", "1")], "cui string, ndc string")
+    drugs = spark.range(9001).select(F.lit("C1").alias("cui"), F.col("id").alias("aui"))
+    products.drugs_by_ndc(labels, concepts, drugs).write.parquet(str(tmp_path / "out"))
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.distinct().count() == out.count() == 3_600_400
+    assert sum(p.stat().st_size for p in (tmp_path / "out").glob("*.parquet")) < 3_600_400 * 0.6
+    assert out.select(F.input_file_name()).distinct().count() >= 4
+
+
+def test_drugs_by_code_in_blocks(spark, monkeypatch):
+    """Blocks that are full, begun and in several lanes, with rows of several concepts, give what the plain join gives."""
+    for k, v in (("LANES", 3), ("DRUGS", 2), ("LABELS", 3)):
+        monkeypatch.setattr(products, k, v)
+    h = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n))
+    labels = spark.range(300).select(F.when(h(1, 90) > 0, h(1, 90)).alias("guid"), h(2, 12).cast("string").alias("ndc"))
+    concepts = spark.range(30).select(F.when(h(3, 9) > 0, h(3, 9)).cast("string").alias("cui"), h(4, 12).cast("string").alias("ndc"))
+    drugs = spark.range(200).select(h(5, 9).cast("string").alias("cui"), F.when(h(6, 80) > 0, h(6, 80)).alias("aui"))
+    out = products.drugs_by_ndc(labels, concepts, drugs)
+    plain = labels.join(concepts, "ndc").join(drugs, "cui").select("guid", "aui").distinct()
+    rows = lambda df: sorted((r["guid"] or 0, r["aui"] or 0) for r in df.collect())
+    assert rows(out) == rows(plain) and out.dtypes == plain.dtypes and len(rows(out)) > 1000
